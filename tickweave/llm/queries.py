@@ -8,7 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import read_table
 from .exact_dedup import exact_dedup
+from .fingerprints import fingerprints
 from .packing import pack
+from .pii import scan_pii
+from .secrets import scan_secrets
+from .url_filter import url_filter
 
 
 def _tokenizer() -> str:
@@ -25,9 +29,29 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read_table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter(read_table(spark, sf_dir, "pages"))
+
+
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(read_table(spark, sf_dir, "documents"))
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_pii(read_table(spark, sf_dir, "documents"))
+
+
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op4_exact_dedup": op4_exact_dedup,
+    "op6_url_filter": op6_url_filter,
+    "op8_secrets": op8_secrets,
+    "op9_pii": op9_pii,
+    "op10_fingerprints": op10_fingerprints,
 }
 
 ORACLE_SQL: dict[str, str] = {
