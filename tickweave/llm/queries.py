@@ -12,6 +12,7 @@ from .fingerprints import fingerprints
 from .packing import pack
 from .pii import scan_pii
 from .secrets import scan_secrets
+from .toxicity import score_toxicity
 from .url_filter import url_filter
 
 
@@ -25,6 +26,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"), _tokenizer(), with_ids=False).drop("ids")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read_table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
@@ -47,6 +52,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op3_toxicity": op3_toxicity,
     "op4_exact_dedup": op4_exact_dedup,
     "op6_url_filter": op6_url_filter,
     "op8_secrets": op8_secrets,
