@@ -12,6 +12,7 @@ from .fingerprints import fingerprints
 from .packing import pack
 from .pii import scan_pii
 from .secrets import scan_secrets
+from .similarity_join import jaccard_join
 from .toxicity import score_toxicity
 from .url_filter import url_filter
 
@@ -34,6 +35,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read_table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(read_table(spark, sf_dir, "documents"))
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(read_table(spark, sf_dir, "pages"))
 
@@ -54,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op3_toxicity": op3_toxicity,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_jaccard_join": op5_jaccard_join,
     "op6_url_filter": op6_url_filter,
     "op8_secrets": op8_secrets,
     "op9_pii": op9_pii,
