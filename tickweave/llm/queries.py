@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import read_table
 from .exact_dedup import exact_dedup
 from .fingerprints import fingerprints
+from .mixing import mix_to_targets
 from .packing import pack
 from .pii import scan_pii
 from .secrets import scan_secrets
 from .similarity_join import jaccard_join
+from .substring_dedup import repeated_passages
 from .toxicity import score_toxicity
 from .url_filter import url_filter
 
@@ -27,6 +29,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"), _tokenizer(), with_ids=False).drop("ids")
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_to_targets(read_table(spark, sf_dir, "documents"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -43,6 +49,10 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(read_table(spark, sf_dir, "pages"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(read_table(spark, sf_dir, "documents"))
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(read_table(spark, sf_dir, "documents"))
 
@@ -57,10 +67,12 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_mixing": op2_mixing,
     "op3_toxicity": op3_toxicity,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_url_filter": op6_url_filter,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_secrets": op8_secrets,
     "op9_pii": op9_pii,
     "op10_fingerprints": op10_fingerprints,

@@ -389,3 +389,10 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, bl
     ids = stored(named.join(least, "root").select("cls", "component_id"), "components")
     alone = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return sized.join(ids, "cls", "left").select("doc_id", "n_shingles", alone.alias("component_id"))
+
+
+def keep_one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay when one document of each component does (its smallest doc_id), all columns."""
+    found = jaccard_join(docs, words, percent, id_col=id_col, text_col=text_col)
+    stay = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_stays"))
+    return docs.join(stay, docs[id_col].eqNullSafe(stay["_stays"]), "left_semi")
