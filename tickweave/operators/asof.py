@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,20 +12,45 @@ from .framing import carried
 DAY_MS = 86_400_000
 
 
-def asof_backward(left: DataFrame, right: DataFrame, columns: list[str], by: list[str] = ["symbol"], t: str = "t", right_t: str = "t", seq: str = "seq", tolerance_ms: int | None = None, prefix: str = "", age: str | None = None, bucket_ms: int = DAY_MS) -> DataFrame:  # noqa: B006
-    """Every left row with ``columns`` of the latest right row whose time is at most its own (inclusive); nulls before the first.
+@dataclass
+class Side:
+    """A table to look up: its columns (own name: new name), and what is wanted of it."""
+
+    rows: DataFrame
+    columns: dict[str, str]
+    t: str = "t"
+    seq: str = "seq"
+    tolerance_ms: int | None = None
+    age: str | None = None
+
 
-    With ``tolerance_ms``, values older than that are null, while ``age`` (if named) is given anyway.
+def asof_many(left: DataFrame, sides: list[Side], by: list[str] = ["symbol"], t: str = "t", bucket_ms: int = DAY_MS) -> DataFrame:  # noqa: B006
+    """Every left row with the columns of the latest row of each side whose time is at most its own (inclusive); nulls before the first.
+
+    All sides share one exchange and one sort. With a tolerance, values older than it are null, while the age (if named) is given anyway.
     """
-    side = [*by, F.col(right_t).alias("_t"), F.lit(0).alias("_side"), F.col(seq).cast("bigint").alias("_seq") if seq in right.columns else F.lit(0).cast("bigint").alias("_seq")]
-    r = right.filter(F.col(right_t).isNotNull()).select(*side, F.struct(F.col(right_t).alias("_at"), *columns).alias("_r"))
-    l = left.select(*by, F.col(t).alias("_t"), F.lit(1).alias("_side"), F.lit(0).cast("bigint").alias("_seq"), F.struct(*left.columns).alias("_l"))
-    both = r.unionByName(l, allowMissingColumns=True).withColumn("_bucket", F.floor(F.col("_t") / F.lit(bucket_ms)).cast("bigint"))
-    got = carried(both, F.col("_r"), "_got", by, ["_t", "_side", "_seq"]).filter("_side = 1")
-    fresh = F.lit(True) if tolerance_ms is None else F.col("_t") - F.col("_got._at") <= F.lit(tolerance_ms)
-    out = [F.when(fresh, F.col(f"_got.{c}")).alias(prefix + c) for c in columns]
-    ages = [(F.col("_t") - F.col("_got._at")).alias(age)] if age else []
-    return got.select("_l.*", *out, *ages)
+    names = [f"_r{n}" for n in range(len(sides))]
+    key = [F.col(c) for c in by]
+    both = left.select(*key, F.col(t).alias("_t"), F.lit(1).alias("_side"), F.lit(0).cast("bigint").alias("_seq"), F.struct(*left.columns).alias("_l"))
+    for name, side in zip(names, sides):
+        seq = F.col(side.seq).cast("bigint") if side.seq in side.rows.columns else F.lit(0).cast("bigint")
+        value = F.struct(F.col(side.t).alias("_at"), *[F.col(a).alias(b) for a, b in side.columns.items()]).alias(name)
+        rows = side.rows.filter(F.col(side.t).isNotNull()).select(*key, F.col(side.t).alias("_t"), F.lit(0).alias("_side"), seq.alias("_seq"), value)
+        both = both.unionByName(rows, allowMissingColumns=True)
+    both = both.withColumn("_bucket", F.floor(F.col("_t") / F.lit(bucket_ms)).cast("bigint"))
+    got = carried(both, names, by, ["_t", "_side", "_seq"]).filter("_side = 1")
+    out = []
+    for name, side in zip(names, sides):
+        lag = F.col("_t") - F.col(f"{name}._at")
+        fresh = F.lit(True) if side.tolerance_ms is None else lag <= F.lit(side.tolerance_ms)
+        out += [F.when(fresh, F.col(f"{name}.{b}")).alias(b) for b in side.columns.values()]
+        out += [lag.alias(side.age)] if side.age else []
+    return got.select("_l.*", *out)
+
+
+def asof_backward(left: DataFrame, right: DataFrame, columns: list[str], by: list[str] = ["symbol"], t: str = "t", right_t: str = "t", seq: str = "seq", tolerance_ms: int | None = None, prefix: str = "", age: str | None = None, bucket_ms: int = DAY_MS) -> DataFrame:  # noqa: B006
+    """``asof_many`` with one side."""
+    return asof_many(left, [Side(right, {c: prefix + c for c in columns}, right_t, seq, tolerance_ms, age)], by, t, bucket_ms)
 
 
 def asof_forward(left: DataFrame, right: DataFrame, columns: list[str], by: list[str] = ["symbol"], t: str = "t", right_t: str = "t", seq: str = "seq", max_lag: str | None = None, prefix: str = "", lag: str = "lagMs", bucket_ms: int = DAY_MS) -> DataFrame:  # noqa: B006

@@ -54,7 +54,7 @@ class Book:
             self._put(side, rows)
             if len(side) > 3 * keep:
                 setattr(self, name, dict(sorted(side.items(), key=lambda x: best * x[0])[:keep]))
-        self.last_id, self.last_event = e["u"], e["t"]
+        self.last_id, self.last_event = e["finalId"], e["t"]
 
     def _hold(self, e: dict, reason: str, now: int, limit: int, cooldown: int) -> str | None:
         self.buffer = (self.buffer + [e])[-limit:]
@@ -68,7 +68,7 @@ class Book:
         return reason
 
     def event(self, e: dict, partial: bool = False, keep: int = SNAPSHOT_LIMIT, limit: int = BUFFER_LIMIT, cooldown: int = COOLDOWN_MS) -> str | None:
-        """Takes an event (U, u, pu, lastUpdateId, b, a, t); returns the reason of a resync request, if one is due."""
+        """Takes an event (firstId, finalId, prevId, lastUpdateId, b, a, t); returns the reason of a resync request, if one is due."""
         self.last_event, now = e["t"], e["t"]
         if partial:
             self.bids, self.asks = {}, {}
@@ -77,15 +77,15 @@ class Book:
             self.last_id = self.last_id if e.get("lastUpdateId") is None else e["lastUpdateId"]
             self.ready, self.stale = True, False
             return None
-        if e.get("U") is None or e.get("u") is None:
+        if e.get("firstId") is None or e.get("finalId") is None:
             return self._hold(e, "missing_update_ids", now, limit, cooldown)
         if not self.ready or self.last_id is None:
             return self._hold(e, "not_ready", now, limit, cooldown)
-        if e.get("pu") is not None and e["pu"] != self.last_id:
+        if e.get("prevId") is not None and e["prevId"] != self.last_id:
             return self._hold(e, "pu_mismatch", now, limit, cooldown)
-        if e["u"] <= self.last_id:
+        if e["finalId"] <= self.last_id:
             return None
-        if e["U"] > self.last_id + 1:
+        if e["firstId"] > self.last_id + 1:
             return self._hold(e, "gap_detected", now, limit, cooldown)
         self._apply(e, keep)
         self.stale = False
@@ -98,17 +98,17 @@ class Book:
         self.bids, self.asks, self.last_id, self.ready = {}, {}, last_id, False
         self._put(self.bids, bids)
         self._put(self.asks, asks)
-        usable = [e for e in self.buffer if e.get("u") is not None and e["u"] >= last_id + 1]
+        usable = [e for e in self.buffer if e.get("finalId") is not None and e["finalId"] >= last_id + 1]
         if not usable:
             self.ready, self.stale, self.buffer = True, False, []
             return None
-        start = next((n for n, e in enumerate(usable) if (e.get("U") or 0) <= last_id + 1 <= e["u"]), None)
+        start = next((n for n, e in enumerate(usable) if (e.get("firstId") or 0) <= last_id + 1 <= e["finalId"]), None)
         if start is None:
             self.buffer = usable[-limit:]
             return None
         for n in range(start, len(usable)):
             e = usable[n]
-            bad = "buffer_pu_mismatch" if e.get("pu") is not None and e["pu"] != self.last_id else "buffer_gap_detected" if (e.get("U") or 0) > self.last_id + 1 else None
+            bad = "buffer_pu_mismatch" if e.get("prevId") is not None and e["prevId"] != self.last_id else "buffer_gap_detected" if (e.get("firstId") or 0) > self.last_id + 1 else None
             if bad:
                 self.buffer = usable[n:]
                 return self._request(bad, now, cooldown)
@@ -134,7 +134,7 @@ class Book:
         return cls(**d | {"bids": {p: q for p, q in d["bids"]}, "asks": {p: q for p, q in d["asks"]}})
 
 
-EVENTS = "symbol string, t bigint, seq bigint, kind string, U bigint, u bigint, pu bigint, lastUpdateId bigint, b array<array<string>>, a array<array<string>>"
+EVENTS = "symbol string, t bigint, seq bigint, kind string, firstId bigint, finalId bigint, prevId bigint, lastUpdateId bigint, b array<array<string>>, a array<array<string>>"
 STATES = "symbol string, t bigint, seq bigint, kind string, ready boolean, stale boolean, lastUpdateId bigint, depthBidQty double, depthAskQty double, depthImbalance double, resync string"
 
 
@@ -148,7 +148,7 @@ def step(book: Book, row: dict, level: int, partial: bool) -> tuple:
         why = book.sync(_int(row["lastUpdateId"]), row["b"], row["a"], int(row["t"]))
     else:
         rows = lambda x: [] if x is None else [list(v) for v in x]
-        why = book.event({"t": int(row["t"]), "U": _int(row["U"]), "u": _int(row["u"]), "pu": _int(row["pu"]), "lastUpdateId": _int(row["lastUpdateId"]), "b": rows(row["b"]), "a": rows(row["a"])}, partial)
+        why = book.event({"t": int(row["t"]), "firstId": _int(row["firstId"]), "finalId": _int(row["finalId"]), "prevId": _int(row["prevId"]), "lastUpdateId": _int(row["lastUpdateId"]), "b": rows(row["b"]), "a": rows(row["a"])}, partial)
     return (row["symbol"], int(row["t"]), int(row["seq"]), row["kind"], book.ready, book.stale, book.last_id, *book.stats(level), why)
 
 

@@ -5,7 +5,7 @@ A window over ``partitionBy(symbol)`` puts a busy symbol into one task. Here the
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
@@ -39,15 +39,14 @@ def arrival(width_ms: int | None = None, by: list[str] | None = None, t: str = "
     return W.Window.partitionBy(*(by or ["symbol"]), "_bucket").orderBy(t, seq).rowsBetween(W.Window.unboundedPreceding, 0)
 
 
-def carried(df: DataFrame, value: Column, name: str, by: list[str], order: list[str], bucket: str = "_bucket") -> DataFrame:
-    """Last non-null ``value`` at or before each row of its key, over all time: within the bucket, else from the nearest earlier bucket that has one.
+def carried(df: DataFrame, names: list[str], by: list[str], order: list[str], bucket: str = "_bucket") -> DataFrame:
+    """Fills each named column with its last non-null value at or before the row, over all time of its key: within the bucket, else from the nearest earlier bucket that has one.
 
     Only one value a bucket crosses buckets.
     """
     inside = W.Window.partitionBy(*by, bucket).orderBy(*order).rowsBetween(W.Window.unboundedPreceding, 0)
-    got = df.withColumn(name, F.last(value, ignorenulls=True).over(inside))
-    ordered = F.struct(*order, value.alias("v"))
-    ends = df.groupBy(*by, bucket).agg(F.max(F.when(value.isNotNull(), ordered)).alias("_end"))
+    ends = df.groupBy(*by, bucket).agg(*[F.max_by(n, F.when(F.col(n).isNotNull(), F.struct(*order))).alias(n) for n in names])
     before = W.Window.partitionBy(*by).orderBy(bucket).rowsBetween(W.Window.unboundedPreceding, -1)
-    ends = ends.select(*by, bucket, F.last(F.col("_end.v"), ignorenulls=True).over(before).alias("_before"))
-    return got.join(ends, [*by, bucket]).withColumn(name, F.coalesce(name, "_before")).drop("_before")
+    ends = ends.select(*by, bucket, *[F.last(n, ignorenulls=True).over(before).alias(f"_before{n}") for n in names])
+    got = df.withColumns({n: F.last(n, ignorenulls=True).over(inside) for n in names}).join(ends, [*by, bucket])
+    return got.withColumns({n: F.coalesce(n, f"_before{n}") for n in names}).drop(*[f"_before{n}" for n in names])

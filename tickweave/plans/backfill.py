@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.market import basis_pct, completeness
+from ..operators.asof import Side, asof_many
 from ..operators.windows import day_stats, deltas, trend_vol
-from .snapshots import COMPLETENESS_KEYS, latest_value
+from .snapshots import COMPLETENESS_KEYS
 
 TRENDS = {"5m": 300_000, "15m": 900_000}
 
@@ -16,15 +17,12 @@ def backfill(bars: DataFrame, funding: DataFrame | None = None, open_interest: D
     """Snapshots per bar of ``bars`` (schema BAR). A series that is not given leaves its columns null, symbol by symbol."""
     b = bars.withColumn("t", F.col("closeTime"))
     out = day_stats(b).select("symbol", "t", F.col("close").alias("price"), F.col("close").alias("kline1mClose"), F.col("volume").alias("kline1mVol"), "changePct24h", "high24h", "low24h", "volume24h", "quoteVolume24h")
-    nothing = lambda *names: {n: F.lit(None).cast("double") for n in names}
-    for side, time, columns, age in (
+    sides = [
         (bars5m, "closeTime", {"close": "kline5mClose", "volume": "kline5mVol"}, None), (funding, "time", {"fundingRate": "fundingRate", "nextFundingTime": "nextFundingTime"}, "fundingAgeMs"),
         (open_interest, "time", {"openInterest": "openInterest"}, None), (mark, "closeTime", {"close": "markPrice"}, None), (index, "closeTime", {"close": "indexPrice"}, None),
-    ):
-        if side is None:
-            out = out.withColumns(nothing(*columns.values()))
-        else:
-            out = latest_value(out, side.withColumn("t", F.col(time)), columns, age)
+    ]
+    out = asof_many(out, [Side(rows, columns, time, age=age) for rows, time, columns, age in sides if rows is not None])
+    out = out.withColumns({c: F.lit(None).cast("double") for rows, _, columns, _ in sides if rows is None for c in columns.values()})
     prices = b.select("symbol", "t", F.col("t").alias("seq"), F.col("close").alias("price"))
     moves = trend_vol(prices, TRENDS).select("symbol", "t", *[f"{k}{n}" for n in TRENDS for k in ("trend", "vol")])
     out = out.join(moves.dropDuplicates(["symbol", "t"]), ["symbol", "t"], "left")

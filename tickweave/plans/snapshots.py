@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.market import basis_pct, completeness, imbalance, spread_pct
-from ..operators.asof import asof_backward
+from ..operators.asof import Side, asof_many
 from ..operators.windows import deltas, rolling_flow, suffix, trend_at, trend_vol
 
 #: The keys that make up the two completeness ratios.
@@ -21,47 +21,43 @@ def tick_grid(universe: DataFrame, start_ms: int, end_ms: int, step_ms: int) ->
 
 def latest_value(ticks: DataFrame, side: DataFrame, columns: dict[str, str], age: str | None = None) -> DataFrame:
     """Ticks with the latest value of some columns of a side table (old name: new name), without a limit of age; null where the side has none."""
-    renamed = side.select("symbol", F.col("t"), *(["seq"] if "seq" in side.columns else []), *[F.col(a).alias(b) for a, b in columns.items()])
-    return asof_backward(ticks, renamed, list(columns.values()), age=age)
+    return asof_many(ticks, [Side(side, columns, age=age)])
 
 
 def flow_at(ticks: DataFrame, trades: DataFrame, windows_ms: list[int], prefix: str = "flow") -> DataFrame:
-    """Flow metrics of the windows that end at each tick: the tick enters the trade stream as a row without quantity."""
+    """symbol, t and the flow metrics of the windows that end at each tick: the tick enters the trade stream as a row without quantity."""
     marked = trades.filter("qty > 0").select("symbol", "t", "seq", "price", "qty", "side", F.lit(False).alias("_tick"))
     asked = ticks.select("symbol", "t").distinct().select("symbol", "t", F.lit(2**62).cast("bigint").alias("seq"), F.lit(None).cast("double").alias("price"), F.lit(1e-300).alias("qty"), F.lit("TICK").alias("side"), F.lit(True).alias("_tick"))
     got = rolling_flow(marked.unionByName(asked), windows_ms, prefix).filter("_tick")
     names = [c for c in got.columns if c.startswith(prefix) and any(c.endswith("_" + suffix(w)) for w in windows_ms)]
-    return ticks.join(got.select("symbol", "t", *names), ["symbol", "t"])
+    return got.select("symbol", "t", *names)
 
 
 def build_snapshots(ticks: DataFrame, tables: dict[str, DataFrame], windows_ms: list[int], trends_ms: dict[str, int], default_window_ms: int | None = None) -> DataFrame:
     """Snapshots at the ticks from the tables given: book, mark, openInterest, stats24h, kline1m, kline5m, depth, trades, liquidations, prices."""
-    out = ticks
     sides = {
-        "mark": ({"markPrice": "markPrice", "indexPrice": "indexPrice", "fundingRate": "fundingRate", "nextFundingTime": "nextFundingTime"}, "markAgeMs"),
-        "book": ({"bestBid": "bestBid", "bestAsk": "bestAsk", "bidQty": "bidQty", "askQty": "askQty"}, "bookAgeMs"), "openInterest": ({"openInterest": "openInterest"}, "openInterestAgeMs"),
-        "stats24h": ({c: c for c in ("last", "changePct24h", "high24h", "low24h", "volume24h", "quoteVolume24h")}, "stats24hAgeMs"), "kline1m": ({"close": "kline1mClose", "volume": "kline1mVol"}, "kline1mAgeMs"),
-        "kline5m": ({"close": "kline5mClose", "volume": "kline5mVol"}, "kline5mAgeMs"), "depth": ({c: c for c in ("depthBidQty", "depthAskQty", "depthImbalance")}, "depthAgeMs"),
+        "mark": ({c: c for c in ("markPrice", "indexPrice", "fundingRate", "nextFundingTime")}, "markAgeMs"), "book": ({c: c for c in ("bestBid", "bestAsk", "bidQty", "askQty")}, "bookAgeMs"),
+        "openInterest": ({"openInterest": "openInterest"}, "openInterestAgeMs"), "stats24h": ({c: c for c in ("last", "changePct24h", "high24h", "low24h", "volume24h", "quoteVolume24h")}, "stats24hAgeMs"),
+        "kline1m": ({"close": "kline1mClose", "volume": "kline1mVol"}, "kline1mAgeMs"), "kline5m": ({"close": "kline5mClose", "volume": "kline5mVol"}, "kline5mAgeMs"),
+        "depth": ({c: c for c in ("depthBidQty", "depthAskQty", "depthImbalance")}, "depthAgeMs"),
     }
-    for name, (columns, age) in sides.items():
-        if name in tables:
-            out = latest_value(out, tables[name], columns, age)
-            out = out.withColumn(age, F.greatest(F.col(age), F.lit(0).cast("bigint"))) if name.startswith("kline") else out
-        else:
-            out = out.withColumns({c: F.lit(None).cast("double") for c in columns.values()})
+    known = {n: v for n, v in sides.items() if n in tables}
+    looked = [Side(tables[n], columns, age=age) for n, (columns, age) in known.items()]
+    if "prices" in tables:
+        looked.append(Side(trend_vol(tables["prices"], trends_ms), {f"vol{n}": f"vol{n}" for n in trends_ms}))
+    out = asof_many(ticks, looked)
+    out = out.withColumns({c: F.lit(None).cast("double") for n, (columns, _) in sides.items() if n not in known for c in columns.values()})
     price = F.coalesce("markPrice", "bestBid", "bestAsk", "last", "kline1mClose", "kline5mClose")
     out = out.withColumn("price", price.cast("double")).filter("price IS NOT NULL").drop("last")
     out = out.withColumns({"spreadPct": spread_pct(F.col("bestBid"), F.col("bestAsk")), "imbalance": imbalance(F.col("bidQty"), F.col("askQty")), "basisPct": basis_pct(F.col("markPrice"), F.col("indexPrice"))}).drop("bidQty", "askQty")
     for name, prefix, short in (("trades", "flow", "agg"), ("liquidations", "liq", "liq")):
         if name in tables:
-            out = flow_at(out, tables[name], windows_ms, prefix)
+            out = out.join(flow_at(ticks.select("symbol", "t"), tables[name], windows_ms, prefix), ["symbol", "t"])
             tail = "_" + suffix(default_window_ms or windows_ms[0])
             out = out.withColumns({f"{short}{m}": F.col(f"{prefix}{m}{tail}") for m in ("BuyQty", "SellQty", "BuyCount", "SellCount", "VWAP", "BuySellRatio", "NetQty", "NetNotional")})
     if "prices" in tables:
         for name, w in trends_ms.items():
-            out = trend_at(out, tables["prices"], name, w)
-        vols = trend_vol(tables["prices"], trends_ms)
-        out = latest_value(out, vols, {f"vol{n}": f"vol{n}" for n in trends_ms})
+            out = out.join(trend_at(ticks.select("symbol", "t"), tables["prices"], name, w), ["symbol", "t"])
     have = set(out.columns)
     out = out.withColumns({"featureCompleteness": _share(have, COMPLETENESS_KEYS), "microCompleteness": _share(have, MICRO_KEYS)})
     numeric = [c for c, kind in out.dtypes if kind in ("double", "bigint", "int") and c not in ("t", "price")]

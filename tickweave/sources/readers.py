@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
-from ..functions.coerce import safe_float
+from ..functions.coerce import safe_float, safe_int
 from ..functions.market import mid_price
 from . import schemas
 
@@ -33,12 +33,11 @@ def feature_names(rows: DataFrame) -> list[str]:
 
 
 def events(spark: SparkSession, path: str, event_type: str | None = None) -> DataFrame:
-    """type, time, recvTime, data (payload as parsed struct) of raw event logs."""
+    """type, time, recvTime, data (payload as a map of strings; nested parts are JSON text) of raw event logs."""
     glob = f"events_{event_type or '*'}_*.jsonl"
-    kinds = schemas.EVENT_DATA
     raw = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(path)
     outer = F.from_json("value", schemas.EVENT)
-    got = raw.select(outer.alias("r")).filter("r.type IS NOT NULL").select("r.type", "r.time", "r.recvTime", F.from_json("r.data", kinds).alias("data"))
+    got = raw.select(outer.alias("r")).filter("r.type IS NOT NULL").select("r.type", "r.time", "r.recvTime", F.from_json("r.data", schemas.PAYLOAD).alias("data"))
     return got if event_type is None else got.filter(F.col("type") == event_type)
 
 
@@ -46,15 +45,19 @@ def event_prices(rows: DataFrame) -> DataFrame:
     """symbol, t, price per event type: trade price, book mid (one-sided: bid), mark price."""
     d = lambda c: safe_float(F.col(f"data.{c}"))
     price = F.when(F.col("type") == "bookTicker", F.coalesce(mid_price(d("b"), d("a")), d("a"))).otherwise(d("p"))
-    t = F.coalesce("time", "data.E", "data.T")
+    t = F.coalesce("time", safe_int(F.col("data.E")), safe_int(F.col("data.T")), safe_int(F.col("data.t")))
     return rows.select(F.col("data.s").alias("symbol"), t.alias("t"), price.alias("price")).filter("symbol <> '' AND t IS NOT NULL AND price IS NOT NULL")
 
 
 def depth_events(spark: SparkSession, path: str) -> DataFrame:
     """Order-book events in the form that the book operators take."""
-    raw = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "events_depthUpdate_*.jsonl").text(path)
-    got = raw.select(F.from_json("value", schemas.EVENT).alias("r")).filter("r.type = 'depthUpdate'").select("r.time", F.from_json("r.data", schemas.DEPTH_DATA).alias("d"))
-    return got.select(F.col("d.s").alias("symbol"), F.coalesce("d.E", "time").alias("t"), F.coalesce("d.u", F.lit(0)).alias("seq"), F.lit("event").alias("kind"), "d.U", "d.u", "d.pu", "d.lastUpdateId", "d.b", "d.a")
+    got = events(spark, path, "depthUpdate").select("time", F.col("data").alias("d"))
+    whole = lambda k: safe_int(F.col(f"d.{k}"))
+    levels = lambda k: F.from_json(f"d.{k}", schemas.LEVELS)
+    return got.select(
+        F.col("d.s").alias("symbol"), F.coalesce(whole("E"), "time").alias("t"), F.coalesce(whole("u"), F.lit(0).cast("bigint")).alias("seq"), F.lit("event").alias("kind"), whole("U").alias("firstId"), whole("u").alias("finalId"),
+        whole("pu").alias("prevId"), whole("lastUpdateId").alias("lastUpdateId"), levels("b").alias("b"), levels("a").alias("a"),
+    )
 
 
 def dataset(spark: SparkSession, path: str) -> DataFrame:

@@ -1,15 +1,10 @@
 """Schemas of the native inputs (DDL strings). Numbers inside feed payloads are strings and are coerced by projections."""
 
 SNAPSHOT = "type STRING, source STRING, symbol STRING, time BIGINT, price STRING, features MAP<STRING, STRING>"
-EVENT_DATA = (
-    "s STRING, e STRING, p STRING, q STRING, m BOOLEAN, T BIGINT, E BIGINT, U BIGINT, u BIGINT, pu BIGINT, lastUpdateId BIGINT, i STRING, r STRING, c STRING, P STRING, h STRING, l STRING, v STRING, "
-    "b STRING, B STRING, a STRING, A STRING, "
-    "o STRUCT<s: STRING, S: STRING, q: STRING, l: STRING, Q: STRING, p: STRING, ap: STRING, P: STRING, T: BIGINT>, "
-    "k STRUCT<s: STRING, i: STRING, t: BIGINT, T: BIGINT, o: STRING, h: STRING, l: STRING, c: STRING, v: STRING, n: BIGINT, x: BOOLEAN>"
-)
 EVENT = "type STRING, time BIGINT, recvTime BIGINT, data STRING"
+#: Payloads have names that differ in case only (b and B), so they are maps, whose keys are exact.
+PAYLOAD = "MAP<STRING, STRING>"
 LEVELS = "ARRAY<ARRAY<STRING>>"
-DEPTH_DATA = f"s STRING, E BIGINT, U BIGINT, u BIGINT, pu BIGINT, lastUpdateId BIGINT, b {LEVELS}, a {LEVELS}"
 BAR = "symbol STRING, openTime BIGINT, closeTime BIGINT, open DOUBLE, high DOUBLE, low DOUBLE, close DOUBLE, volume DOUBLE, quoteVolume DOUBLE, trades BIGINT, takerBuyBase DOUBLE, takerBuyQuote DOUBLE"
 FUNDING = "symbol STRING, time BIGINT, fundingRate DOUBLE, nextFundingTime BIGINT"
 OPEN_INTEREST = "symbol STRING, time BIGINT, openInterest DOUBLE"
