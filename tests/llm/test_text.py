@@ -1,0 +1,325 @@
+"""Packing, mixing, scores, scans and fingerprints against brute force."""
+
+import hashlib
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from tickweave.llm import fingerprints as fp
+from tickweave.llm import mixing, packing, pii, secrets, toxicity, url_filter
+from tickweave.llm.boosting import BoostedTrees
+
+from .conftest import ODD
+
+public_tokenizers = pytest.importorskip("public_tokenizers")
+
+
+@pytest.fixture(scope="module")
+def path():
+    return str(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def check_pieces(docs, path, **how):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(path)
+    t.encode_special_tokens = True
+    rows = docs.collect()
+    want = Counter(tuple([*e.ids, 1]) for e in t.encode_batch([r["text"] or "" for r in rows], add_special_tokens=False))
+    got = packing.pack(docs, path, **how).toPandas()
+    window = how.get("window", packing.WINDOW)
+    assert got["length"].sum() == sum(len(k) * n for k, n in want.items())
+    for _, g in got.sort_values(["sequence_id", "offset"]).groupby("sequence_id"):
+        assert list(g["offset"]) == list(np.cumsum([0, *g["length"]])[:-1]) and g["length"].sum() <= window
+    lengths = got.groupby("sequence_id")["length"].sum().sort_index()
+    assert (lengths.iloc[:-1] == window).all() and list(lengths.index) == list(range(len(lengths)))
+    for r in got.itertuples():
+        assert zlib.crc32(r.ids) == r.ids_crc32 and len(r.ids) == 4 * r.length
+    if got["doc_id"].notna().all() and got["doc_id"].nunique() == len(rows):
+        back = {i: b"".join(g.sort_values("start")["ids"]) for i, g in got.groupby("doc_id")}
+        assert Counter(tuple(np.frombuffer(b, "<u4").tolist()) for b in back.values()) == want
+    return got
+
+
+def test_packing_corpus_follows_the_mix(corpus, path):
+    got = check_pieces(corpus, path)
+    share = got.groupby("source")["length"].sum() / got["length"].sum()
+    half = got[got["sequence_id"] < got["sequence_id"].max() // 2]
+    part = half.groupby("source")["length"].sum() / half["length"].sum()
+    assert (part.reindex(share.index).fillna(0) - share).abs().max() < 0.05
+
+
+def test_packing_weights_and_windows(docs_of, path):
+    docs = docs_of(*[f"the cat {n} sat on the mat" for n in range(400)], sources=["a", "b"] * 200)
+    got = check_pieces(docs, path, weights={"a": 3.0, "b": 1.0}, window=64)
+    early = got[got["sequence_id"] < 30].groupby("source")["length"].sum()
+    assert 2.5 < early["a"] / early["b"] < 3.5
+
+
+def test_packing_odd_rows(docs_of, path):
+    docs = docs_of(*ODD, "<|endoftext|> İstanbul ΣΊΣΥΦΟΣ\x1cx it's don't 12ab e\u0301", ids=[None, *range(1, 10)], sources=[None, "", *["s"] * 8]).withColumn("part", F.lit(1))
+    check_pieces(docs, path, window=100)
+    assert packing.pack(docs.limit(0), path).count() == 0
+
+
+def test_word_cache_equals_the_tokenizer(path, corpus):
+    from tokenizers import Tokenizer
+
+    e, t = packing.WordEncoder(path), Tokenizer.from_file(path)
+    t.encode_special_tokens = True
+    for text in [*(r["text"] for r in corpus.limit(60).collect()), "a.b,c...,, ...x", "Ünï. ﬁne ½ ǅ,", "a\u00a0b\u2003c\x85d"]:
+        assert e(text).tolist() == t.encode(text, add_special_tokens=False).ids
+
+
+def test_raking_meets_every_marginal():
+    rng = np.random.default_rng(0)
+    cells = rng.random(60) + 0.01
+    sides = [np.arange(60) % 3, np.arange(60) // 3 % 4, np.arange(60) // 12]
+    targets = [np.array([0.5, 0.3, 0.2]), np.full(4, 0.25), np.array([0.4, 0.3, 0.1, 0.1, 0.1])]
+    w = mixing.rake(cells / cells.sum(), sides, targets)
+    for s, t in zip(sides, targets):
+        assert np.allclose(np.bincount(s, w), t, atol=1e-6)
+
+
+def test_calibration_spends_the_budget():
+    w, t = np.array([5.0, 1.0, 0.1]), np.array([10.0, 100.0, 50.0])
+    s = mixing.calibrate(w, t, 0.5)
+    assert abs((np.minimum(1, s * w) * t).sum() - 80) < 1e-9
+
+
+def test_mixture_on_corpus(corpus, spark):
+    got = mixing.mix_to_targets(corpus).toPandas()
+    assert len(got) == corpus.count()
+    expected, total = (got["probability"] * got["tokens"]).sum(), got["tokens"].sum()
+    assert abs(expected / total - mixing.BUDGET) < 1e-6
+    assert abs(got.loc[got["kept"], "tokens"].sum() / total - mixing.BUDGET) < 0.2
+    table = mixing.mix_to_targets(corpus, max_cells=0).toPandas()
+    both = got.merge(table, on="doc_id")
+    assert np.allclose(both["weight_x"], both["weight_y"], rtol=1e-3)
+    a, b = mixing.sample_mixture(corpus), got.loc[got["kept"], "doc_id"]
+    assert sorted(r["doc_id"] for r in a.collect()) == sorted(b) and a.columns == corpus.columns
+
+
+def test_mixture_odd_rows(docs_of):
+    docs = docs_of(*ODD, sources=[None, "null", *["s"] * 7])
+    got = mixing.mix_to_targets(docs, {"source": {"s": 0.5, "none such": 0.5}})
+    assert got.count() == 9 and got.filter("probability IS NULL OR weight IS NULL").count() == 0
+    assert mixing.mix_to_targets(docs.limit(0)).count() == 0
+
+
+def distance(a, b):
+    d = list(range(len(b) + 1))
+    for i, x in enumerate(a):
+        prev, d[0] = d[0], i + 1
+        for j, y in enumerate(b):
+            prev, d[j + 1] = d[j + 1], min(d[j + 1] + 1, d[j] + 1, prev + (x != y))
+    return d[-1]
+
+
+def test_automaton_equals_edit_distance():
+    rng = np.random.default_rng(0)
+    terms = {"stupid": 2.0, "loser": 3.0, "scum": 1.0}
+    lex = toxicity.Lexicon(terms, {"trash": 1.5})
+    pool = list(terms) + ["trash"]
+    for _ in range(3000):
+        w = list(pool[rng.integers(4)])
+        for _ in range(rng.integers(0, 3)):
+            k = rng.integers(0, len(w) + 1)
+            w[k : k + rng.integers(0, 2)] = rng.choice(list("abstu"), rng.integers(0, 2)).tolist()
+        w = "".join(w)
+        got = lex.match(w)
+        exact = w in terms or w.startswith("trash")
+        near = any(len(t) >= 5 and distance(w, t) <= 1 for t in terms)
+        assert (got is not None) == (exact or near), w
+        if exact:
+            assert got[0] == 1
+
+
+def test_quoted_hits_count_apart():
+    lex = toxicity.Lexicon({"loser": 3.0}, {})
+    direct, quoted = toxicity.features("you are a loser ok", lex), toxicity.features('they wrote "loser" and left', lex)
+    assert direct[1] > 0 and direct[4] == 0 and quoted[1] == 0 and quoted[4] > 0
+
+
+def test_toxicity_held_out(spark):
+    d = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
+    got = toxicity.score_toxicity(docs, labels).toPandas()
+    assert len(got) == 1000 and got["score"].between(0, 1).all() and ((got["score"] >= 0.5) == (got["predicted"] == 1)).all()
+    assert (got["held_out"] == [zlib.crc32(str(i).encode()) % 5 == 0 for i in got["doc_id"]]).all()
+    m = got.merge(labels.toPandas(), on="doc_id")
+    held = m[m["held_out"]]
+    assert (held["predicted"] == held["toxic"]).mean() >= 0.95
+
+
+def test_toxicity_odd_rows(docs_of, spark):
+    docs = docs_of(*ODD, ids=[None, *range(1, 9)])
+    labels = spark.createDataFrame([(n, 1, n % 2) for n in range(1, 9)] + [(None, 1, 1), (3, None, None)], "doc_id long, quality int, toxic int")
+    assert toxicity.score_toxicity(docs, labels).filter("score IS NULL").count() == 0
+    assert toxicity.score_toxicity(docs, labels.limit(0)).filter("predicted = 1").count() == 0
+    assert toxicity.drop_toxic(docs, labels).columns == docs.columns
+    assert toxicity.score_toxicity(docs.limit(0), labels).count() == 0
+
+
+def sha(spans, kinds):
+    return hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in sorted(spans, key=lambda s: (s[1], kinds.index(s[0])))).encode()).hexdigest()
+
+
+SECRET_TEXTS = ["token = 'abcdef' PASSWORD: zzzzzz secret=abc toKen:=x api_key=\"A/b+c=d-e\"", "AKIA" + "Q" * 16 + " AKIAX " + "AKIA" * 8, "f" * 23 + " " + "0a" * 12 + "g" + "ab" * 40, "é token=abcdef1", "\u017fecret=abcdefgh \u212aey"]
+
+
+def secret_brute(t):
+    a = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+    return [("assign", m.start(), m.end()) for m in a.finditer(t) if len(m[2]) >= 6] + [("access", m.start(), m.end()) for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 20] + [("hex", m.start(), m.end()) for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 24]
+
+
+def test_secrets(docs_of, corpus):
+    docs = docs_of(*SECRET_TEXTS, *ODD).unionByName(corpus.withColumn("doc_id", F.col("doc_id") + 1000))
+    text = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    got = secrets.scan_secrets(docs.withColumn("spans", F.lit(1))).collect()
+    assert len(got) == len(text)
+    for r in got:
+        want = secret_brute(text[r["doc_id"]])
+        assert r["base_sha256"] == sha(want, ["assign", "access", "hex"]) and r["n_hex"] == sum(k == "hex" for k, _, _ in want)
+        assert {f"{k}:{a}:{b}" for k, a, b in want} <= set(r["spans"].split(",")) | ({""} if not want else set())
+    assert secrets.scan_secrets(docs.limit(0)).count() == 0
+
+
+def test_novel_strings_near_sensitive_words():
+    n = secrets.Novelty()
+    odd = "credential for the host is q7Zk2Lw9Vb3Xt5Rm8Ty1 thanks"
+    plain = "credential example1example1example1example1 example1example1example1"
+    assert [odd[a:b] for a, _, b in secrets.novel_spans(odd, [], n)] == ["q7Zk2Lw9Vb3Xt5Rm8Ty1"]
+    assert secrets.novel_spans(plain, [], n) == [] and secrets.novel_spans("the q7Zk2Lw9Vb3Xt5Rm8Ty1", [], n) == []
+
+
+PII_TEXTS = ["a@b.c@d.e x@y @z.w é..@a-b.co.uk.", "1.2.3.4.5.6.7.8 256.1.1.1 01.02.003.0004 1.2.3", "4111 1111 1111 1111 and 4111-1111-1111-1112 41111111111111111111", "+1 (555) 123-4567 x +12 +1.2.3.4.5.6.7.8.9.0.1.2.3.4.5.6 +1 ( 555) 0000000.", "9" * 3000 + "." + "8" * 3000]
+
+
+def pii_brute(t):
+    out = [("email", m.start(), m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
+    out += [("ip", m.start(), m.end()) for m in re.finditer(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t) if all(int(p) <= 255 for p in m[0].split("."))]
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", t):
+        d = re.sub("[^0-9]", "", m[0])
+        if 14 <= len(d) <= 19 and sum(sum(divmod(int(c) * (1 + n % 2), 10)) for n, c in enumerate(d[::-1])) % 10 == 0:
+            out.append(("card", m.start(), m.end()))
+    return out + [("phone", m.start(), m.end()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", t) if 10 <= len(re.sub("[^0-9]", "", m[0])) <= 15]
+
+
+def test_pii(docs_of, corpus):
+    docs = docs_of(*PII_TEXTS, *ODD).unionByName(corpus.withColumn("doc_id", F.col("doc_id") + 1000))
+    text = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    got = pii.scan_pii(docs.withColumn("h", F.lit(1))).collect()
+    assert len(got) == len(text)
+    for r in got:
+        want = pii_brute(text[r["doc_id"]])
+        assert r["base_sha256"] == sha(want, list(pii.KINDS)), text[r["doc_id"]][:200]
+        assert r["n_email"] == sum(k == "email" for k, _, _ in want) and len(want) + r["n_added"] == len([s for s in r["spans"].split(",") if s])
+    assert pii.scan_pii(docs.limit(0)).count() == 0
+
+
+def test_skip_edges_spread_a_label():
+    model = pii.SkipChain(np.zeros((pii.FEATURES, pii.LABELS)), np.zeros((pii.LABELS, pii.LABELS)), skip=4.0)
+    model.weights[13, 4] = 8.0  # a token after "+..." is surely a phone number
+    found = pii.nodes("+1 5551234567 then 555-123-4567")
+    p = model(found)
+    assert p[1].argmax() == 4 and p[2].argmax() == 4 and p[2][4] > 0.5
+    assert pii.skips(found) == [(1, 2)]
+
+
+def test_loopy_beliefs_equal_enumeration_on_a_chain():
+    rng = np.random.default_rng(0)
+    node, pair = rng.normal(size=(4, 3)), rng.normal(size=(3, 3, 3))
+    edges = np.array([(0, 1), (1, 2), (2, 3)])
+    want = np.zeros((4, 3))
+    for y in np.ndindex(3, 3, 3, 3):
+        w = np.exp(sum(node[i, y[i]] for i in range(4)) + sum(pair[k, y[k], y[k + 1]] for k in range(3)))
+        for i in range(4):
+            want[i, y[i]] += w
+    assert np.allclose(pii.marginals(node, edges, pair, rounds=60), want / want.sum(1, keepdims=True), atol=1e-6)
+
+
+def edited_brute(rows):
+    order = sorted(rows, key=lambda r: -r[0])
+    for (i, t), (_, u) in zip(order, order[1:] + order[:1]):
+        n = len(t) // 3
+        yield i, len(t), hashlib.sha256((t[: len(t) - n] + u[:n]).encode()).hexdigest(), u
+
+
+def test_fingerprints(docs_of, corpus):
+    docs = corpus.unionByName(docs_of(*ODD, ids=range(5000, 5009)))
+    text = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    got = {r["doc_id"]: r for r in fp.fingerprints(docs.withColumn("lent", F.lit(1)), per_range=16).collect()}
+    assert len(got) == len(text)
+    marks = {}
+    for i, n, digest, _ in edited_brute(list(text.items())):
+        r = got[i]
+        assert (r["n_chars"], r["edited_sha256"]) == (n, digest) and 0 <= r["near_edited"] <= 1
+        assert marks.setdefault(text[i], r["fingerprint"]) == r["fingerprint"]
+    one = fp.fingerprints(docs_of("a b c", ids=[None])).first()
+    assert one["near_next"] == 1.0 and fp.fingerprints(docs.limit(0)).count() == 0
+    tied = fp.fingerprints(docs_of("a b c", "d e f", "a b c", ids=[1, 1, 1])).collect()
+    assert len(tied) == 3
+
+
+def test_collision_rate_is_generalised_jaccard():
+    s, rng = fp.Sampler(samples=256), np.random.default_rng(0)
+    err = []
+    for _ in range(40):
+        a = {int(k): int(rng.integers(1, 6)) for k in rng.choice(2**60, 60)}
+        b = {k: (v if rng.random() < 0.6 else int(rng.integers(1, 6))) for k, v in a.items() if rng.random() < 0.8}
+        true = sum(min(a[k], b.get(k, 0)) for k in a) / sum(max(a[k], b.get(k, 0)) for k in a)
+        draw = lambda d: s.draw(np.array(sorted(d), np.uint64), np.array([d[k] for k in sorted(d)]))
+        err.append(fp.likeness(draw(a), draw(b)) - true)
+    assert abs(np.mean(err)) < 0.02 and np.std(err) < 0.05
+
+
+URLS = [None, "", "no scheme", "http://EXAMPLE.com/en/x", "https://www.example.com/en/1", "http://a.net/es/", "http://b.a.NET/fr?x", "http://net/fr/", "http://notexample.com/en/", "http://x.com", "http://x.com?y", "a://b://c.com/", "http://x.org/#a/es/", "http://com/\nq"]
+
+
+def test_url_rules(spark):
+    pages = spark.createDataFrame([(n, u, "h") for n, u in enumerate(URLS)], "page_id long, url string, html string").withColumn("host", F.lit(1))
+    got = {r["page_id"]: r for r in url_filter.url_filter(pages).collect()}
+    for n, u in enumerate(URLS):
+        rest = u.split("://", 1)[1] if u and "://" in u else ""
+        host = re.match(r"[^/?#]*", rest)[0].lower()
+        path = re.match(r"[^?#]*", rest[len(host) :])[0]
+        fits = [(h + p, v) for v, h, p in url_filter.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        rule, verdict = max(fits, key=lambda f: len(f[0]), default=(None, None))
+        r = got[n]
+        assert (r["host"], r["path"], r["rule"]) == (host, path, rule) and r["verdict"] in ("allow", "block")
+        assert rule is None or r["verdict"] == verdict
+    assert url_filter.url_filter(pages.limit(0)).count() == 0
+
+
+def test_url_trees_held_out(spark, sf):
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("url").toPandas()["url"]
+    rows = []
+    for u in pages:
+        rest = u.split("://", 1)[1]
+        host = re.match(r"[^/?#]*", rest)[0]
+        path = re.match(r"[^?#]*", rest[len(host) :])[0]
+        fits = [(len(h + p), v) for v, h, p in url_filter.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        if fits:
+            rows.append((u, host, path, max(fits)[1]))
+    df = pd.DataFrame(rows, columns=["url", "host", "path", "verdict"])
+    cut = len(df) * 4 // 5
+    model, rates, base = url_filter.train(df[:cut])
+    held = df[cut:]
+    p = model.predict(url_filter.features(list(held["url"]), list(held["host"]), list(held["path"]), rates, base))
+    majority = max((held["verdict"] == "block").mean(), (held["verdict"] == "allow").mean())
+    assert ((p >= 0.5) == (held["verdict"] == "block")).mean() >= majority
+
+
+def test_trees_learn_an_interaction():
+    rng = np.random.default_rng(0)
+    x = rng.random((2000, 3))
+    y = ((x[:, 0] > 0.5) ^ (x[:, 1] > 0.3)).astype(float)
+    m = BoostedTrees().fit(x[:1500], y[:1500])
+    assert ((m.predict(x[1500:]) > 0.5) == y[1500:]).mean() > 0.93
+    assert BoostedTrees().fit(np.zeros((0, 3)), np.zeros(0)).predict(x[:2]).tolist() == [0.5, 0.5]

@@ -53,14 +53,16 @@ def exclusive_prefix(df: DataFrame, key: str, value: str, out: str, fan: int = 4
     Keys are summed in runs of ``fan``; the sums are summed in turn until one run is left, so that no task sorts more than ``fan`` rows of a run.
     """
     top = df.agg(F.max(key)).first()[0]
-    w = W.Window.partitionBy("_run").orderBy(key).rowsBetween(W.Window.unboundedPreceding, -1)
-    runs = df.withColumn("_run", (F.col(key) / F.lit(fan)).cast("long") if top is not None and top >= fan else F.lit(0).cast("long"))
+    run = f"_run_{key}"
+    w = W.Window.partitionBy(run).orderBy(key).rowsBetween(W.Window.unboundedPreceding, -1)
+    small = top is None or top < fan
+    runs = df.withColumn(run, F.lit(0).cast("long") if small else F.floor(F.col(key) / F.lit(fan)).cast("long"))
     inner = F.coalesce(F.sum(value).over(w), F.lit(0).cast("long"))
-    if top is None or top < fan:
-        return runs.withColumn(out, inner).drop("_run")
-    sums = stored(runs.groupBy("_run").agg(F.sum(value).alias("_sum")), "prefix")
-    base = exclusive_prefix(sums, "_run", "_sum", "_base", fan).select("_run", "_base")
-    return runs.withColumn("_in", inner).join(base, "_run").withColumn(out, F.col("_base") + F.col("_in")).drop("_run", "_in", "_base", "_sum")
+    if small:
+        return runs.withColumn(out, inner).drop(run)
+    sums = stored(runs.groupBy(run).agg(F.sum(value).alias("_sum")), "prefix")
+    base = exclusive_prefix(sums, run, "_sum", f"{run}_base", fan).select(run, f"{run}_base")
+    return runs.withColumn(f"{run}_in", inner).join(base, run).withColumn(out, F.col(f"{run}_base") + F.col(f"{run}_in")).drop(run, f"{run}_in", f"{run}_base")
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
