@@ -119,3 +119,30 @@ def test_watermarked_windows(spark):
     rows = spark.createDataFrame([("A", 0, 1.0, 2.0, "BUY"), ("A", 59_000, 1.0, 3.0, "SELL"), ("A", 60_000, 1.0, 1.0, "BUY")], "symbol string, t bigint, price double, qty double, side string")
     got = flow.windowed_flow(rows).orderBy("window.start").collect()
     assert [(r["flowBuyQty"], r["flowSellQty"]) for r in got] == [(2.0, 3.0), (1.0, 0.0)]
+
+
+def head():
+    return 6
+
+
+def poll(channels, after, upto):
+    return [(n, json.dumps({"stream": c, "data": {"e": "aggTrade", "s": c.split("@")[0].upper(), "T": n, "p": str(n), "q": "1", "m": False}})) for n in range(after + 1, upto + 1) for c in channels]
+
+
+def test_feed_source(spark, tmp_path):
+    from tickweave.operators import projections
+    from tickweave.sources.feed import FeedSource, channel_names, split
+
+    names = channel_names(["AUSDT", "BUSDT"], books=False, marks=False, klines=(), liquidations=False, depth=None)
+    assert names == ["ausdt@aggTrade", "busdt@aggTrade"] and split(list(range(5)), 2) == [[0, 1], [2, 3], [4]]
+    assert "!bookTicker" in channel_names(["A"]) and "a@depth5@100ms" in channel_names(["A"], depth="partial", speed="100ms")
+    spark.dataSource.register(FeedSource)
+    raw = spark.readStream.format("market_feed").options(channels=",".join(names), perConnection="1", head="tests.test_io_streaming:head", poll="tests.test_io_streaming:poll").load()
+    trades = projections.agg_trade(projections.route(raw), F.lit(0))
+    run = trades.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/cp").trigger(processingTime="0 seconds").start()
+    try:
+        run.processAllAvailable()
+    finally:
+        run.stop()
+    got = spark.read.parquet(f"{tmp_path}/out")
+    assert sorted(r["t"] for r in got.filter("symbol = 'AUSDT'").collect()) == [1, 2, 3, 4, 5, 6] and got.count() == 12

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.coerce import finite
-from .asof import asof_backward, coalesce_context
-from .windows import trend_vol
+from .asof import Side, asof_many, coalesce_context
+from .windows import trend_at, vol_at
 
 #: The feature names and prefixes of market microstructure.
 MICRO_NAMES = ("bestBid", "bestAsk", "spreadPct", "imbalance", "microCompleteness")
@@ -40,12 +40,17 @@ def context_features(snapshots: DataFrame, prices: DataFrame, symbols: list[str]
 
     Trend and volatility end at the context's last price and start at its first one inside the window before the snapshot's time.
     """
-    out = snapshots
-    names = [f"trend{w}" for w in windows_ms] + [f"vol{w}" for w in windows_ms]
+    sides = [Side(prices.filter(F.col("symbol") == s).withColumn("_one", F.lit(1)), {"price": f"ctx_{s}_price"}, tolerance_ms=max_lag_ms, age=f"ctx_{s}_ageMs") for s in symbols]
+    out = asof_many(snapshots.withColumn("_one", F.lit(1)), sides, ["_one"]).drop("_one")
+    ticks = snapshots.select("t").distinct()
     for s in symbols:
-        side = trend_vol(prices.filter(F.col("symbol") == s), windows_ms, least_prices=4, retention_ms=max(windows_ms.values()))
-        got = asof_backward(out.withColumn("_one", F.lit(1)), side.withColumn("_one", F.lit(1)).drop("symbol"), ["price", *names], ["_one"], tolerance_ms=max_lag_ms, prefix=f"ctx_{s}_", age=f"ctx_{s}_ageMs")
-        out = got.drop("_one")
+        own, at = prices.filter(F.col("symbol") == s), ticks.withColumn("symbol", F.lit(s))
+        usable = F.col(f"ctx_{s}_price") > 0
+        out = out.withColumn(f"ctx_{s}_price", F.when(usable, F.col(f"ctx_{s}_price")))
+        for w, ms in windows_ms.items():
+            moved = trend_at(at, own, "_", ms, fallback=False).join(vol_at(at, own, "_", ms, 4), ["symbol", "t"]).drop("symbol")
+            shown = F.when(F.col(f"ctx_{s}_price").isNotNull(), F.col("trend_")), F.when(F.col(f"ctx_{s}_price").isNotNull() & F.col("trend_").isNotNull(), F.col("vol_"))
+            out = out.join(moved, "t", "left").withColumns({f"ctx_{s}_trend_{w}": shown[0], f"ctx_{s}_vol_{w}": shown[1]}).drop("trend_", "vol_")
     return out
 
 

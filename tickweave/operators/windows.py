@@ -44,34 +44,45 @@ def rolling_flow(trades: DataFrame, windows_ms: list[int], prefix: str = "flow",
     return own_rows(rows)
 
 
-def trend_vol(prices: DataFrame, windows_ms: dict[str, int], least_prices: int = 3, retention_ms: int = RETENTION_MS, vol: bool = True) -> DataFrame:
+def _volatility(rows: DataFrame, points: Column, name: str, least_prices: int) -> DataFrame:
+    """Adds the sample deviation of percent changes between neighbouring points (array of struct with ``price``, in order)."""
+    rows = rows.withColumn("_w", points)
+    p, pairs_n = F.transform("_w", lambda x: x["price"]), F.greatest(F.size("_w") - 1, F.lit(0))
+    pairs = F.filter(F.arrays_zip(F.slice(p, 1, pairs_n).alias("a"), F.slice(p, 2, pairs_n).alias("b")), lambda x: (x["a"] > 0) & (x["b"] > 0))
+    rows = rows.withColumn("_ch", F.transform(pairs, lambda x: (x["b"] - x["a"]) / x["a"] * 100)).withColumn("_n", F.size("_ch"))
+    rows = rows.withColumn("_mean", F.when(F.col("_n") > 0, F.aggregate("_ch", F.lit(0.0), lambda s, x: s + x) / F.col("_n")))
+    var = F.aggregate(F.transform("_ch", lambda x: (x - F.col("_mean")) * (x - F.col("_mean"))), F.lit(0.0), lambda s, x: s + x) / (F.col("_n") - 1)
+    return rows.withColumn(name, F.when((F.col("_n") >= 3) & (F.size("_w") >= least_prices), F.sqrt(F.greatest(var, F.lit(0.0))))).drop("_w", "_ch", "_n", "_mean")
+
+
+def trend_vol(prices: DataFrame, windows_ms: dict[str, int], least_prices: int = 3, retention_ms: int = RETENTION_MS) -> DataFrame:
     """Adds ``trend{name}`` and ``vol{name}`` to each price (symbol, t, seq, price).
 
-    Trend: percent change from the first price of the window (every price older than the window: the oldest one retained; start not positive: null). Volatility: sample deviation of percent
-    changes between neighbouring prices inside the window, pairs with a price that is not positive left out; null below three changes or ``least_prices`` prices.
+    Trend: percent change from the first price of the window (start not positive: null). Volatility: sample deviation of percent changes between neighbouring prices inside the window, pairs with
+    a price that is not positive left out; null below three changes or ``least_prices`` prices.
     """
-    widest = max([retention_ms, *windows_ms.values()])
-    rows = bucketed(prices, widest)
-    last_of = F.struct("t", "seq")
+    rows = bucketed(prices, max([retention_ms, *windows_ms.values()]))
+    here = F.struct("t", "seq")
     for name, w in windows_ms.items():
         span = F.sort_array(F.collect_list(F.struct("t", "seq", "price")).over(frame(w)))
-        upto = F.filter(span, lambda x: F.struct(x["t"], x["seq"]) <= last_of)
-        if vol:
-            rows = rows.withColumn("_w", upto)
-            p = F.transform("_w", lambda x: x["price"])
-            pairs = F.filter(F.arrays_zip(F.slice(p, 1, F.greatest(F.size(p) - 1, F.lit(0))).alias("a"), F.slice(p, 2, F.greatest(F.size(p) - 1, F.lit(0))).alias("b")), lambda x: (x["a"] > 0) & (x["b"] > 0))
-            rows = rows.withColumn("_ch", F.transform(pairs, lambda x: (x["b"] - x["a"]) / x["a"] * 100)).withColumn("_n", F.size("_ch"))
-            mean = F.aggregate("_ch", F.lit(0.0), lambda s, x: s + x) / F.col("_n")
-            rows = rows.withColumn("_mean", F.when(F.col("_n") > 0, mean))
-            var = F.aggregate(F.transform("_ch", lambda x: (x - F.col("_mean")) * (x - F.col("_mean"))), F.lit(0.0), lambda s, x: s + x) / (F.col("_n") - 1)
-            rows = rows.withColumn(f"vol{name}", F.when((F.col("_n") >= 3) & (F.size("_w") >= least_prices), F.sqrt(F.greatest(var, F.lit(0.0))))).drop("_w", "_ch", "_n", "_mean")
+        rows = _volatility(rows, F.filter(span, lambda x: F.struct(x["t"], x["seq"]) <= here), f"vol{name}", least_prices)
         start = F.min(F.struct("t", "seq", "price")).over(frame(w))["price"]
         rows = rows.withColumn(f"trend{name}", F.when(start > 0, (F.col("price") - start) / start * 100))
     return own_rows(rows)
 
 
-def trend_at(ticks: DataFrame, prices: DataFrame, name: str, window_ms: int, retention_ms: int = RETENTION_MS) -> DataFrame:
-    """Trend at arbitrary times (symbol, t): current price against the first one in the window, or the oldest retained by the last event when all are older."""
+def vol_at(ticks: DataFrame, prices: DataFrame, name: str, window_ms: int, least_prices: int = 3) -> DataFrame:
+    """``vol{name}`` at arbitrary times (symbol, t): ticks enter the price stream as rows without a price."""
+    marked = prices.select("symbol", "t", "seq", "price", F.lit(False).alias("_tick"))
+    asked = ticks.select("symbol", "t").distinct().select("symbol", "t", F.lit(2**62).cast("bigint").alias("seq"), F.lit(None).cast("double").alias("price"), F.lit(True).alias("_tick"))
+    rows = bucketed(marked.unionByName(asked), window_ms)
+    point = F.when(F.col("price").isNotNull(), F.struct("t", "seq", "price"))  # nulls are not collected
+    rows = rows.withColumn("_span", F.sort_array(F.collect_list(point).over(frame(window_ms)))).filter("_tick")
+    return own_rows(_volatility(rows, F.col("_span"), f"vol{name}", least_prices)).select("symbol", "t", f"vol{name}")
+
+
+def trend_at(ticks: DataFrame, prices: DataFrame, name: str, window_ms: int, retention_ms: int = RETENTION_MS, fallback: bool = True) -> DataFrame:
+    """Trend at arbitrary times (symbol, t): current price against the first one in the window; when all are older, against the oldest retained by the last event, or (``fallback`` false) null."""
     from .asof import asof_backward
 
     oldest = bucketed(prices, retention_ms).withColumn("_old", F.min(F.struct("t", "seq", "price")).over(frame(retention_ms))["price"])
@@ -81,7 +92,7 @@ def trend_at(ticks: DataFrame, prices: DataFrame, name: str, window_ms: int, ret
     neg = marks.withColumns({"_nt": -F.col("_pt"), "_ns": -F.col("seq")})
     with_first = asof_backward(got.withColumn("_nf", -F.col("_from")), neg, ["_pp", "_pt"], t="_nf", right_t="_nt", seq="_ns", prefix="_f")
     inside = F.col("_f_pt") <= F.col("t")
-    start = F.when(inside, F.col("_f_pp")).otherwise(F.col("_c__old"))
+    start = F.when(inside, F.col("_f_pp")).otherwise(F.col("_c__old") if fallback else F.lit(None))
     return with_first.withColumn(f"trend{name}", F.when(start > 0, (F.col("_c_price") - start) / start * 100)).drop("_c_price", "_c__old", "_c_t", "_from", "_nf", "_f_pp", "_f_pt")
 
 

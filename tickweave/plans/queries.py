@@ -415,3 +415,38 @@ def t4_depth_replay(spark: SparkSession, sf: str) -> DataFrame:
     level = lambda p: F.array(F.array(p.cast("string"), F.col("qty").cast("string")))
     ev = x.select("symbol", "t", "seq", F.when(F.col("seq") % 97 == 0, "snapshot").otherwise("event").alias("kind"), F.col("seq").alias("firstId"), F.col("seq").alias("finalId"), F.lit(None).cast("bigint").alias("prevId"), (F.col("seq") + 20).alias("lastUpdateId"), level(F.round(F.col("price"))).alias("b"), level(F.round(F.col("price")) + 1).alias("a"))
     return book.replay(ev)
+
+
+@query(f"""{_GRID}, c AS (SELECT t, price FROM ev WHERE symbol='view'), l AS (SELECT DISTINCT k.t, c.t AS ct, c.price AS p FROM k ASOF LEFT JOIN c ON k.t >= c.t),
+w AS (SELECT l.t, list(c.price ORDER BY c.t) AS ps FROM l JOIN c ON c.t BETWEEN l.t-10800000 AND l.t GROUP BY l.t), r AS (SELECT t, ps, [(ps[i+1]-ps[i])/ps[i]*100 FOR i IN range(1, len(ps))] AS ch FROM w)
+SELECT k.symbol, k.t, k.t-l.ct AS "ctx_view_ageMs", round(CASE WHEN k.t-l.ct <= 7200000 THEN l.p END,6) AS ctx_view_price, round(CASE WHEN k.t-l.ct <= 7200000 THEN (l.p-r.ps[1])/r.ps[1]*100 END,6)+0.0 AS "ctx_view_trend_180m",
+CASE WHEN k.t-l.ct <= 7200000 AND len(r.ps)>=4 AND len(r.ch)>=3 THEN round(list_aggregate(r.ch,'stddev_samp'),6) END AS "ctx_view_vol_180m" FROM k JOIN l USING (t) LEFT JOIN r USING (t)""")
+def j3_w9_w10_context(spark: SparkSession, sf: str) -> DataFrame:
+    return r6(datasets.context_features(_ticks(spark, sf), trades(spark, sf), ["view"], {"180m": 3 * HOUR}, 2 * HOUR))
+
+
+@query(f"{_WIDE} SELECT symbol, t, seq, CAST(CASE WHEN seq%2=0 THEN t ELSE {NOW} END AS BIGINT) AS event_time, CASE WHEN seq%3=0 THEN ask ELSE coalesce(bid, ask) END AS price FROM s WHERE CASE WHEN seq%3=0 THEN ask ELSE coalesce(bid, ask) END IS NOT NULL")
+def p7_p8_time_and_price(spark: SparkSession, sf: str) -> DataFrame:
+    x = _wide(spark, sf)
+    x = x.withColumns({"bestBid": F.when(F.col("seq") % 3 == 0, F.lit(float("nan"))).otherwise(F.col("bestBid")), "markPrice": F.lit(None).cast("double")}).drop("price")
+    t = projections.event_time(F.when(F.col("seq") % 2 == 0, F.col("t")).otherwise(F.lit(0).cast("bigint")), now=F.lit(NOW).cast("bigint"))
+    return projections.snapshot_price(x.withColumn("event_time", t)).select("symbol", "t", "seq", "event_time", "price")
+
+
+@query(f"{_WIDE} SELECT symbol, t, seq, round((CASE WHEN bid IS NULL THEN 0 ELSE 1 END + CASE WHEN ask IS NULL THEN 0 ELSE 1 END + CASE WHEN fr IS NULL THEN 0 ELSE 1 END)/3.0, 6) AS share, round(coalesce(fr, qty/1000.0), 6) AS filled FROM (SELECT s.*, e.qty FROM s JOIN ev e USING (symbol, t, seq))")
+def a3_j8_completeness_and_fill(spark: SparkSession, sf: str) -> DataFrame:
+    x = _wide(spark, sf).withColumn("share", market.completeness([F.col(c) for c in ("bestBid", "bestAsk", "fundingRate")])).withColumn("ctx_fundingRate", F.col("qty") / 1000)
+    return r6(datasets.fill_context(x, ["fundingRate"]).select("symbol", "t", "seq", "share", F.col("fundingRate").alias("filled")))
+
+
+@query(f"""{_LABELS} SELECT symbol, "horizonMs", count(*) AS n FROM u JOIN (SELECT symbol, t, seq FROM s) USING (symbol, t, seq) JOIN (SELECT CAST(3600000 AS BIGINT) AS h, CAST(3600000 AS BIGINT) AS "horizonMs" UNION ALL SELECT 21600000, 21600000) USING (h) WHERE bid IS NOT NULL AND ask IS NOT NULL AND xbid IS NOT NULL AND xask IS NOT NULL GROUP BY ALL""")
+def p16_require_quotes(spark: SparkSession, sf: str) -> DataFrame:
+    got = labels.return_labels(_wide(spark, sf), [HOUR, 6 * HOUR], max_lag_pct=0.5, require_bbo=True)
+    return got.groupBy("symbol", "horizonMs").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT strftime(o_orderdate, '%Y%m%d') AS date, o_orderpriority AS stream, count(*) AS n FROM orders GROUP BY ALL")
+def k1_partition_keys(spark: SparkSession, sf: str) -> DataFrame:
+    o = table(spark, sf, "orders")
+    ms = F.unix_millis(F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col("o_orderdate").cast("timestamp_ntz")).cast("timestamp"))
+    return o.groupBy(coerce.date_key(ms).alias("date"), F.col("o_orderpriority").alias("stream")).agg(F.count(F.lit(1)).alias("n"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.market import basis_pct, completeness, imbalance, spread_pct
 from ..operators.asof import Side, asof_many
-from ..operators.windows import deltas, rolling_flow, suffix, trend_at, trend_vol
+from ..operators.windows import deltas, rolling_flow, suffix, trend_at, vol_at
 
 #: The keys that make up the two completeness ratios.
 COMPLETENESS_KEYS = "markPrice indexPrice fundingRate openInterest bestBid bestAsk spreadPct imbalance depthBidQty depthAskQty depthImbalance basisPct changePct24h volume24h quoteVolume24h kline1mClose kline1mVol kline5mClose kline5mVol trend5m trend15m vol5m vol15m aggBuyQty aggSellQty liqBuyQty liqSellQty".split()
@@ -43,8 +43,6 @@ def build_snapshots(ticks: DataFrame, tables: dict[str, DataFrame], windows_ms:
     }
     known = {n: v for n, v in sides.items() if n in tables}
     looked = [Side(tables[n], columns, age=age) for n, (columns, age) in known.items()]
-    if "prices" in tables:
-        looked.append(Side(trend_vol(tables["prices"], trends_ms), {f"vol{n}": f"vol{n}" for n in trends_ms}))
     out = asof_many(ticks, looked)
     out = out.withColumns({c: F.lit(None).cast("double") for n, (columns, _) in sides.items() if n not in known for c in columns.values()})
     price = F.coalesce("markPrice", "bestBid", "bestAsk", "last", "kline1mClose", "kline5mClose")
@@ -57,7 +55,8 @@ def build_snapshots(ticks: DataFrame, tables: dict[str, DataFrame], windows_ms:
             out = out.withColumns({f"{short}{m}": F.col(f"{prefix}{m}{tail}") for m in ("BuyQty", "SellQty", "BuyCount", "SellCount", "VWAP", "BuySellRatio", "NetQty", "NetNotional")})
     if "prices" in tables:
         for name, w in trends_ms.items():
-            out = out.join(trend_at(ticks.select("symbol", "t"), tables["prices"], name, w), ["symbol", "t"])
+            at = ticks.select("symbol", "t")
+            out = out.join(trend_at(at, tables["prices"], name, w), ["symbol", "t"]).join(vol_at(at, tables["prices"], name, w), ["symbol", "t"])
     have = set(out.columns)
     out = out.withColumns({"featureCompleteness": _share(have, COMPLETENESS_KEYS), "microCompleteness": _share(have, MICRO_KEYS)})
     numeric = [c for c, kind in out.dtypes if kind in ("double", "bigint", "int") and c not in ("t", "price")]
