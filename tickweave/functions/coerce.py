@@ -73,7 +73,8 @@ def parse_time(x: Column) -> Column:
 
 
 def utc(t: Column) -> Column:
-    return F.timestamp_millis(t.cast("bigint"))
+    """The UTC wall clock of epoch milliseconds, whatever the session's zone."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.timestamp_millis(t.cast("bigint")).cast("timestamp_ntz"))
 
 
 def format_ts(t: Column) -> Column:

@@ -330,7 +330,6 @@ def f1_coercions(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"""WITH {EV} SELECT seq, strftime(make_timestamp(t*1000), '%Y-%m-%dT%H:%M:%S.') || lpad(CAST(t%1000 AS VARCHAR),3,'0') || 'Z' AS iso, strftime(make_timestamp(t*1000),'%Y%m%d') AS day, strftime(make_timestamp(t*1000),'%H') AS hour, 'snap-' || symbol || '-' || t AS id FROM ev""")
 def f18_time_keys(spark: SparkSession, sf: str) -> DataFrame:
     t = F.col("t")
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return trades(spark, sf).select("seq", coerce.format_ts(t).alias("iso"), coerce.date_key(t).alias("day"), coerce.hour_key(t).alias("hour"), coerce.snapshot_id(F.col("symbol"), t).alias("id"))
 
 
