@@ -3,9 +3,9 @@
 Two documents link when their sets of word shingles have a Jaccard similarity of ``percent`` % or more. Sets of 64-bit shingle hashes stand for the shingles.
 
 1. Documents with equal sets form a class; only classes go on (map tasks send a class once).
-2. Every distinct (shingle, class) goes once to the owner of the shingle's range, as packed bytes; owners count in how many classes each shingle occurs
-   and send back, by class, the shingles that others have too. The global order is (frequency, shingle), rarest first. A class more than a fifth of whose shingles
-   are its own cannot link; what is left is counted again among itself.
+2. A class more than a fifth of whose shingles are its own cannot link. Three eighths of the shingles (by hash) are enough to show that for nearly all such classes: every (shingle, class)
+   of that part goes once to the owner of the shingle's range, as packed bytes; owners report how many of a class's shingles others have too.
+   For the classes left, all shingles are sent and counted among themselves, and come back by class in the global order: (frequency, shingle), rarest first.
 3. Linking sets share a shingle of their prefixes (the first n - ceil(0.8 n) + 1 in the global order): stars over prefix shingles give candidate groups, whose
    components are found by contraction. No pair is listed.
 4. A task gets the sets of a candidate group and joins them in a trie of globally ordered sets, from which each set is looked up: overlaps are summed along shared paths, and a
@@ -33,6 +33,8 @@ WORDS = 5
 PERCENT = 80
 BLOCK = 2_000
 ENTRIES_A_PART = 1_000_000
+LOOK = 3  # eighths of the shingles that the first look takes
+BROADCAST_IDS = 2_000_000
 
 
 def least_overlap(a: int, b: int, percent: int = PERCENT) -> int:
@@ -52,13 +54,18 @@ def class_of(s: np.ndarray) -> int:
     return int(mix(np.array([x], np.uint64))[0].view(np.int64))
 
 
+def _part(s: np.ndarray) -> np.ndarray:
+    """The shingles that the first look takes."""
+    return s[(s >> np.uint64(8)) % np.uint64(8) < np.uint64(LOOK)]
+
+
 def _sizes(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = list((len(s), class_of(s)) for s in shingle_sets(batch.column(1), words))
+            sets = list((len(s), class_of(s), len(_part(s))) for s in shingle_sets(batch.column(1), words))
             if sets:
-                n, c = zip(*sets)
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(c, pa.int64())], names=["doc_id", "n_shingles", "cls"])
+                n, c, k = zip(*sets)
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(c, pa.int64()), pa.array(k, pa.int64())], names=["doc_id", "n_shingles", "cls", "looked"])
 
     return run
 
@@ -93,7 +100,7 @@ def _send(classes: list[int], sizes: list[int], sets: list[np.ndarray], ranges:
         yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows), PACKED)], schema=PACKED)
 
 
-def _emit(words: int, ranges: int, at_once: int = 2_000_000):
+def _emit(words: int, ranges: int, look: bool, at_once: int = 2_000_000):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: set[int] = set()  # bounded: cleared when large
         classes, sizes, sets, held = [], [], [], 0
@@ -109,8 +116,8 @@ def _emit(words: int, ranges: int, at_once: int = 2_000_000):
                 done.add(c)
                 classes.append(c)
                 sizes.append(len(s))
-                sets.append(s)
-                held += len(s)
+                sets.append(_part(s) if look else s)
+                held += len(sets[-1])
                 if held >= at_once or len(sets) >= 65_000:
                     yield from _send(classes, sizes, sets, ranges)
                     classes, sizes, sets, held = [], [], [], 0
@@ -150,6 +157,28 @@ def _received(part: int, rows: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.
     return np.concatenate(token), np.concatenate(cls), np.concatenate(size)
 
 
+def _shared(token: np.ndarray, cls: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(token, class, size, frequency) of the distinct entries whose shingle has two classes or more."""
+    order = np.lexsort((cls, token))
+    token, cls, size = token[order], cls[order], size[order]
+    fresh = np.ones(len(token), bool)
+    fresh[1:] = (token[1:] != token[:-1]) | (cls[1:] != cls[:-1])
+    token, cls, size = token[fresh], cls[fresh], size[fresh]
+    first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
+    runs = np.diff(np.append(first, len(token)))
+    df = np.repeat(runs, runs)
+    many = df >= 2
+    return token[many], cls[many], size[many], df[many]
+
+
+def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Entries of a range -> how many of each class's shingles others have too."""
+    for part, rows in _by_range(batches):
+        cls, shared = np.unique(_shared(*_received(part, rows))[1], return_counts=True)
+        if len(cls):
+            yield pa.RecordBatch.from_arrays([pa.array(cls), pa.array(shared.astype(np.int64))], names=["cls", "shared"])
+
+
 def _count(ranges: int):
     """Entries of a range -> by class bucket, those whose shingle has two classes or more, with that number."""
 
@@ -157,16 +186,8 @@ def _count(ranges: int):
         for part, rows in _by_range(batches):
             yield from count(*_received(part, rows))
 
-    def count(token: np.ndarray, cls: np.ndarray, size: np.ndarray) -> Iterator[pa.RecordBatch]:
-        order = np.lexsort((cls, token))
-        token, cls, size = token[order], cls[order], size[order]
-        fresh = np.ones(len(token), bool)
-        fresh[1:] = (token[1:] != token[:-1]) | (cls[1:] != cls[:-1])
-        token, cls, size = token[fresh], cls[fresh], size[fresh]
-        first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
-        df = np.repeat(np.diff(np.append(first, len(token))), np.diff(np.append(first, len(token))))
-        many = df >= 2
-        token, cls, size, df = token[many], cls[many], size[many], df[many]
+    def count(*entries: np.ndarray) -> Iterator[pa.RecordBatch]:
+        token, cls, size, df = _shared(*entries)
         owner = (cls.view(np.uint64) >> np.uint64(20)) % np.uint64(ranges)
         order = np.lexsort((cls, owner))
         token, cls, size, df, owner = token[order], cls[order], size[order], df[order].astype(np.int32), owner[order]
@@ -202,27 +223,6 @@ def _gather(percent: int):
     return run
 
 
-def _emit_again(ranges: int, at_once: int = 2_000_000):
-    """As ``_emit``, from sets that are already shingles."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes, sizes, sets, held = [], [], [], 0
-        for batch in batches:
-            for c, n, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3).to_pylist()):
-                s = np.frombuffer(raw, np.uint64)
-                classes.append(c)
-                sizes.append(n)
-                sets.append(s)
-                held += len(s)
-                if held >= at_once or len(sets) >= 65_000:
-                    yield from _send(classes, sizes, sets, ranges)
-                    classes, sizes, sets, held = [], [], [], 0
-        if sets:
-            yield from _send(classes, sizes, sets, ranges)
-
-    return run
-
-
 def _prefixes(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -352,26 +352,33 @@ def _join(percent: int):
     return run
 
 
-def shared_sets(packed: DataFrame, entries: int, percent: int) -> DataFrame:
-    """Counts the entries and returns the classes that may still link (table ``SETS``)."""
-    spark = packed.sparkSession
-    n = parts_for(spark, entries, ENTRIES_A_PART)
-    counted = packed.repartition(n, "part").sortWithinPartitions("part").mapInArrow(_count(n), "part int, cls binary, n binary, tokens binary, df binary")
-    return stored(counted.repartition(n, "part").sortWithinPartitions("part").mapInArrow(_gather(percent), SETS), "sets")
+def _few(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose id is among ``ids``, and those without one; the ids are broadcast only while they are few."""
+    n = ids.count()
+    ids = ids.select(F.col("doc_id").alias("_wanted"))
+    ids = F.broadcast(ids) if n <= BROADCAST_IDS else ids
+    return rows.join(ids, rows["doc_id"] == ids["_wanted"], "left_semi").unionByName(rows.filter("doc_id IS NULL"))
 
 
 def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, block: int = BLOCK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id reachable over links, itself included)."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sized = stored(rows.mapInArrow(_sizes(words), "doc_id long, n_shingles long, cls long"), "sizes")
-    entries = sized.agg(F.sum("n_shingles")).first()[0] or 0
+    sized = stored(rows.mapInArrow(_sizes(words), "doc_id long, n_shingles long, cls long, looked long"), "sizes")
+    packed = "part int, classes binary, sizes binary, which binary, tokens binary"
+    entries = sized.agg(F.sum("looked")).first()[0] or 0
     n = parts_for(spark, entries, ENTRIES_A_PART)
-    schema = "part int, classes binary, sizes binary, which binary, tokens binary"
-    sets = shared_sets(rows.select("text").mapInArrow(_emit(words, n), schema), entries, percent)
-    left = sets.agg(F.sum(F.length("tokens") / 8).cast("long")).first()[0] or 0
+    tally = rows.select("text").mapInArrow(_emit(words, n, True), packed).repartition(n, "part").sortWithinPartitions("part").mapInArrow(_tally, "cls long, shared long")
+    tally = tally.groupBy("cls").agg(F.sum("shared").alias("shared"))
+    classes = sized.filter("n_shingles > 0").groupBy("cls", "n_shingles", "looked").agg(F.min("doc_id").alias("doc_id"))
+    own = F.col("looked") - F.coalesce("shared", F.lit(0))
+    allowed = F.col("n_shingles") - F.ceil(F.col("n_shingles") * F.lit(percent) / F.lit(100)).cast("long")
+    open_ = stored(classes.join(tally, "cls", "left").filter(own <= allowed).select("cls", "doc_id", "n_shingles"), "open")
+    left = open_.agg(F.sum("n_shingles")).first()[0] or 0
     m = parts_for(spark, left, ENTRIES_A_PART)
-    sets = shared_sets(sets.mapInArrow(_emit_again(m), schema), left, percent)
+    sent = _few(rows, open_.filter("doc_id IS NOT NULL")).select("text").mapInArrow(_emit(words, m, False), packed)
+    counted = sent.repartition(m, "part").sortWithinPartitions("part").mapInArrow(_count(m), "part int, cls binary, n binary, tokens binary, df binary")
+    sets = stored(counted.repartition(m, "part").sortWithinPartitions("part").mapInArrow(_gather(percent), SETS), "sets")
     prefixes = stored(sets.mapInArrow(_prefixes(percent), "token long, cls long"), "prefixes")
     anchors = prefixes.groupBy("token").agg(F.min("cls").alias("anchor"), F.count(F.lit(1)).alias("k")).filter("k > 1")
     stars = prefixes.join(anchors, "token").filter("cls <> anchor").select(F.col("cls").alias("a"), F.col("anchor").alias("b")).distinct()
@@ -380,7 +387,7 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, bl
     placed = groups.join(size, "root").select(F.col("node").alias("cls"), "root", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("mine"))
     other = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     tasks = other.select("cls", "root", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
-    work = sets.join(tasks, "cls").repartition(n, "root", "i", "j").sortWithinPartitions("root", "i", "j")
+    work = sets.join(tasks, "cls").repartition(m, "root", "i", "j").sortWithinPartitions("root", "i", "j")
     links = work.select("root", "i", "j", "cls", "n", "tokens").mapInArrow(_join(percent), "a long, b long")
     joined = connected_components(links)
     classes = sized.filter("n_shingles > 0").groupBy("cls").agg(F.min("doc_id").alias("least"))
