@@ -5,7 +5,7 @@ the term alone; with t = floor(ln weight / r + b) the term with the least ln c -
 draw the same (term, t) is their generalised Jaccard similarity, sum of minima over sum of maxima. A gamma draw is the sum of two exponential draws taken from two seeded
 tables at independent hashes of the term, so no per-term generator is needed. A sample is kept as 16 bits of a hash of (term, t).
 
-The neighbour in descending doc_id is found without sorting everything in one place: documents are dealt into id ranges (from quantiles), the largest
+The neighbour in descending doc_id is found without sorting everything in one place: documents are dealt into id ranges (by quantiles), the largest
 document of each range is also sent to the next range above, and each range is read in order.
 
 Edge cases: null text counts as empty; empty texts have a fingerprint of their own kind, alike with each other; null doc_id sorts below all others; of rows with the same doc_id the order is
@@ -29,6 +29,7 @@ SAMPLES = 64
 TABLE = 1 << 12
 SLICE = 4096  # terms weighed at a time
 DOCS_A_RANGE = 4096
+MAX_RANGES = 50_000
 LEAST = -(2**63)  # stands for a null id
 
 
@@ -110,9 +111,11 @@ def fingerprints(docs: DataFrame, samples: int = SAMPLES, seed: int = 1, per_ran
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     n = rows.count()
-    # Range edges come from Spark's own range partitioning of the ids alone: one id a range reaches the driver. Any edges give the same result.
+    # Range edges are quantiles of the ids, at most MAX_RANGES of them. Any edges give the same result.
     ids = rows.select(F.coalesce("doc_id", F.lit(LEAST)).alias("doc_id"))
-    cuts = np.array(sorted(r[0] for r in ids.repartitionByRange(max(1, n // per_range), "doc_id").groupBy(F.spark_partition_id()).agg(F.min("doc_id")).collect()), np.int64)
+    k = max(1, min(n // per_range, MAX_RANGES))
+    inner = ids.agg(F.percentile_approx("doc_id", [i / k for i in range(1, k)], 20 * k)).first()[0] if k > 1 else None
+    cuts = np.unique(np.array([LEAST, *(inner or [])], np.int64))
 
     @F.pandas_udf("int")
     def range_of(doc_id: pd.Series) -> pd.Series:
