@@ -88,6 +88,12 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
     raise RuntimeError("connected_components: no fixed point within max_rounds")
 
 
-def keep_columns(df: DataFrame, names: list[str]) -> DataFrame:
-    """Only the columns an operator reads, by name, so that further or clashing columns of its input do no harm."""
-    return df.select(*[F.col(f"`{n}`") for n in names])
+def hash_cut(n: int, k: int) -> int:
+    """The hash under which about ``k`` of ``n`` rows lie (all, if there are no more)."""
+    return 2**63 - 1 if n <= k else -(2**63) + 2**64 * k // n
+
+
+def smallest(df: DataFrame, keys: list[str], k: int) -> DataFrame:
+    """The ``k`` rows with the smallest hash of the keys, with the hash as ``_h``. Rows far from the smallest are dropped before any task reports its own ``k``."""
+    hashed = df.withColumn("_h", F.xxhash64(*keys))
+    return hashed.filter(F.col("_h") <= F.lit(hash_cut(df.count(), 2 * k))).orderBy("_h", *keys).limit(k)

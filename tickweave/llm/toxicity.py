@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
+from .common import smallest
+
 MAX_TRAIN = 4_000  # documents, at most half of them toxic
 MAX_TRAIN_CHARS = 32_000_000
 FOLDS = 5  # rows whose crc32 modulo this is 0 are held out
@@ -228,7 +230,7 @@ def held_out(doc_id):
 def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, max_chars: int = MAX_TRAIN_CHARS, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """The model from at most ``max_train`` labelled documents (half of them toxic at most) and ``max_chars`` characters, smallest hash first; held-out rows never."""
     ids = labels.select(F.col("doc_id").alias("_id"), (F.col("toxic") == 1).alias("_toxic")).filter(F.col("_id").isNotNull() & F.col("_toxic").isNotNull() & ~held_out(F.col("_id")))
-    few = [ids.filter(kind).withColumn("_h", F.xxhash64("_id")).orderBy("_h").limit(max_train // 2) for kind in ("_toxic", "NOT _toxic")]
+    few = [smallest(ids.filter(kind), ["_id"], max_train // 2) for kind in ("_toxic", "NOT _toxic")]
     chosen = few[0].unionByName(few[1])
     rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text")).join(F.broadcast(chosen), "_id")  # at most max_train ids
     before = F.sum(F.length("_text")).over(W.Window.partitionBy("_toxic").orderBy("_h", "_text").rowsBetween(W.Window.unboundedPreceding, 0))
