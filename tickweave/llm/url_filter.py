@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .boosting import BoostedTrees
+from .common import smallest
 
 Rule = tuple[str, str, str]
 MAX_TRAIN = 20_000
@@ -83,7 +84,7 @@ def url_filter(pages: DataFrame, rules: list[Rule] = RULES, max_train: int = MAX
     parsed = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), host.alias("host"), path.alias("path"))
     name, verdict = rule_of(F.col("host"), F.col("path"), rules)
     judged = parsed.withColumns({"rule": name, "verdict": verdict})
-    sample = judged.filter("rule IS NOT NULL").select("url", "host", "path", "verdict").orderBy(F.xxhash64("url"), "url").limit(max_train).toPandas()
+    sample = smallest(judged.filter("rule IS NOT NULL"), ["page_id", "url"], max_train).select("url", "host", "path", "verdict").toPandas()
     model, rates, base = train(sample)
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
