@@ -21,8 +21,8 @@ from pyspark.sql import window as W
 
 from .common import parts_for, stored
 
-CAPACITY = 16_384
-MAX_DEPTH = 12
+CAPACITY = 1_024
+MAX_DEPTH = 14
 
 
 def directory(counts: dict[int, int], depth: int, capacity: int) -> tuple[int, list[int]]:
