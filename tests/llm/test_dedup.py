@@ -156,6 +156,23 @@ def test_passages_pasted_into_other_text(docs_of):
         assert "p20" in text[r["doc_id"]][r["start"] : r["end"]]
 
 
+def test_passages_without_sentence_ends_are_found_each(docs_of):
+    rng = np.random.default_rng(5)
+    texts, places = [], []
+    for n in range(60):
+        size = 51 + n % 30
+        shared = [f"s{n}_{k}" + ("." if n % 3 == 0 and k in (24, 30) else "") for k in range(size)]  # at most one short whole sentence
+        for side in "ab":
+            fill = [f"{side}{n}_{k}" for k in range(int(rng.integers(20, 60)))]
+            texts.append(" ".join([*fill, *shared, *[w + "z" for w in fill]]))
+            places.append(shared)
+    got = {r["doc_id"]: r for r in sd.repeated_passages(docs_of(*texts)).collect()}
+    assert set(got) == set(range(120))
+    for i, shared in enumerate(places):
+        found = texts[i][got[i]["start"] : got[i]["end"]].split()
+        assert set(found) <= set(shared) and len(found) >= len(shared) - 2 * (sd.WINDOW - 1) and got[i]["removed"] == bool(i % 2)
+
+
 def test_alike_paragraphs(docs_of):
     line = words("p", 60).replace(".", "")
     docs = docs_of(line, line.replace("p30", "q30"), words("z", 50).replace(".", ""))

@@ -1,12 +1,14 @@
 """Passages that repeat within or across documents: paragraph MinHash banding, exact verification, removal by components.
 
-Units of a text are its lines (paragraphs) of ``least_line`` words or more and its sentence groups (sentences, joined until they have four words).
+Units of a text are its lines (paragraphs) of ``least_line`` words or more, its sentence groups (sentences, joined until they have four words) and winnowed runs of ``RUN`` words.
 A unit is named by a hash of its words and its kind. Equal units are found by that name; lines that are merely alike are found by MinHash: ``bands`` of ``rows`` minima of their 5-word shingles,
 tuned so that a pair at the threshold collides with a probability of ``recall`` or more. In each bucket the lines are paired with two anchors, whose choice differs from band to band, never
 with each other; pairs are verified by the exact Jaccard similarity of their shingle sets, and components of verified pairs become one passage. The first occurrence of a passage
 (smallest doc_id, then place) is kept. Occurrences that touch are merged into spans; a span of ``least_span`` words or more is reported.
 
-Sentence groups make up for passages pasted into the middle of other paragraphs: their first and last sentence are torn, the ones between are whole.
+Sentence groups and runs make up for passages pasted into the middle of other paragraphs. Runs do not depend on sentence ends: they are the ``RUN`` words from every place whose word triple has
+the smallest hash of ``WINDOW`` neighbouring places (winnowing), so two copies of ``RUN + WINDOW - 1`` = 21 words or more share one, and the shared ones touch and cover all of a copied
+passage but at most ``WINDOW - 1`` words at either end: a passage of 43 words or more is always reported, its torn ends to within 9 words.
 
 Edge cases: null or empty text has no units; null doc_id sorts first among occurrences and keeps its spans apart from other rows' by the row's own text; repeated rows repeat each other's passages and merge into one
 span each by doc_id; long texts are read whole; an empty table gives no rows; further columns are ignored.
@@ -32,6 +34,8 @@ MINIMA = 24
 LEAST_LINE = 20
 LEAST_UNIT = 4
 LEAST_SPAN = 25
+RUN = 12
+WINDOW = 10
 
 
 def tune(threshold: float = THRESHOLD, recall: float = RECALL, minima: int = MINIMA) -> tuple[int, int]:
@@ -75,6 +79,17 @@ def units_of(raw: np.ndarray, offsets: np.ndarray, least_line: int, least_unit:
     return row[first], kind, first, last, h, start, end
 
 
+def runs_of(h: np.ndarray, row: np.ndarray, run: int = RUN, window: int = WINDOW) -> np.ndarray:
+    """First words of the winnowed runs of consecutive texts: in every ``window`` places of a text the leftmost with the smallest hash of three words."""
+    n = len(h) - (run + window - 2)
+    if n <= 0:
+        return np.zeros(0, np.int64)
+    m = n + window - 1
+    order = mix(mix(h[:m], 6) + mix(h[1 : m + 1], 7) + mix(h[2 : m + 2], 8))
+    inside = np.flatnonzero(row[:n] == row[run + window - 2 :])
+    return np.unique(inside + np.lib.stride_tricks.sliding_window_view(order, window)[inside].argmin(1))
+
+
 def names_of(h: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
     """A hash of each run of words."""
     if not len(first):
@@ -102,6 +117,10 @@ def _units(least_line: int, least_unit: int):
             for lo, hi in chunks(offsets):
                 part, at = raw[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
                 row, kind, first, last, h, start, end = units_of(part, at, least_line, least_unit)
+                of = np.searchsorted(at, start, "right") - 1
+                more = runs_of(h, of)
+                row, kind = np.concatenate([row, of[more]]), np.concatenate([kind, np.full(len(more), 2, np.int64)])
+                first, last = np.concatenate([first, more]), np.concatenate([last, more + RUN])
                 if not len(row):
                     continue
                 points = _points(part)
