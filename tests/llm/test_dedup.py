@@ -180,6 +180,20 @@ def test_alike_paragraphs(docs_of):
     assert {r["doc_id"] for r in got} == {0, 1} and len({r["component_id"] for r in got}) == 1
 
 
+@pytest.mark.parametrize("block", [500, 40])
+def test_families_of_partly_alike_lines(docs_of, block):
+    rng = np.random.default_rng(7)
+    texts = []
+    for member in rng.choice(2**9, 300, replace=False).tolist():  # neighbours, one word apart: 0.84; members at random: under 0.8
+        texts.append(" ".join(f"w{k}" + ("x" if k % 6 == 3 and member >> (k // 6) & 1 else "") for k in range(60)))
+    want = {i: root for i, (_, root) in components_brute(list(enumerate(texts))).items()}
+    lines = [sd.word_hashes(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)]))[0] for t in texts]
+    name = {int(sd.names_of(h, np.array([0]), np.array([len(h)])).view(np.int64)[0]): i for i, h in enumerate(lines)}
+    got = {name[r["node"]]: r["root"] for r in sd.alike_lines(docs_of(*texts).select("text"), block=block).collect()}
+    groups = lambda of: {frozenset(i for i in of if of[i] == r) for r in of.values()}
+    assert groups(got) == {g for g in groups(want) if len(g) > 1}
+
+
 def test_bands_are_tuned():
     bands, rows = sd.tune()
     assert 1 - (1 - 0.8**rows) ** bands >= 0.995 and bands * rows <= sd.MINIMA

@@ -2,8 +2,9 @@
 
 Units of a text are its lines (paragraphs) of ``least_line`` words or more, its sentence groups (sentences, joined until they have four words) and winnowed runs of ``RUN`` words.
 A unit is named by a hash of its words and its kind. Equal units are found by that name; lines that are merely alike are found by MinHash: ``bands`` of ``rows`` minima of their 5-word shingles,
-tuned so that a pair at the threshold collides with a probability of ``recall`` or more. In each bucket the lines are paired with two anchors, whose choice differs from band to band, never
-with each other; pairs are verified by the exact Jaccard similarity of their shingle sets, and components of verified pairs become one passage. The first occurrence of a passage
+tuned so that a pair at the threshold collides with a probability of ``recall`` or more. In each bucket the lines are first paired with two anchors, whose choice differs from band to band; buckets
+whose lines are not all linked by that are joined in full, by pairs of blocks. So every pair that collides is verified by the exact Jaccard similarity of the shingle sets, or linked already;
+components of verified pairs become one passage. The first occurrence of a passage
 (smallest doc_id, then place) is kept. Occurrences that touch are merged into spans; a span of ``least_span`` words or more is reported.
 
 Sentence groups and runs make up for passages pasted into the middle of other paragraphs. Runs do not depend on sentence ends: they are the ``RUN`` words from every place whose word triple has
@@ -34,6 +35,7 @@ MINIMA = 24
 LEAST_LINE = 20
 LEAST_UNIT = 4
 LEAST_SPAN = 25
+BLOCK, BLOCK_SHINGLES = 500, 1_000_000  # lines and shingles of a bucket that are joined at a time
 RUN = 12
 WINDOW = 10
 
@@ -195,7 +197,45 @@ def _verify(threshold: float):
     return run
 
 
-def alike_lines(texts: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, least_line: int = LEAST_LINE, words: int = WORDS) -> DataFrame:
+def link_block(own: np.ndarray, roots: np.ndarray, sets: list[np.ndarray], threshold: float, crossing: bool) -> list[tuple[int, int]]:
+    """Pairs (places) at the threshold that link the lines of a block, or of two blocks to each other (``crossing``); pairs that are linked already are left out."""
+    m = len(sets)
+    size = np.array([len(s) for s in sets])
+    _, term = np.unique(np.concatenate(sets), return_inverse=True)
+    of = np.repeat(np.arange(m), size)[np.argsort(term, kind="stable")]
+    count = np.bincount(term)
+    begin = np.cumsum(count) - count
+    cut = np.concatenate([[0], np.cumsum(size)])
+    comp = np.unique(roots, return_inverse=True)[1]
+    out = []
+    for i in range(m):
+        t = term[cut[i] : cut[i + 1]]
+        n = count[t]
+        at = np.repeat(begin[t], n) + (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
+        same = np.bincount(of[at], minlength=m)
+        alike = same >= threshold * (size[i] + size - same)
+        alike[: i + 1] = False
+        if crossing:
+            alike &= own != own[i]
+        for j in np.flatnonzero(alike & (comp != comp[i])).tolist():
+            if comp[i] != comp[j]:
+                out.append((i, j))
+                comp[comp == comp[j]] = comp[i]
+    return out
+
+
+def _join_blocks(threshold: float):
+    def run(table: pa.Table) -> pa.Table:
+        name, sets = table.column("name").to_pylist(), [np.frombuffer(x.as_py(), np.uint64) for x in table.column("set")]
+        crossing = table.column("p")[0].as_py() != table.column("q")[0].as_py()
+        pairs = link_block(table.column("own").to_numpy(), table.column("root").to_numpy(), sets, threshold, crossing)
+        a, b = [name[i] for i, _ in pairs], [name[j] for _, j in pairs]
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return run
+
+
+def alike_lines(texts: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, least_line: int = LEAST_LINE, words: int = WORDS, block: int = BLOCK) -> DataFrame:
     """Components of lines (by name) that are alike: node, root."""
     bands, rows = tune(threshold, recall)
     keyed = texts.mapInArrow(_line_sets(least_line, words, lambda n, s: (n, band_keys(np.unique(s), bands, rows).view(np.int64).tolist()), ["name", "keys"], [pa.int64(), pa.list_(pa.int64())]), "name long, keys array<long>")
@@ -208,7 +248,21 @@ def alike_lines(texts: DataFrame, threshold: float = THRESHOLD, recall: float =
     sets = texts.mapInArrow(_line_sets(least_line, words, lambda n, s: (n, np.unique(s).tobytes()), ["name", "set"], [pa.int64(), pa.binary()]), "name long, set binary")
     sets = stored(sets.join(wanted, "name", "left_semi").dropDuplicates(["name"]), "lines")
     both = pairs.join(sets.select(F.col("name").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("name").alias("b"), F.col("set").alias("y")), "b")
-    return connected_components(both.select("a", "b", "x", "y").mapInArrow(_verify(threshold), "a long, b long"))
+    linked = stored(both.select("a", "b", "x", "y").mapInArrow(_verify(threshold), "a long, b long"), "linked")
+    roots = connected_components(linked)
+    placed = entries.join(roots, entries["name"] == roots["node"], "left").select("key", "name", F.coalesce("root", "name").alias("root"))
+    # Buckets of two lines were joined by their anchors, those of one component need no further pair.
+    open_ = placed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("n > 2 AND lo <> hi").select("key")
+    lines = placed.join(open_, "key").join(sets, "name").select("key", "name", "root", "set")
+    lines = stored(lines, "open")
+    if lines.isEmpty():
+        return roots
+    need = F.greatest(F.ceil(F.col("n") / block), F.ceil(F.col("size") / BLOCK_SHINGLES)).cast("int")
+    blocks = lines.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("set") / 8).alias("size")).select("key", need.alias("blocks"))
+    dealt = lines.join(blocks, "key").withColumn("own", F.pmod(F.xxhash64("name"), "blocks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("key", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "name", "root", "set")
+    more = dealt.groupBy("key", "p", "q").applyInArrow(_join_blocks(threshold), "a long, b long")
+    return connected_components(linked.unionByName(more))
 
 
 def repeated_passages(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, least_line: int = LEAST_LINE, least_span: int = LEAST_SPAN, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
