@@ -374,6 +374,15 @@ def _ticks(spark: SparkSession, sf: str) -> DataFrame:
     return snapshots.tick_grid(trades(spark, sf), 1_704_067_200_000 + 6 * HOUR, 1_704_067_200_000 + 99 * 6 * HOUR, 6 * HOUR)
 
 
+def _all_ticks(spark: SparkSession, sf: str) -> DataFrame:
+    """Six-hour ticks up to the first one at or after the last event, so that every event enters a tick."""
+    x, step = trades(spark, sf), 6 * HOUR
+    low, high = x.agg(F.min("t"), F.max("t")).first()
+    if low is None:
+        return x.select("symbol", "t")
+    return snapshots.tick_grid(x, -(-low // step) * step, -(-high // step) * step, step)
+
+
 @query(f'{_GRID} SELECT k.symbol, k.t, round(ev.price,6) AS last, k.t-ev.t AS "ageMs" FROM k ASOF LEFT JOIN ev ON k.symbol=ev.symbol AND k.t >= ev.t')
 def t1_tick_grid(spark: SparkSession, sf: str) -> DataFrame:
     return r6(snapshots.latest_value(_ticks(spark, sf), trades(spark, sf), {"price": "last"}, "ageMs"))
@@ -398,13 +407,13 @@ def t2_snapshots(spark: SparkSession, sf: str) -> DataFrame:
     x = trades(spark, sf)
     quotes = _wide(spark, sf).withColumns({"bidQty": F.col("qty"), "askQty": F.col("qty") + 1})
     parts = {"book": quotes, "trades": x, "prices": x.select("symbol", "t", "seq", "price"), "kline1m": x.select("symbol", "t", "seq", F.col("price").alias("close"), F.col("qty").alias("volume"))}
-    return snapshots.build_snapshots(_ticks(spark, sf), parts, [HOUR, 6 * HOUR], {"5m": HOUR, "15m": 3 * HOUR})
+    return snapshots.build_snapshots(_all_ticks(spark, sf), parts, [HOUR, 6 * HOUR], {"5m": HOUR, "15m": 3 * HOUR})
 
 
 @query()
 def backfill_snapshots(spark: SparkSession, sf: str) -> DataFrame:
     bars = trades(spark, sf).select("symbol", F.col("t").alias("openTime"), (F.col("t") + 59_999).alias("closeTime"), F.col("price").alias("open"), (F.col("price") + 1).alias("high"), (F.col("price") - 1).alias("low"), F.col("price").alias("close"), F.col("qty").alias("volume"), F.lit(None).cast("double").alias("quoteVolume"))
-    fund = trades(spark, sf).filter("seq % 50 = 0").select("symbol", F.col("t").alias("time"), (F.col("qty") / 1e4).alias("fundingRate"), (F.col("t") + 8 * HOUR).alias("nextFundingTime"))
+    fund = trades(spark, sf).select("symbol", F.col("t").alias("time"), (F.col("qty") / 1e4).alias("fundingRate"), (F.col("t") + 8 * HOUR).alias("nextFundingTime"))
     return history.backfill(bars, funding=fund, mark=bars, index=bars)
 
 
