@@ -11,9 +11,10 @@ class BoostedTrees:
     def __init__(self, rounds: int = 40, depth: int = 3, rate: float = 0.2, bins: int = 32, least: int = 5, ridge: float = 1.0):
         self.rounds, self.depth, self.rate, self.bins, self.least, self.ridge = rounds, depth, rate, bins, least, ridge
 
-    def fit(self, x: np.ndarray, y: np.ndarray) -> "BoostedTrees":
+    def fit(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None) -> "BoostedTrees":
         y = np.asarray(y, float)
-        mean = np.clip(y.mean() if len(y) else 0.5, 1e-3, 1 - 1e-3)
+        weight = np.ones(len(y)) if weight is None else weight
+        mean = np.clip(np.average(y, weights=weight) if len(y) else 0.5, 1e-3, 1 - 1e-3)
         self.bias, self.trees = float(np.log(mean / (1 - mean))), []
         self.edges = [np.unique(np.quantile(c, np.linspace(0, 1, self.bins + 1)[1:-1])) for c in x.T] if len(y) else []
         if len(y) == 0 or y.min() == y.max():
@@ -22,7 +23,7 @@ class BoostedTrees:
         margin = np.full(len(y), self.bias)
         for _ in range(self.rounds):
             p = 1 / (1 + np.exp(-margin))
-            tree = self._grow(binned, y - p, p * (1 - p))
+            tree = self._grow(binned, weight * (y - p), weight * p * (1 - p))
             self.trees.append(tree)
             margin += tree[2][self._leaf(tree, binned)]
         return self
