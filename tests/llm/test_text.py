@@ -28,7 +28,6 @@ def check_pieces(docs, path, **how):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
     rows = docs.collect()
     want = Counter(tuple([*e.ids, 1]) for e in t.encode_batch([r["text"] or "" for r in rows], add_special_tokens=False))
     got = packing.pack(docs, path, **how).toPandas()
@@ -61,6 +60,20 @@ def test_packing_weights_and_windows(docs_of, path):
     assert 2.5 < early["a"] / early["b"] < 3.5
 
 
+def test_every_window_meets_its_targets(corpus, path):
+    """Given weights on real documents: until the first source runs out, each window holds each source's share to a few ids."""
+    names = sorted(r["source"] for r in corpus.select("source").distinct().collect())
+    weights = {s: 1.0 + k % 5 for k, s in enumerate(names)}
+    got = check_pieces(corpus, path, weights=weights)
+    share = pd.Series(weights) / sum(weights.values())
+    table = got.pivot_table(index="sequence_id", columns="source", values="length", aggfunc="sum", fill_value=0)
+    ends = got.groupby("source")["sequence_id"].max()
+    full = table.loc[: ends.min() - 1]
+    assert len(full) > 5 and ((full - share * packing.WINDOW).abs().max(axis=None)) <= len(names) + packing.LEAST
+    thin = check_pieces(corpus.limit(50), path, window=64)  # quanta of a few ids are saved up
+    assert thin["length"].sum() / len(thin) > 4
+
+
 def test_packing_odd_rows(docs_of, path):
     docs = docs_of(*ODD, "<|endoftext|> İstanbul ΣΊΣΥΦΟΣ\x1cx it's don't 12ab e\u0301", ids=[None, *range(1, 10)], sources=[None, "", *["s"] * 8]).withColumn("part", F.lit(1))
     check_pieces(docs, path, window=100)
@@ -71,9 +84,13 @@ def test_word_cache_equals_the_tokenizer(path, corpus):
     from tokenizers import Tokenizer
 
     e, t = packing.WordEncoder(path), Tokenizer.from_file(path)
-    t.encode_special_tokens = True
-    for text in [*(r["text"] for r in corpus.limit(60).collect()), "a.b,c...,, ...x", "Ünï. ﬁne ½ ǅ,", "a\u00a0b\u2003c\x85d"]:
+    for text in [*(r["text"] for r in corpus.limit(60).collect()), "a.b,c...,, ...x", "Ünï. ﬁne ½ ǅ,", "a\u00a0b\u2003c\x85d", "a<|endoftext|>b <|startoftext|>", "İ. İ,x", "xİ.,"]:
         assert e(text).tolist() == t.encode(text, add_special_tokens=False).ids
+    rng = np.random.default_rng(2)
+    signs = [*"abcZ İıßſ.,'’-_0129éÉΣςüñ  \n\t", "\u0301", "\u0307", "漢", "😀", "ǅ", "ﬁ", "<|endoftext|>", "<|startoftext|>", "don't", "\x1c", "\x85", "\u200b"]
+    for _ in range(4000):
+        text = "".join(rng.choice(signs, rng.integers(1, 14)))
+        assert e(text).tolist() == t.encode(text, add_special_tokens=False).ids, ascii(text)
 
 
 def test_raking_meets_every_marginal():

@@ -1,14 +1,13 @@
 """Mixture-controlled packing of tokenised documents into fixed windows, by deficit round-robin over source queues.
 
-Every source is a queue of segments (a document's ids, cut at ``window`` ids). In round ``r`` a source's deficit grows by its
-quantum, ``window * weight``; it sends head segments while the deficit covers them and carries the rest over. As all queues are full
-from the start, the round that sends a segment is ``ceil(ids of its queue up to its end / quantum)``: the whole service order follows
-from running sums, which are taken in two levels (by task and source, then by block of rounds). The ids in service order form one stream that is cut
-every ``window`` ids, so only the last sequence of all can be short. Weights default to the sources' shares of ids: then every window follows the corpus mix
-to its end. With other weights a source may run out early; the others go on in turn.
+Every source is a queue of ids, its documents one after the other. In each round, which is a window, a source's deficit grows by its quantum, ``window * weight``; it sends what the deficit
+covers and carries the rest over, so every window holds each source's target share to an id. A source whose quantum is under ``least`` ids saves up for several rounds and sends at least so many at
+a time. As all queues are full from the start, the round that sends an id is its place in the queue over the quantum: the whole service order follows from running sums, which are taken in two
+levels (by task and source, then by block of rounds). The ids in service order form one stream that is cut every ``window`` ids, so only the last sequence of all can be short. Weights default to
+the sources' shares of ids: then every window follows the corpus mix to its end. With other weights a source may run out early; the others go on in turn.
 
 Edge cases: a null or empty text is the end id alone; null source is a source of its own; null doc_id passes through; repeated rows are packed
-each; a source without a positive weight gets the smallest weight given (all is packed); an empty table gives no rows.
+each; a source without a positive weight gets the smallest weight given (all is packed); an empty table gives no rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,6 +29,7 @@ from .common import exclusive_prefix, parts_for, stored
 WINDOW = 2048
 END_ID = 1
 ROUNDS_A_BLOCK = 256
+LEAST = 32
 CACHE = 400_000
 
 
@@ -46,7 +46,6 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
         self.model = self.whole.model
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = [b for b in range(256) if b not in set(printable)]
@@ -66,7 +65,7 @@ class WordEncoder:
             if small.isalpha():
                 return self._pack([t.id for t in self.model.tokenize(small.encode().decode("latin1").translate(self.letters))])
         base = w.rstrip(".,")
-        if base and base != w and base.isalpha():
+        if base and base != w and base.isalpha() and "İ" not in base:  # its lower case ends in a mark that joins what follows
             return self.word(base) + self.word(w[len(base) :])
         return self._pack(self.whole.encode(w, add_special_tokens=False).ids)
 
@@ -116,31 +115,57 @@ SEGMENTS = "part int, source string, doc_id long, start long, n long, doc_tokens
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, source string, ids binary"
 
 
+def _pieces(rows: list[tuple], base: int, window: int, with_ids: bool) -> list[tuple]:
+    """The pieces of one block of rounds in service order, cut at rounds and windows; ``rows`` come in the order of their queues."""
+    ids, lows, sizes, rounds, of = [], [], [], [], []
+    for n, (source, doc_id, start, total, at, size, step, every, raw) in enumerate(rows):
+        ids.append(np.frombuffer(raw, np.uint16 if len(raw) == 2 * size else np.uint32))
+        j = np.arange(max(0, int(at / step) - 1), int((at + size) / step) + 3)
+        cuts = np.ceil(j * step).astype(np.int64)
+        inner = cuts[(cuts > at) & (cuts < at + size)]
+        edge = np.concatenate([[at], inner, [at + size]])
+        lows.append(edge[:-1] - at)
+        sizes.append(np.diff(edge))
+        rounds.append((j[np.searchsorted(cuts, edge[:-1], "right") - 1] + 1) * every)
+        of.append(np.full(len(edge) - 1, n))
+    low, size, of = np.concatenate(lows), np.concatenate(sizes), np.concatenate(of)
+    order = np.argsort(np.concatenate(rounds), kind="stable")
+    out, at = [], base
+    for low, size, n in zip(low[order].tolist(), size[order].tolist(), of[order].tolist()):
+        source, doc_id, start, total = rows[n][:4]
+        done = 0
+        while done < size:
+            room = min(size - done, window - at % window)
+            piece = ids[n][low + done : low + done + room].astype("<u4").tobytes()
+            out.append((doc_id, start + low + done, room, zlib.crc32(piece), total, at // window, at % window, source, piece if with_ids else None))
+            done, at = done + room, at + room
+    return out
+
+
 def _cut(window: int, with_ids: bool):
     names = [f.split()[0] for f in PIECES.split(", ")]
+    types = [pa.int64()] * 7 + [pa.string(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, at = None, 0
+        block, base, held = None, 0, []
+
+        def close():
+            if held:
+                out = _pieces(held, base, window, with_ids)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
+
         for batch in batches:
-            cols = {n: batch.column(n).to_pylist() for n in ("block", "base", "source", "doc_id", "start", "n", "doc_tokens", "ids")}
-            out = []
-            for b, base, source, doc_id, start, n, total, raw in zip(*cols.values()):
+            for b, start, *row in zip(*(c.to_pylist() for c in batch.columns)):
                 if b != block:
-                    block, at = b, base
-                ids = np.frombuffer(raw, np.uint16 if len(raw) == 2 * n else np.uint32).astype("<u4")
-                done = 0
-                while done < n:
-                    room = min(n - done, window - at % window)
-                    piece = ids[done : done + room].tobytes()
-                    out.append((doc_id, start + done, room, zlib.crc32(piece), total, at // window, at % window, source, piece if with_ids else None))
-                    done, at = done + room, at + room
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), [pa.int64()] * 7 + [pa.string(), pa.binary()])], names=names)
+                    yield from close()
+                    block, base, held = b, start, []
+                held.append(tuple(row))
+        yield from close()
 
     return run
 
 
-def pack(docs: DataFrame, tokenizer: str, weights: dict[str | None, float] | None = None, window: int = WINDOW, end_id: int = END_ID, with_ids: bool = True, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, weights: dict[str | None, float] | None = None, window: int = WINDOW, end_id: int = END_ID, least: int = LEAST, with_ids: bool = True, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """Pieces of all documents: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, source, ids (little-endian uint32)."""
     spark = docs.sparkSession
     cols = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.col(text_col).alias("text"))
@@ -164,10 +189,19 @@ def pack(docs: DataFrame, tokenizer: str, weights: dict[str | None, float] | Non
         return spark.createDataFrame([], PIECES)
     placed = segments.withColumns({"queue": queue[0], "unnamed": queue[1]}).join(base, ["queue", "unnamed", "part"])
     quantum = F.col("share") * F.lit(window / float(total[0]))
-    placed = placed.withColumn("round", F.ceil((F.col("queued") + F.col("upto")) / quantum).cast("long"))
-    placed = placed.withColumn("block", F.floor(F.col("round") / F.lit(ROUNDS_A_BLOCK)).cast("long"))
-    blocks = stored(exclusive_prefix(stored(placed.groupBy("block").agg(F.sum("n").alias("ids_in")), "blocks"), "block", "ids_in", "base").select("block", "base"), "bases")
+    # A source sends ``step`` ids in every ``every``-th round; ``at`` is the segment's place in its queue.
+    placed = placed.withColumn("every", F.ceil(F.lit(float(least)) / quantum).cast("long")).withColumns({"every": F.greatest(F.lit(1).cast("long"), "every"), "at": F.col("queued") + F.col("upto") - F.col("n")})
+    placed = placed.withColumn("step", quantum * F.col("every"))
+    block_of = lambda p: F.floor((F.floor(p / F.col("step")) + 1) * F.col("every") / F.lit(ROUNDS_A_BLOCK)).cast("long")
+    first_of = lambda b: F.ceil((F.ceil(b * F.lit(ROUNDS_A_BLOCK) / F.col("every")) - 1) * F.col("step")).cast("long")  # noqa: E731  the first place in the queue that a block sends
+    end = F.col("at") + F.col("n")
+    placed = placed.withColumn("block", F.explode(F.sequence(F.greatest(F.lit(0).cast("long"), block_of(F.col("at")) - 1), block_of(end) + 1)))
+    placed = placed.withColumns({"lo": F.greatest(F.col("at"), F.when(F.col("block") > 0, first_of(F.col("block"))).otherwise(F.col("at"))), "hi": F.least(end, first_of(F.col("block") + 1))}).filter("lo < hi")
+    blocks = stored(exclusive_prefix(stored(placed.groupBy("block").agg(F.sum(F.col("hi") - F.col("lo")).alias("ids_in")), "blocks"), "block", "ids_in", "base").select("block", "base"), "bases")
     n = parts_for(spark, int(total[1]), 16_000_000)
-    rows = placed.select("block", "round", "queue", "unnamed", "part", "upto", "source", "doc_id", "start", "n", "doc_tokens", "ids").repartition(n, "block").join(blocks, "block")
-    ordered = rows.sortWithinPartitions("block", "round", "queue", "unnamed", "part", "upto")
-    return ordered.select("block", "base", "source", "doc_id", "start", "n", "doc_tokens", "ids").mapInArrow(_cut(window, with_ids), PIECES)
+    part = F.expr("substring(ids, cast((lo - at) * (octet_length(ids) div n) as int) + 1, cast((hi - lo) * (octet_length(ids) div n) as int))")
+    rows = placed.select(
+        "block", "queue", "unnamed", "part", "upto", "source", "doc_id", (F.col("start") + F.col("lo") - F.col("at")).alias("start"), "doc_tokens", F.col("lo"), (F.col("hi") - F.col("lo")).alias("n"), "step", "every", part.alias("ids")
+    ).repartition(n, "block").join(blocks, "block")
+    ordered = rows.sortWithinPartitions("block", "queue", "unnamed", "part", "upto", "lo")
+    return ordered.select("block", "base", "source", "doc_id", "start", "doc_tokens", "lo", "n", "step", "every", "ids").mapInArrow(_cut(window, with_ids), PIECES)
