@@ -16,11 +16,17 @@ from tickweave.llm.exact_dedup import directory, drop_copies, exact_dedup
 from .conftest import ODD
 
 
-def test_directory_doubles_only_where_needed():
-    bits, slots = directory({p: (100 if p == 5 else 1) for p in range(16)}, 4, 20)
-    assert bits == 4 and len(slots) == 16 and len(set(slots)) < 16 and slots[5] != slots[4]
-    assert directory({}, 4, 20) == (0, [0])
-    assert directory({0: 10**6}, 3, 10)[0] == 3  # bounded depth
+def test_directory_doubles_only_where_needed(spark):
+    keys = [(-(2**63) + (5 << 60) + n,) for n in range(100)] + [((p << 60) - (2**64 if p >= 8 else 0),) for p in range(16)]
+    table = spark.createDataFrame(list({k for k in keys}), "key long")
+    bits, slots = directory(table, 20)
+    of = {r["slot"]: r["bucket"] for r in slots.collect()}
+    assert bits > 50 and len(set(of.values())) < len(of)
+    held = {}
+    for (k,) in set(keys):
+        held.setdefault(of[(k % 2**64) >> (64 - bits)], []).append(k)
+    assert max(map(len, held.values())) <= 20
+    assert directory(table.limit(0), 20)[0] == 0 and directory(table.limit(15), 20)[0] == 0
 
 
 def exact_brute(rows):
@@ -42,15 +48,31 @@ def test_exact_on_corpus(corpus):
         assert r["text_sha256"] == hashlib.sha256((text[r["doc_id"]] or "").encode()).hexdigest()
 
 
+@pytest.mark.parametrize("how", [{"key_bits": 3, "hot": 5}, {"key_bits": 64, "hot": 2, "capacity": 2}])
+def test_chains_compare_bytes(docs_of, how):
+    """Keys that many texts share: chains of several links, hot or not, give the same groups."""
+    texts = [f"text {n % 40}" for n in range(160)] + ["crowd"] * 300
+    docs = docs_of(*texts)
+    want = exact_brute(list(enumerate(texts)))
+    got = exact_dedup(docs, **how).collect()
+    assert {(r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in got} == {(i, max(want[t]), len(want[t]), i == max(want[t])) for i, t in enumerate(texts)}
+    assert how["key_bits"] == 64 or max(r["chain"] for r in got) > 1
+    assert {r["doc_id"] for r in drop_copies(docs, **how).collect()} == {max(g) for g in want.values()}
+
+
 def test_exact_odd_rows(docs_of, spark):
-    docs = docs_of(*ODD, ids=[None, 1, 2, 3, 4, 5, 6, 7, 8]).unionByName(docs_of("again", "again", ids=[9, 9])).withColumn("key", F.lit(1)).withColumn("bucket", F.lit("x"))
+    docs = docs_of(*ODD, ids=[None, 1, 2, 3, 4, 5, 6, 7, 8]).unionByName(docs_of("again", "again", ids=[9, 9])).unionByName(docs_of("alone", "alone", ids=[None, None]))
+    for name in ("key", "bucket", "row", "_dedup_key", "_dedup_row", "_sha2", "_first"):
+        docs = docs.withColumn(name, F.lit("x"))
     got = exact_dedup(docs).collect()
-    by = {r["doc_id"]: r for r in got}
-    assert len(got) == 11 and by[None]["keep_id"] == 1 and not by[None]["kept"] and by[3]["keep_id"] == 4
+    by = {(r["doc_id"], r["text_sha256"]): r for r in got}
+    empty, lone = (hashlib.sha256(t.encode()).hexdigest() for t in ("", "alone"))
+    assert len(got) == 13 and by[None, empty]["keep_id"] == 1 and not by[None, empty]["kept"]
     assert sorted(r["kept"] for r in got if r["doc_id"] == 9) == [False, True]
+    assert sorted(r["kept"] for r in got if r["text_sha256"] == lone) == [False, True]
     assert exact_dedup(docs.limit(0)).count() == 0
     kept = drop_copies(docs)
-    assert kept.columns == docs.columns and kept.count() == 8
+    assert kept.columns == docs.columns and kept.count() == 9 and drop_copies(docs.limit(0)).count() == 0
 
 
 def sets_of(text):

@@ -1,82 +1,123 @@
 """Exact de-duplication by an extendible-hash index on shared files (built-in DataFrame operations only).
 
-1. Texts are grouped by their bytes (the aggregate compares whole keys; map tasks combine first, so a text with
-   a third of all rows leaves each map task as one row). A group is one index entry: 64-bit key, SHA-256, the
-   largest doc_id, its size.
-2. The directory starts with one slot. While a bucket holds more than ``capacity`` entries, it is split by the next
-   key bit, and the directory doubles where the bucket already used all its bits, up to ``2**max_depth`` slots. Entries have
-   distinct texts, so copies never overfill a bucket.
-3. Each bucket is written by one owner task to the shared folder; entries of one key form a chain, in the order of their digest.
-4. Documents (id, key, digest) probe the chain of their key; large keys are split by adaptive execution.
+1. Rows are stored with a 64-bit key of their text's bytes and a row number. An index entry is (key, doc_id, row).
+2. The directory starts with one slot. While a bucket holds more than ``capacity`` keys, it is split by the next key bit, and the directory doubles where the bucket already used all its bits,
+   as deep as the keys ask for. It is a table: (slot, bucket), a bucket being named by its first slot.
+3. Owner tasks get whole buckets, which are ranges of keys. Within a bucket, entries of one key form a chain; the owner compares their texts byte by byte, so that a chain has one link for each
+   distinct text: the copies' largest doc_id, its row, their number. A text is kept in the index only where its chain has several links. Keys of more than ``hot`` rows are first combined in
+   ``SALTS`` parts, text by text, so that a text with a third of all rows reaches its owner as a few rows.
+4. Documents probe the chain of their key: where it has one link, the link is theirs; in longer chains the link with their bytes. Links of hot keys are broadcast while they are few.
 
 Edge cases: null text counts as empty; null doc_id sorts below any other; of repeated rows (same doc_id and text) exactly one
-is kept; an empty table gives an empty result; further columns are ignored.
+is kept; an empty table gives an empty result; further columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
-from .common import parts_for, stored
+from .common import stored
 
-CAPACITY = 1_024
-MAX_DEPTH = 14
+CAPACITY = 4_096
+HOT = 256  # rows of one key that are combined before they are sent
+SALTS = 64
+BROADCAST_ROWS = 1_000_000
+BYTES_A_TASK = 128 << 20
 
 
-def directory(counts: dict[int, int], depth: int, capacity: int) -> tuple[int, list[int]]:
-    """(global depth, bucket of each slot) from the entries under each ``depth``-bit prefix, by splitting overfull buckets."""
-    total = [counts.get(p, 0) for p in range(1 << depth)]
-    buckets, bits, todo = {(0, 0)}, 0, [(0, 0)]
-    while todo:
-        prefix, local = todo.pop()
-        width = depth - local
-        if local < depth and sum(total[prefix << width : (prefix + 1) << width]) > capacity:
-            bits = max(bits, local + 1)  # the directory doubles when local depth was the global one
-            halves = [(prefix << 1, local + 1), (prefix << 1 | 1, local + 1)]
-            buckets = (buckets - {(prefix, local)}) | set(halves)
-            todo += halves
-    slots = [0] * (1 << bits)
-    for n, (prefix, local) in enumerate(sorted(buckets, key=lambda b: b[0] << (depth - b[1]))):
-        for s in range(prefix << (bits - local), (prefix + 1) << (bits - local)):
-            slots[s] = n
-    return bits, slots
+def slot_of(key: Column, bits: int) -> Column:
+    """The first ``bits`` bits of a key."""
+    return F.shiftrightunsigned(key, 64 - bits) if bits else F.lit(0).cast("long")
 
 
-def _digests(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def directory(keys: DataFrame, capacity: int) -> tuple[int, DataFrame]:
+    """(global depth, rows slot, bucket) for distinct keys (column ``key``)."""
+    n, bits = keys.count(), 0
+    while n > capacity << bits:
+        bits += 1
+    bits = min(64, bits + 2) if bits else 0
+    while True:  # double until no slot alone is overfull
+        slots = stored(keys.groupBy(slot_of(F.col("key"), bits).alias("slot")).agg(F.count(F.lit(1)).alias("n")), "slots")
+        if bits >= 64 or (slots.agg(F.max("n")).first()[0] or 0) <= capacity:
+            break
+        bits = min(64, bits + 2)
+    # A slot's local depth is one more than the deepest of its prefixes that is overfull.
+    prefix = F.explode(F.sequence(F.lit(0), F.lit(bits)))
+    each = slots.select("slot", "n", prefix.alias("d")).withColumn("p", F.when(F.col("d") == 0, F.lit(0).cast("long")).otherwise(F.expr(f"shiftrightunsigned(slot, {bits} - d)")))
+    full = each.groupBy("d", "p").agg(F.sum("n").alias("n")).filter(F.col("n") > capacity).select("d", "p")
+    local = each.join(full, ["d", "p"]).groupBy("slot").agg((F.max("d") + 1).alias("local"))
+    found = slots.select("slot").join(local, "slot", "left").withColumn("local", F.least(F.lit(bits), F.coalesce("local", F.lit(0))))
+    bucket = F.when(F.col("local") == 0, F.lit(0).cast("long")).otherwise(F.expr(f"shiftleft(shiftrightunsigned(slot, {bits} - local), {bits} - local)"))
+    return bits, stored(found.select("slot", bucket.alias("bucket")), "directory")
+
+
+def few(rows: DataFrame) -> DataFrame:
+    """``rows``, to be broadcast if they are few."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
+def keyed(docs: DataFrame, id_col: str, text_col: str, key_bits: int, names: dict[str, str] | None = None) -> DataFrame:
+    """The stored rows: doc_id, text, key, row; or all columns of ``docs`` and key and row by the given names."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("key"), F.sha2(text, 256).alias("text_sha256"))
-
-
-def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, max_depth: int = MAX_DEPTH) -> DataFrame:
-    """The index table: bucket, key, chain, text_sha256, keep_id, group_size."""
-    text = F.coalesce(F.col(text_col), F.lit("")).alias("text")
-    groups = docs.select(F.col(id_col).alias("doc_id"), text).groupBy("text").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    entries = stored(groups.select(F.xxhash64("text").alias("key"), F.sha2("text", 256).alias("text_sha256"), "keep_id", "group_size"), "entries")
-    slot = F.shiftrightunsigned("key", 64 - max_depth).cast("int")
-    counts = {r["slot"]: r["count"] for r in entries.groupBy(slot.alias("slot")).count().collect()}  # 2**max_depth rows at most
-    bits, slots = directory(counts, max_depth, capacity)
-    at = F.lit(0) if bits == 0 else F.split(F.lit(",".join(map(str, slots))), ",")[F.shiftrightunsigned("key", 64 - bits).cast("int")].cast("int")
-    n = min(max(slots) + 1, parts_for(docs.sparkSession, sum(counts.values()), capacity))
-    owned = entries.withColumn("bucket", at).repartition(max(1, n), "bucket")
-    chain = F.row_number().over(W.Window.partitionBy("bucket", "key").orderBy("text_sha256"))
-    return stored(owned.withColumn("chain", chain), "index", ["bucket"])
-
-
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, max_depth: int = MAX_DEPTH) -> DataFrame:
-    """One row per input row: doc_id, keep_id, group_size, kept, text_sha256, bucket, chain."""
-    index = build_index(docs, id_col, text_col, capacity, max_depth)
-    again = F.row_number().over(W.Window.partitionBy("doc_id", "key", "text_sha256").orderBy("key"))
-    rows = stored(_digests(docs, id_col, text_col).withColumn("again", again), "digests")
-    kept = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("again") == 1)
-    return rows.join(index, ["key", "text_sha256"]).select("doc_id", "keep_id", "group_size", kept.alias("kept"), "text_sha256", "bucket", "chain")
-
-
-def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    key = F.xxhash64(text).bitwiseAND(F.lit(-1 << (64 - key_bits)))
+    if names:
+        return stored(docs.withColumns({names["key"]: key, names["row"]: F.monotonically_increasing_id()}), "keyed")
+    return stored(docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), key.alias("key"), F.monotonically_increasing_id().alias("row")), "keyed")
+
+
+def build_index(rows: DataFrame, capacity: int = CAPACITY, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
+    """(index, hot keys) of rows doc_id, text, key, row. Index: bucket, key, chain, links, text (if links > 1), keep_id, keep_row, group_size."""
+    spark = rows.sparkSession
+    keys = stored(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text").cast("long")).alias("bytes")), "keys")
+    bits, slots = directory(keys.select("key"), capacity)
+    busy = stored(keys.filter(F.col("n") > hot).select("key"), "hot")
+    one = [F.col("doc_id").alias("keep_id"), F.when(F.col("doc_id").isNotNull(), F.col("row")).alias("keep_row"), F.col("row").alias("any_row")]
+    cold = rows.join(few(busy), "key", "left_anti").select("key", "text", *one, F.lit(1).cast("long").alias("n"))
+    merged = lambda n: [F.max("keep_id").alias("keep_id"), F.max_by("keep_row", "keep_id").alias("keep_row"), F.max("any_row").alias("any_row"), n.alias("n")]
+    crowd = rows.join(few(busy), "key", "left_semi").select("key", "text", *one, F.pmod("row", F.lit(SALTS)).alias("salt"))
+    combined = crowd.groupBy("key", "text", "salt").agg(*merged(F.count(F.lit(1)))).drop("salt")
+    entries = cold.unionByName(combined).withColumn("slot", slot_of(F.col("key"), bits)).join(few(slots), "slot").drop("slot")
+    size = keys.agg(F.sum("bytes")).first()[0] or 0
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BYTES_A_TASK))
+    owned = entries.repartition(tasks, "bucket").groupBy("bucket", "key", "text").agg(*merged(F.sum("n")))
+    chain = W.Window.partitionBy("bucket", "key")
+    links = owned.withColumns({"chain": F.row_number().over(chain.orderBy("text")), "links": F.count(F.lit(1)).over(chain)})
+    kept = F.when(F.col("links") > 1, F.col("text")).alias("text"), "keep_id", F.coalesce("keep_row", "any_row").alias("keep_row"), F.col("n").alias("group_size")
+    return stored(links.select("bucket", "key", "chain", "links", *kept), "index"), busy
+
+
+def probe(rows: DataFrame, index: DataFrame, busy: DataFrame) -> DataFrame:
+    """Every row with its link: doc_id, row, keep_id, group_size, kept, text_sha256, bucket, chain."""
+    sha = F.sha2("text", 256).alias("text_sha256")
+    narrow = stored(rows.select("doc_id", "row", "key", sha), "digests")
+    link = index.filter("links = 1").select("key", "keep_id", "keep_row", "group_size", "bucket", "chain")
+    crowd = narrow.join(few(busy), "key", "left_semi").join(few(link.join(few(busy), "key", "left_semi")), "key")
+    out = narrow.join(few(busy), "key", "left_anti").join(link, "key").unionByName(crowd)
+    longer = index.filter("links > 1")
+    if not longer.isEmpty():
+        bytes_ = longer.select("key", "text", "keep_id", "keep_row", "group_size", "bucket", "chain")
+        out = out.unionByName(rows.join(few(bytes_), ["key", "text"]).select("key", "doc_id", "row", sha, "keep_id", "keep_row", "group_size", "bucket", "chain"))
+    return out.select("doc_id", "row", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), "text_sha256", "bucket", "chain")
+
+
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, hot: int = HOT, key_bits: int = 64) -> DataFrame:
+    """One row per input row: doc_id, keep_id, group_size, kept, text_sha256, bucket, chain. ``key_bits`` shortens the keys (tests of long chains)."""
+    rows = keyed(docs, id_col, text_col, key_bits)
+    return probe(rows, *build_index(rows, capacity, hot)).drop("row")
+
+
+def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, hot: int = HOT, key_bits: int = 64) -> DataFrame:
     """The rows of ``docs`` that stay, all columns."""
-    kept = exact_dedup(docs, id_col, text_col).filter("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-    keyed = docs.withColumn("_sha2", F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
-    same = keyed[id_col].eqNullSafe(kept["_id"]) & (keyed["_sha2"] == kept["_sha"])
-    first = F.row_number().over(W.Window.partitionBy(id_col, "_sha2").orderBy("_sha2"))
-    return keyed.join(kept, same, "left_semi").withColumn("_first", first).filter("_first = 1").drop("_first", "_sha2")
+    names = {}
+    for n in ("key", "row"):
+        name = "_dedup_" + n
+        while name in docs.columns:
+            name = "_" + name
+        names[n] = name
+    whole = keyed(docs, id_col, text_col, key_bits, names)
+    rows = whole.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.col(names["key"]).alias("key"), F.col(names["row"]).alias("row"))
+    index, _ = build_index(rows, capacity, hot)
+    stay = index.select(F.col("keep_row").alias(names["row"]))
+    return whole.join(stay, names["row"], "left_semi").select(*docs.columns)
