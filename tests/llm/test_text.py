@@ -141,26 +141,61 @@ def distance(a, b):
 def test_automaton_equals_edit_distance():
     rng = np.random.default_rng(0)
     terms = {"stupid": 2.0, "loser": 3.0, "scum": 1.0}
-    lex = toxicity.Lexicon(terms, {"trash": 1.5})
-    pool = list(terms) + ["trash"]
-    for _ in range(3000):
-        w = list(pool[rng.integers(4)])
+    lex = toxicity.Lexicon(terms, {"trash": 1.5, "garbag": 1.0})
+    pool = list(terms) + ["trash", "garbag"]
+    for _ in range(4000):
+        w = list(pool[rng.integers(5)])
         for _ in range(rng.integers(0, 3)):
             k = rng.integers(0, len(w) + 1)
-            w[k : k + rng.integers(0, 2)] = rng.choice(list("abstu"), rng.integers(0, 2)).tolist()
+            w[k : k + rng.integers(0, 2)] = rng.choice(list("abgstu"), rng.integers(0, 2)).tolist()
         w = "".join(w)
         got = lex.match(w)
-        exact = w in terms or w.startswith("trash")
-        near = any(len(t) >= 5 and distance(w, t) <= 1 for t in terms)
+        exact = w in terms or w.startswith("trash") or w.startswith("garbag")
+        near = any(len(t) >= 5 and distance(w, t) <= 1 for t in terms) or any(distance(w[:k], "garbag") <= 1 for k in range(len(w) + 1))
         assert (got is not None) == (exact or near), w
-        if exact:
-            assert got[0] == 1
+        assert got is None or (got[0] == 1) == exact
+    assert toxicity.Lexicon(terms, {}, {"loser"}).match("stupia") is None and toxicity.Lexicon(terms, {}, clean=frozenset(["losed"])).match("losed") is None
+    assert lex.match("garbaqely")[0] == 2  # an inflected word, misspelled in its stem
 
 
 def test_quoted_hits_count_apart():
     lex = toxicity.Lexicon({"loser": 3.0}, {})
-    direct, quoted = toxicity.features("you are a loser ok", lex), toxicity.features('they wrote "loser" and left', lex)
-    assert direct[1] > 0 and direct[4] == 0 and quoted[1] == 0 and quoted[4] > 0
+    direct, quoted = toxicity.features("you are a loser ok", lex), toxicity.features('they left a note "loser" and left', lex)
+    assert direct[1] > 0 and direct[3] == 0 and quoted[1] == 0 and quoted[3] > 0
+    for text in ("don’t be a loser it’s bad", '"hello" you are a loser "bye"', "l'idée loser d'un jour", 'an open " you loser', '5" loser 6"'):
+        assert toxicity.features(text, lex)[1] > 0, text
+    for text in ("«un loser, vraiment»", "„du loser“", "“a loser of a film”", "they wrote loser", '"two words, loser!" it says'):
+        assert toxicity.features(text, lex)[1] == 0 and toxicity.features(text, lex)[3] > 0, text
+
+
+def test_planted_misspellings_and_quotations(spark):
+    """On held-out clean documents: what the automaton and the quotation windows add to exact words."""
+    d = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
+    model = toxicity.train(docs, labels)
+    nodes = model.lexicon.nodes
+    exact = toxicity.Model(toxicity.Lexicon({n.term: n.word for n in nodes if n.word}, {n.term: n.stem for n in nodes if n.stem}, set()), model.weights)
+    terms = [n.term for n in nodes if n.word and n.loose and n.term.isascii()]
+    assert len(terms) >= 5
+    clean = docs.join(labels.filter("toxic = 0"), "doc_id").filter(toxicity.held_out(F.col("doc_id")) & F.length("text").between(200, 2500)).orderBy("doc_id").limit(200).toPandas()["text"]
+    rng = np.random.default_rng(3)
+    plain = lambda t: t
+
+    def misspelled(t):
+        k = int(rng.integers(1, len(t)))
+        return [t[:k] + t[k + 1 :], t[:k] + t[k - 1] + t[k:], t[:k] + "zqx"[rng.integers(3)] + t[k + 1 :]][rng.integers(3)]
+
+    def planted(text, change, form):
+        words = text.split(" ")
+        for t in rng.choice(terms, 3, replace=False):
+            words.insert(int(rng.integers(1, len(words))), form.format(change(t)))
+        return " ".join(words)
+
+    share = lambda m, change, form: np.mean([m.score(planted(t, change, form)) >= 0.5 for t in clean])
+    assert np.mean([model.score(t) >= 0.5 for t in clean]) <= 0.02
+    assert share(model, plain, "{}") >= 0.95
+    assert share(model, misspelled, "{}") >= 0.9 and share(exact, misspelled, "{}") <= 0.2
+    assert share(model, plain, '"you are a {}"') <= 0.1
 
 
 def test_toxicity_held_out(spark):
@@ -176,11 +211,17 @@ def test_toxicity_held_out(spark):
 
 def test_toxicity_odd_rows(docs_of, spark):
     docs = docs_of(*ODD, ids=[None, *range(1, 9)])
-    labels = spark.createDataFrame([(n, 1, n % 2) for n in range(1, 9)] + [(None, 1, 1), (3, None, None)], "doc_id long, quality int, toxic int")
+    labels = spark.createDataFrame([(n, 1, n % 2) for n in range(1, 9)] + [(None, 1, 1), (3, None, None), (4, 1, 1)], "doc_id long, quality int, toxic int")
     assert toxicity.score_toxicity(docs, labels).filter("score IS NULL").count() == 0
     assert toxicity.score_toxicity(docs, labels.limit(0)).filter("predicted = 1").count() == 0
-    assert toxicity.drop_toxic(docs, labels).columns == docs.columns
+    clash = docs.withColumns({"_id": F.lit("x"), "_text": F.lit("y"), "_h": F.lit(1), "toxic": F.lit(2)}).withColumnRenamed("text", "body")
+    assert toxicity.drop_toxic(clash, labels, text_col="body").columns == clash.columns and toxicity.score_toxicity(clash, labels, text_col="body").count() == 9
     assert toxicity.score_toxicity(docs.limit(0), labels).count() == 0
+    # a very long labelled text leaves training alone, and only itself
+    many = docs_of(*["fine words stand here"] * 40, *["you idiot stand here"] * 40, "x " * 100_000)
+    marks = spark.createDataFrame([(n, 1, int(n >= 40)) for n in range(81)], "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.score_toxicity(many, marks).collect()}
+    assert [got[n] for n in (0, 39, 40, 79, 80)] == [0, 0, 1, 1, 0]
 
 
 def sha(spans, kinds):

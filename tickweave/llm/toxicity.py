@@ -1,12 +1,15 @@
 """Toxicity scores: a lexicon trie met by Levenshtein automata, context windows, and a logistic model over the hits.
 
-The lexicon is learned from a bounded sample of labelled training documents: whole words and word stems (4 to 9 leading letters) whose rate in toxic documents is
-many times that in others. It is a trie; a word is matched by running the trie's Levenshtein automaton (one insertion, deletion, substitution for words of five letters
-or more; stems exactly) as a lazily built deterministic automaton whose states are sets of (trie node, edits). A hit between quotation marks, or after a reporting word, in a window
-of ``REACH`` words around it counts as quoted; others as direct. A logistic model on the counts and rates of direct, misspelled and quoted hits gives the score.
-
-Edge cases: null text counts as empty and gets the model's score for no hits; labels, lang, source and doc_id are never inputs; null doc_id is never a training row; without
-training rows of both labels every score is the share of toxic ones (0 if there are none); long texts are read whole; an empty table gives no rows.
+The lexicon is learned from a bounded sample of labelled training documents: whole words and word stems (4 to 9 leading letters) that many toxic documents hold (1 % and three at least) and whose rate in
+them is many times that in others. It is a trie; a word is matched by running the trie's Levenshtein automaton (one insertion, deletion or substitution; words of five letters or more, the
+beginnings of words against stems of six or more) as a lazily built deterministic automaton whose states are sets of (trie node, edits). Terms that clean training words resemble too often are matched
+exactly only, and a clean training word is never a misspelling. A hit inside paired quotation marks, or up to ``REACH`` words after a reporting word, counts as quoted; others as direct. Apostrophes
+and single quotes are no quotation marks, and straight ones open before a word and close after one. A misspelled hit counts as ``MISSPELLED`` of a direct one. A logistic model on counts and
+rates of direct and quoted hits gives the score.
+
+Edge cases: null text counts as empty and gets the model's score for no hits; labels, lang, source and doc_id are never inputs; null doc_id is never a training row; an id with several
+labels is toxic if one says so, and gives one training text; training passes over documents of more than ``MAX_DOC_CHARS`` characters, each by itself; without
+training rows of both labels every score is the share of toxic ones (0 if there are none); long texts are read whole; an empty table gives no rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -20,19 +23,22 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import window as W
 
 from .common import smallest
 
 MAX_TRAIN = 4_000  # documents, at most half of them toxic
-MAX_TRAIN_CHARS = 32_000_000
+MAX_DOC_CHARS = 100_000
 FOLDS = 5  # rows whose crc32 modulo this is 0 are held out
 TERMS = 400
 SURE = 8.0  # least log rate ratio times root of documents of a term
 REACH = 6
 CACHE = 400_000
 MARKS = ".,|?!;:()[]{}<>#$%&*\"'«»“”„‘’_~^=+/\\-"
-QUOTES = frozenset("\"«»“”„‘’")
+OPENING, CLOSING = frozenset("\"“„«»"), frozenset("\"”“»«")
+LONGEST_QUOTE = 60  # words
+MISSPELLED = 0.7
+RESEMBLED = 0.1  # clean near matches a toxic use from which on a term is matched exactly only
+
 #: Words that report speech.
 REPORTING = frozenset("said says wrote writes quote quoted called quoting sagte schrieb zitat dit écrit citation dijo escribió cita".split())
 
@@ -42,14 +48,15 @@ class Node:
     down: dict
     word: float = 0.0  # weight of the term that ends here
     stem: float = 0.0  # weight of the stem that ends here
-    long: bool = False  # whether that term may be misspelled
+    term: str = ""
+    loose: bool = False  # whether it may be misspelled
 
 
 class Lexicon:
-    """The trie and its automaton."""
+    """The trie and its automaton. ``loose``: the terms that may be misspelled (None: all that are long enough); ``clean``: words that are no misspellings."""
 
-    def __init__(self, words: dict[str, float], stems: dict[str, float]):
-        self.nodes = [Node({})]
+    def __init__(self, words: dict[str, float], stems: dict[str, float], loose: set[str] | None = None, clean: frozenset[str] = frozenset()):
+        self.nodes, self.clean = [Node({})], clean
         for terms, kind in ((words, "word"), (stems, "stem")):
             for term, weight in terms.items():
                 at = 0
@@ -59,13 +66,13 @@ class Lexicon:
                         self.nodes.append(Node({}))
                     at = self.nodes[at].down[c]
                 setattr(self.nodes[at], kind, weight)
-                if kind == "word":
-                    self.nodes[at].long = len(term) >= 5
+                self.nodes[at].term = term
+                self.nodes[at].loose = len(term) >= (5 if kind == "word" else 6) if loose is None else term in loose
         self.states: list[frozenset] = []
         self.number: dict[frozenset, int] = {}
         self.steps: list[dict[str, int]] = []
-        self.found: list[tuple[int, float]] = []
-        self.stemmed: list[float] = []
+        self.found: list[tuple[float, float, str]] = []  # weight of an exact word, of a misspelled one, that term
+        self.stemmed: list[tuple[float, float, str]] = []  # the same of stems
         self.start = self._state({(0, 0)})
         self.dead = self._state(set())
         self.known: dict[str, tuple[int, float] | None] = {}
@@ -82,10 +89,10 @@ class Lexicon:
             self.number[key] = len(self.states)
             self.states.append(key)
             self.steps.append({})
-            exact = max((self.nodes[n].word for n, e in key if e == 0), default=0.0)
-            near = max((self.nodes[n].word for n, e in key if e == 1 and self.nodes[n].long), default=0.0)
-            self.found.append((1, exact) if exact else (2, near))
-            self.stemmed.append(max((self.nodes[n].stem for n, e in key if e == 0), default=0.0))
+            for kind, out in (("word", self.found), ("stem", self.stemmed)):
+                exact = max((getattr(self.nodes[n], kind) for n, e in key if e == 0), default=0.0)
+                near = max(((getattr(self.nodes[n], kind), self.nodes[n].term) for n, e in key if e == 1 and self.nodes[n].loose), default=(0.0, ""))
+                out.append((exact, *near))
         return self.number[key]
 
     def _step(self, state: int, c: str) -> int:
@@ -100,23 +107,23 @@ class Lexicon:
         got = self.steps[state][c] = self._state(out)
         return got
 
-    def match(self, word: str) -> tuple[int, float] | None:
-        """(1: exact or stem, 2: misspelled; weight), or None."""
-        state, stem, steps = self.start, 0.0, self.steps
+    def match(self, word: str) -> tuple[int, float, str] | None:
+        """(1: exact or stem, 2: misspelled; weight; the misspelled term), or None."""
+        state, stem, near, steps = self.start, 0.0, (0.0, ""), self.steps
         for c in word:
             nxt = steps[state].get(c)
             state = self._step(state, c) if nxt is None else nxt
             if state == self.dead:
                 break
-            stem = max(stem, self.stemmed[state])
-        kind, weight = self.found[state] if state != self.dead else (0, 0.0)
-        if kind == 1 and weight >= stem and weight > 0:
-            return 1, weight
-        if stem > 0:
-            return 1, stem
-        return (2, weight) if weight > 0 else None
-
-    def lookup(self, raw: str) -> tuple[int, float] | None:
+            got = self.stemmed[state]
+            stem, near = max(stem, got[0]), max(near, got[1:])
+        exact, *loose = self.found[state] if state != self.dead else (0.0, 0.0, "")
+        if exact > 0 or stem > 0:
+            return 1, max(exact, stem), ""
+        near = max(near, tuple(loose))
+        return (2, *near) if near[0] > 0 and word not in self.clean else None
+
+    def lookup(self, raw: str) -> tuple[int, float, str] | None:
         try:
             return self.known[raw]
         except KeyError:
@@ -128,34 +135,47 @@ class Lexicon:
             return got
 
 
-FEATURES = 7
+FEATURES = 6
+
+
+def quoted_words(words: list[str]) -> np.ndarray:
+    """Which words stand inside paired quotation marks: one opens at the beginning of a word and the next that closes does so at the end of one."""
+    inside, opened = np.zeros(len(words), bool), None
+    for n, w in enumerate(words):
+        core = w.strip(MARKS)
+        at = w.find(core) if core else len(w)
+        before, after = w[:at], w[at + len(core) :]
+        if opened is None and any(c in OPENING for c in before):
+            opened = n
+        if opened is not None and any(c in CLOSING for c in (after if core else before if n > opened else "")):
+            if n - opened <= LONGEST_QUOTE:
+                inside[opened : n + 1] = True
+            opened = None
+        if opened is not None and n - opened > LONGEST_QUOTE:
+            opened = None
+    return inside
 
 
 def features(text: str, lexicon: Lexicon) -> list[float]:
-    """1, counts and rates of direct hits, misspelled hits, quoted hits, summed weights, distinct terms."""
+    """1, count and rate of direct hits, quoted hits, summed weights, distinct terms hit directly."""
     words = text.lower().split()
     hits = {w: got for w in set(words) if (got := lexicon.lookup(w)) is not None}
-    direct = near = quoted = weight = 0.0
+    direct = quoted = weight = 0.0
+    terms: dict[str, float] = {}
     if hits:
-        marks = None
+        inside = quoted_words(words)
         for n, w in enumerate(words):
             got = hits.get(w)
             if got is None:
                 continue
-            if marks is None:
-                marks = np.cumsum([sum(c in QUOTES for c in x) for x in words])
-            around = words[max(0, n - REACH) : n]
-            opened = marks[n] - (marks[max(0, n - REACH) - 1] if n > REACH else 0)
-            closed = marks[min(len(words), n + REACH + 1) - 1] - marks[n]
-            if (opened and closed) or any(x.strip(MARKS) in REPORTING for x in around):
+            if inside[n] or any(x.strip(MARKS) in REPORTING for x in words[max(0, n - REACH) : n]):
                 quoted += 1
-            elif got[0] == 1:
-                direct += 1
-                weight += got[1]
-            else:
-                near += 1
+                continue
+            size = 1.0 if got[0] == 1 else MISSPELLED
+            direct, weight = direct + size, weight + size * got[1]
+            terms[got[2] or w.strip(MARKS)] = max(size, terms.get(got[2] or w.strip(MARKS), 0.0))
     n = len(words) + 10
-    return [1.0, math.log1p(direct), min(5.0, 100 * direct / n), math.log1p(near), math.log1p(quoted), min(20.0, weight / 5), min(6.0, float(len(hits)))]
+    return [1.0, math.log1p(direct), min(5.0, 100 * direct / n), math.log1p(quoted), min(20.0, weight / 5), min(6.0, sum(terms.values()))]
 
 
 def learn_lexicon(texts: list[str], toxic: list[bool], terms: int = TERMS) -> Lexicon:
@@ -179,7 +199,7 @@ def learn_lexicon(texts: list[str], toxic: list[bool], terms: int = TERMS) -> Le
         if d >= least:
             ratio = ((seen[1][s] + 0.5) / (total[1] + 1)) / ((seen[0][s] + 0.5) / (total[0] + 1))
             by_doc = ((d + 0.5) / (n_toxic + 1)) / ((docs[0][s] + 0.5) / (len(texts) - n_toxic + 1))
-            if ratio >= 8 and by_doc >= 2.5 and math.log(ratio) * math.sqrt(d) >= SURE:
+            if ratio >= 8 and by_doc >= 5 and math.log(ratio) * math.sqrt(d) >= SURE:
                 rows.append((math.log(ratio), d, s))
     rows.sort(key=lambda r: (-r[0] * math.sqrt(r[1]), -len(r[2]), r[2]))
     words: dict[str, float] = {}
@@ -198,7 +218,18 @@ def learn_lexicon(texts: list[str], toxic: list[bool], terms: int = TERMS) -> Le
             words[longer[0]] = weight
         else:
             stems[s] = weight
-    return Lexicon(words, stems)
+    # Which terms do clean words resemble?
+    clean: Counter = Counter()
+    for text, y in zip(texts, toxic):
+        if not y:
+            clean.update(w for x in text.lower().split() if len(w := x.strip(MARKS)) >= 4)
+    first, resembled = Lexicon(words, stems), Counter()
+    known = {w: got[2] for w in clean if (got := first.match(w)) is not None and got[0] == 2}
+    for w, term in known.items():
+        resembled[term] += clean[w]
+    used = Counter({t: seen[1][t[:9]] for t in (*words, *stems)})
+    loose = {t for t in (*words, *stems) if len(t) >= (5 if t in words else 6) and resembled[t] <= RESEMBLED * used[t] * total[0] / max(1, total[1])}
+    return Lexicon(words, stems, loose, frozenset(known))
 
 
 def fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, steps: int = 40) -> np.ndarray:
@@ -227,14 +258,14 @@ def held_out(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string")) % FOLDS == 0, F.lit(True))
 
 
-def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, max_chars: int = MAX_TRAIN_CHARS, id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """The model from at most ``max_train`` labelled documents (half of them toxic at most) and ``max_chars`` characters, smallest hash first; held-out rows never."""
+def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, max_chars: int = MAX_DOC_CHARS, id_col: str = "doc_id", text_col: str = "text") -> Model:
+    """The model from at most ``max_train`` labelled documents (half of them toxic at most), smallest hash first; held-out rows and texts of more than ``max_chars`` characters never."""
     ids = labels.select(F.col("doc_id").alias("_id"), (F.col("toxic") == 1).alias("_toxic")).filter(F.col("_id").isNotNull() & F.col("_toxic").isNotNull() & ~held_out(F.col("_id")))
+    ids = ids.groupBy("_id").agg(F.max("_toxic").alias("_toxic"))
     few = [smallest(ids.filter(kind), ["_id"], max_train // 2) for kind in ("_toxic", "NOT _toxic")]
     chosen = few[0].unionByName(few[1])
-    rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text")).join(F.broadcast(chosen), "_id")  # at most max_train ids
-    before = F.sum(F.length("_text")).over(W.Window.partitionBy("_toxic").orderBy("_h", "_text").rowsBetween(W.Window.unboundedPreceding, 0))
-    got = rows.withColumn("_sum", before).filter(F.col("_sum") <= max_chars // 2).select("_text", "_toxic", "_id").toPandas()
+    rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text")).filter(F.length("_text") <= max_chars)
+    got = rows.join(F.broadcast(chosen), "_id").groupBy("_id", "_toxic").agg(F.min("_text").alias("_text")).toPandas()  # at most max_train ids
     got = got.sort_values(["_toxic", "_id"])
     texts, toxic = list(got["_text"]), [bool(v) for v in got["_toxic"]]
     if len(set(toxic)) < 2:
@@ -266,19 +297,19 @@ def _score(model: Model):
     return run
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score_toxicity(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, max_chars: int = MAX_DOC_CHARS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, score (0 to 1), predicted (1 at 0.5 or more)."""
-    model = train(docs, labels, max_train, id_col=id_col, text_col=text_col)
+    model = train(docs, labels, max_train, max_chars, id_col, text_col)
     cols = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out(F.col(id_col)).alias("held_out"), F.col(text_col).alias("text"))
     return cols.mapInArrow(_score(model), "doc_id long, held_out boolean, score double, predicted int")
 
 
-def drop_toxic(docs: DataFrame, labels: DataFrame, at: float = 0.5, **how) -> DataFrame:
+def drop_toxic(docs: DataFrame, labels: DataFrame, at: float = 0.5, max_train: int = MAX_TRAIN, max_chars: int = MAX_DOC_CHARS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` with a score under ``at``, all columns."""
     import pyarrow.compute as pc
 
-    model = train(docs, labels, **how)
-    place = docs.columns.index("text")
+    model = train(docs, labels, max_train, max_chars, id_col, text_col)
+    place = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
