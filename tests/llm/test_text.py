@@ -110,23 +110,49 @@ def test_calibration_spends_the_budget():
 
 
 def test_mixture_on_corpus(corpus, spark):
+    """Weights and draws against a plain raking of the query's own cells, on the driver and as tables."""
     got = mixing.mix_to_targets(corpus).toPandas()
-    assert len(got) == corpus.count()
-    expected, total = (got["probability"] * got["tokens"]).sum(), got["tokens"].sum()
+    assert len(got) == corpus.count() and got["topic"].nunique() > 1
+    mass = got.groupby(["source", "lang", "topic"])["tokens"].sum()
+    w, total = mass / mass.sum(), mass.sum()
+    shares = {side: w.groupby(level=side).sum() for side in mixing.SIDES}
+    goals = {**shares, "source": shares["source"] ** mixing.TEMPER / (shares["source"] ** mixing.TEMPER).sum()}
+    for _ in range(mixing.ROUNDS):
+        for side in mixing.SIDES:
+            w = w * (goals[side] / w.groupby(level=side).sum()).reindex(w.index.get_level_values(side)).to_numpy()
+    weight = w / (mass / total)
+    mine = got.groupby(["source", "lang", "topic"])["weight"].first()
+    assert np.allclose(mine, weight, rtol=1e-6)
+    expected = (got["probability"] * got["tokens"]).sum()
     assert abs(expected / total - mixing.BUDGET) < 1e-6
-    assert abs(got.loc[got["kept"], "tokens"].sum() / total - mixing.BUDGET) < 0.2
-    table = mixing.mix_to_targets(corpus, max_cells=0).toPandas()
-    both = got.merge(table, on="doc_id")
-    assert np.allclose(both["weight_x"], both["weight_y"], rtol=1e-3)
+    scale = (got["probability"] / got["weight"])[got["probability"] < 1]
+    assert np.allclose(scale, scale.iloc[0]) and abs(got.loc[got["kept"], "tokens"].sum() / total - mixing.BUDGET) < 0.2
     a, b = mixing.sample_mixture(corpus), got.loc[got["kept"], "doc_id"]
     assert sorted(r["doc_id"] for r in a.collect()) == sorted(b) and a.columns == corpus.columns
 
 
+def test_raking_is_the_same_on_tables(docs_of):
+    docs = docs_of(*[f"word{n % 3} " * (1 + n % 5) for n in range(60)], sources=[f"s{n % 7 % 2}" for n in range(60)]).withColumn("lang", F.when(F.col("doc_id") % 3 == 0, "a").otherwise("b"))
+    one, two = (mixing.mix_to_targets(docs, {"lang": {"a": 0.5, "b": 0.5}}, topics=1, max_cells=m).toPandas() for m in (100, 0))
+    both = one.merge(two, on="doc_id")
+    assert len(both) == 60 and np.allclose(both["weight_x"], both["weight_y"], rtol=1e-6) and np.allclose(both["probability_x"], both["probability_y"], rtol=1e-6)
+    assert np.isclose((one["weight"] * one["tokens"])[one["lang"] == "a"].sum() / one["tokens"].sum(), 0.5)
+
+
+def test_topics_split_languages(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = mixing.mix_to_targets(docs.filter(F.length("text") > 400)).toPandas()
+    assert got.groupby("topic")["lang"].agg(lambda x: x.value_counts(normalize=True).iloc[0]).mean() > 0.8
+
+
 def test_mixture_odd_rows(docs_of):
-    docs = docs_of(*ODD, sources=[None, "null", *["s"] * 7])
+    docs = docs_of(*ODD, ids=[None, None, *range(2, 9)], sources=[None, "null", *["s"] * 7])
     got = mixing.mix_to_targets(docs, {"source": {"s": 0.5, "none such": 0.5}})
     assert got.count() == 9 and got.filter("probability IS NULL OR weight IS NULL").count() == 0
-    assert mixing.mix_to_targets(docs.limit(0)).count() == 0
+    assert mixing.mix_to_targets(docs.limit(0)).count() == 0 and mixing.sample_mixture(docs.limit(0)).count() == 0
+    clash = docs.withColumnRenamed("doc_id", "id").withColumns({n: F.lit("z") for n in ("doc_id", "topic", "tokens", "x", "u", "row", "_source", "_text", "weight", "kept")})
+    kept = mixing.sample_mixture(clash, budget=1.0, temper=1.0, id_col="id")
+    assert kept.columns == clash.columns and kept.count() == 9
 
 
 def distance(a, b):

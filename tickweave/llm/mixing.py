@@ -1,16 +1,16 @@
 """Mixing to target weights: token weights are raked to source, language and topic marginals, and documents are sampled by calibrated probabilities.
 
-1. Every document gets a topic: the nearest of ``topics`` centres in a space of hashed word counts, by cosine. The centres are fitted (spherical k-means) on a bounded
-   sample, about ``max_fit`` documents (never more) with the smallest hash; topics are assigned to all.
-2. Tokens (words) are summed by cell: source, language, topic. Iterative proportional fitting scales the cells in turn until each marginal matches its targets. The cells
-   come to the driver while they are few (``MAX_CELLS``); beyond that the same steps run on the table of cells.
+1. Every document gets a topic: the nearest of ``topics`` centres in a space of hashed word counts, by cosine. The centres are fitted by spherical k-means over all documents: each round is
+   one pass over stored profiles in which tasks sum the vectors of each topic; it starts from the parts into which fixed random directions cut the documents around their mean.
+2. Tokens (words) are summed by cell: source, language, topic. Iterative proportional fitting scales the cells in turn until each marginal matches its targets, for at most ``ROUNDS`` rounds or
+   until no factor is further from 1 than ``TOLERANCE``. Up to ``MAX_CELLS`` cells this is done on the driver, beyond that by the same rule on the table of cells.
 3. A cell's weight is its raked share over its natural one. Keep probabilities are min(1, scale * weight), with the scale found so that the expected tokens are the
    budget. A document stays if a hash of its id and text is under its probability, so the draw does not depend on the layout.
 
 Default targets: sources by token share to the power ``temper``; languages and topics as they are.
 
-Edge cases: null source, lang or text are values of their own (text: empty, topic 0, weight one token); targets of values that do not occur are left out and the rest scaled up; values without a target keep their natural
-share; repeated rows are drawn alike; an empty table gives no rows.
+Edge cases: null source, lang or text are values of their own (text: empty, the topic of an empty profile, weight one token); targets of values that do not occur are left out and the rest scaled up;
+values without a target keep their natural share; repeated rows are drawn alike; rows of one id are drawn each by its text; an empty table gives no rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,67 +22,107 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash_cut, stored
+from .common import stored
 from .hashing import chunks, texts_of, word_hashes
 
 TOPICS = 8
 WIDTH = 256
-MAX_FIT = 2_000
+FIT_ROUNDS = 10
 MAX_CELLS = 500_000
 BUDGET = 0.8  # share of all tokens to keep
 TEMPER = 0.7
 ROUNDS = 100
+TOLERANCE = 1e-9
 SIDES = ("source", "lang", "topic")
 
 
-def profiles(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(unit vectors of hashed word counts, number of words) of the texts of a column."""
+def counts(column: pa.Array) -> np.ndarray:
+    """Hashed word counts of the texts of a column, a row each."""
     raw, offsets = texts_of(column)
-    out, count = np.zeros((len(column), WIDTH), np.float32), np.zeros(len(column), np.int64)
+    out = np.zeros((len(column), WIDTH), np.int64)
     for lo, hi in chunks(offsets):
         h, _, _, row = word_hashes(raw[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
-        cell = np.bincount(row * WIDTH + (h % np.uint64(WIDTH)).astype(np.int64), minlength=(hi - lo) * WIDTH).reshape(hi - lo, WIDTH)
-        count[lo:hi] = cell.sum(1)
-        out[lo:hi] = np.log1p(cell)
+        out[lo:hi] = np.bincount(row * WIDTH + (h % np.uint64(WIDTH)).astype(np.int64), minlength=(hi - lo) * WIDTH).reshape(hi - lo, WIDTH)
+    return out
+
+
+def unit(levels: np.ndarray) -> np.ndarray:
+    """Unit vectors of levels (16 times the logarithm of one more than a count, in a byte)."""
+    out = levels.astype(np.float32)
     norm = np.linalg.norm(out, axis=1, keepdims=True)
-    return np.divide(out, norm, out=out, where=norm > 0), count
+    return np.divide(out, norm, out=out, where=norm > 0)
 
 
-def fit_topics(x: np.ndarray, topics: int, rounds: int = 20) -> np.ndarray:
-    """Centres by spherical k-means, started from far apart rows; deterministic."""
-    if not len(x):
-        return np.zeros((topics, WIDTH), np.float32)
-    centres = [x[0]]
-    while len(centres) < topics:
-        centres.append(x[(x @ np.array(centres).T).max(1).argmin()])
-    c = np.array(centres)
-    for _ in range(rounds):
-        at = (x @ c.T).argmax(1)
-        for k in range(topics):
-            if (at == k).any():
-                v = x[at == k].mean(0)
-                c[k] = v / (np.linalg.norm(v) or 1)
-    return c.astype(np.float32)
+def levels_of(count: np.ndarray) -> np.ndarray:
+    return np.minimum(255, np.round(16 * np.log1p(count))).astype(np.uint8)
 
 
-def _assign(centres: np.ndarray):
+def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        count = counts(batch.column("_text"))
+        keep = [k for k, name in enumerate(batch.schema.names) if name != "_text"]
+        cols = [batch.column(k) for k in keep] + [pa.array([v.tobytes() for v in levels_of(count)], pa.binary()), pa.array(np.maximum(count.sum(1), 1))]
+        yield pa.RecordBatch.from_arrays(cols, names=[batch.schema.names[k] for k in keep] + ["x", "tokens"])
+
+
+def _vectors(column: pa.Array) -> np.ndarray:
+    return unit(np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, WIDTH))
+
+
+def _sums(place, topics: int):
+    """Rows (topic, dim, v): the summed vectors of each topic that ``place`` gives, and in dim -1 the summed likeness."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((topics, WIDTH + 1))
         for batch in batches:
-            x, n = profiles(batch.column("_text"))
-            keep = [k for k, name in enumerate(batch.schema.names) if name != "_text"]
-            cols = [batch.column(k) for k in keep] + [pa.array((x @ centres.T).argmax(1).astype(np.int32)), pa.array(np.maximum(n, 1))]
-            yield pa.RecordBatch.from_arrays(cols, names=[batch.schema.names[k] for k in keep] + ["topic", "tokens"])
+            x = _vectors(batch.column(0))
+            score = place(x)
+            at = score.argmax(1)
+            for k in range(topics):
+                total[k, 1:] += x[at == k].sum(0)
+                total[k, 0] += score[at == k, k].sum()
+        k, d = np.divmod(np.arange(total.size, dtype=np.int32), WIDTH + 1)
+        yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.int32)), pa.array((d - 1).astype(np.int32)), pa.array(total.ravel())], names=["topic", "dim", "v"])
 
     return run
 
 
-def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        x, _ = profiles(batch.column(1))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([v.tobytes() for v in x], pa.binary())], names=["h", "x"])
+def fit_topics(profiles: DataFrame, topics: int = TOPICS, rounds: int = FIT_ROUNDS, seed: int = 1) -> np.ndarray:
+    """Centres by spherical k-means over all profiles (column ``x``)."""
+
+    def pass_(place, k: int) -> np.ndarray:
+        out = np.zeros((k, WIDTH + 1))
+        for r in profiles.select("x").mapInArrow(_sums(place, k), "topic int, dim int, v double").groupBy("topic", "dim").agg(F.sum("v").alias("v")).collect():  # topics * (WIDTH + 1) rows
+            out[r["topic"], r["dim"] + 1] = r["v"]
+        return out
+
+    mean = pass_(lambda x: np.zeros((len(x), 1), np.float32), 1)[0, 1:]
+    mean = (mean / (np.linalg.norm(mean) or 1)).astype(np.float32)
+    ways = np.random.default_rng(seed).standard_normal((WIDTH, topics)).astype(np.float32)
+    got = pass_(lambda x: (x - (x @ mean)[:, None] * mean) @ ways, topics)
+    centres, before = ways.T.copy(), -np.inf
+    for _ in range(rounds):
+        norm = np.linalg.norm(got[:, 1:], axis=1, keepdims=True)
+        centres = np.where(norm > 0, got[:, 1:] / np.where(norm > 0, norm, 1), centres).astype(np.float32)
+        got = pass_(lambda x, c=centres: x @ c.T, topics)
+        if got[:, 0].sum() <= before * (1 + 1e-4):
+            break
+        before = got[:, 0].sum()
+    return centres
 
 
-def rake(cells: np.ndarray, sides: list[np.ndarray], targets: list[np.ndarray], rounds: int = ROUNDS, tol: float = 1e-9) -> np.ndarray:
+def _assign(centres: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.schema.get_field_index("x")
+            names = [f for k, f in enumerate(batch.schema.names) if k != n]
+            topic = (_vectors(batch.column(n)) @ centres.T).argmax(1).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([c for k, c in enumerate(batch.columns) if k != n] + [pa.array(topic)], names=[*names, "topic"])
+
+    return run
+
+
+def rake(cells: np.ndarray, sides: list[np.ndarray], targets: list[np.ndarray], rounds: int = ROUNDS, tol: float = TOLERANCE) -> np.ndarray:
     """Iterative proportional fitting of cell masses; ``sides[k]`` gives each cell's value on side k, ``targets[k]`` the mass of each value."""
     w = cells.astype(float)
     for _ in range(rounds):
@@ -109,56 +149,56 @@ def calibrate(weight: np.ndarray, tokens: np.ndarray, budget: float) -> float:
     return float("inf")
 
 
-def default_targets(shares: dict, side: str, temper: float) -> dict:
-    return {k: v**temper for k, v in shares.items()} if side == "source" else dict(shares)
-
-
-def target_masses(shares: dict, wanted: dict | None, side: str, temper: float) -> dict:
-    """Target share of every value that occurs; values without a target keep their own share."""
-    goal = default_targets(shares, side, temper) if wanted is None else {k: v for k, v in wanted.items() if k in shares}
-    free = sum(v for k, v in shares.items() if k not in goal)
-    total = sum(goal.values())
-    return {k: goal[k] / total * (1 - free) if k in goal and total > 0 else v for k, v in shares.items()}
-
-
-def with_topics(docs: DataFrame, topics: int = TOPICS, max_fit: int = MAX_FIT, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang") -> DataFrame:
-    """doc_id, source, lang, u (uniform draw), topic, tokens."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    h = F.xxhash64(F.col(id_col), text)
-    near = docs.select(h.alias("h"), text.alias("_text")).filter(F.col("h") <= F.lit(hash_cut(docs.count(), max_fit)))
-    sample = near.mapInArrow(_fit, "h long, x binary").orderBy("h", "x").limit(max_fit).collect()
-    centres = fit_topics(np.array([np.frombuffer(r["x"], np.float32) for r in sample], np.float32).reshape(-1, WIDTH), topics)
-    u = (F.shiftrightunsigned(F.xxhash64(h, F.lit("draw")), 11).cast("double") / F.lit(float(1 << 53))).alias("u")
-    cols = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.col(lang_col).cast("string").alias("lang"), u, text.alias("_text"))
-    return cols.mapInArrow(_assign(centres), "doc_id long, source string, lang string, u double, topic int, tokens long")
-
-
 def _key(name: str):
     return F.coalesce(F.concat(F.lit("="), F.col(name).cast("string")), F.lit("null"))  # null apart from any string
 
 
-def mix_to_targets(docs: DataFrame, targets: dict[str, dict] | None = None, budget: float = BUDGET, temper: float = TEMPER, topics: int = TOPICS, max_cells: int = MAX_CELLS, **columns) -> DataFrame:
-    """doc_id, source, lang, topic, tokens, weight (raked share over natural share), probability, kept."""
-    spark = docs.sparkSession
-    rows = stored(with_topics(docs, topics, **columns).withColumns({f"_{s}": _key(s) for s in SIDES}), "topics")
-    cells = stored(rows.groupBy(*[f"_{s}" for s in SIDES]).agg(F.sum("tokens").alias("mass")), "cells")
+def goal_table(cells: DataFrame, side: str, wanted: dict | None, temper: float, total: float) -> DataFrame:
+    """(value of a side, goal): the target share of every value that occurs; values without a target keep their own share."""
+    shares = cells.groupBy(f"_{side}").agg((F.sum("mass") / F.lit(float(total))).alias("share"))
+    if wanted is None:
+        raw = F.pow("share", F.lit(temper)) if side == "source" else F.col("share")
+        sums = shares.agg(F.sum(raw).alias("all"))
+        return stored(shares.join(sums).select(f"_{side}", (raw / F.col("all")).alias("goal")), "goals")
+    given = cells.sparkSession.createDataFrame([("null" if k is None else f"={k}", float(v)) for k, v in wanted.items()], f"_{side} string, wanted double")
+    both = shares.join(given, f"_{side}", "left")
+    sums = both.agg(F.coalesce(F.sum("wanted"), F.lit(0.0)).alias("all"), F.coalesce(F.sum(F.when(F.col("wanted").isNull(), F.col("share"))), F.lit(0.0)).alias("free"))
+    goal = F.when(F.col("wanted").isNotNull() & (F.col("all") > 0), F.col("wanted") / F.col("all") * (1 - F.col("free"))).otherwise(F.col("share"))
+    return stored(both.join(sums).select(f"_{side}", goal.alias("goal")), "goals")
+
+
+NAMES = ["doc_id", "source", "lang", "topic", "tokens", "weight", "probability", "kept"]
+
+
+def _draws(docs: DataFrame, topics: int, columns: dict, more: list) -> DataFrame:
+    """doc_id, source, lang, u (uniform draw), tokens, topic, keys of the sides; ``more`` columns of ``docs`` too."""
+    text = F.coalesce(F.col(columns.get("text_col", "text")), F.lit(""))
+    id_ = F.col(columns.get("id_col", "doc_id")).cast("long")
+    h = F.xxhash64(F.xxhash64(id_, text), F.lit("draw"))
+    u = (F.shiftrightunsigned(h, 11).cast("double") / F.lit(float(1 << 53))).alias("u")
+    source, lang = (F.col(columns.get(f"{s}_col", s)).cast("string").alias(s) for s in ("source", "lang"))
+    rows = docs.select(id_.alias("doc_id"), source, lang, u, *more, text.alias("_text"))
+    kinds = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in rows.schema if f.name != "_text")
+    profiles = stored(rows.mapInArrow(_profiles, kinds + "x binary, tokens long"), "profiles")
+    found = profiles.mapInArrow(_assign(fit_topics(profiles, topics)), kinds + "tokens long, topic int")
+    return stored(found.withColumns({f"_{s}": _key(s) for s in SIDES}), "topics")
+
+
+def weigh(rows: DataFrame, targets: dict[str, dict] | None, budget: float, temper: float, max_cells: int) -> DataFrame | None:
+    """``rows`` with weight, probability and kept; None for no rows."""
+    spark, keys = rows.sparkSession, [f"_{s}" for s in SIDES]
+    cells = stored(rows.groupBy(*keys).agg(F.sum("tokens").alias("mass")), "cells")
     total = cells.agg(F.sum("mass")).first()[0]
-    names = ["doc_id", "source", "lang", "topic", "tokens", "weight", "probability", "kept"]
     if total is None:
-        return spark.createDataFrame([], "doc_id long, source string, lang string, topic int, tokens long, weight double, probability double, kept boolean")
-    goals = {}
-    for s in SIDES:  # one row a value
-        wanted = {("null" if k is None else f"={k}"): v for k, v in targets[s].items()} if targets and s in targets else None
-        if wanted is not None or s == "source":
-            shares = {r[0]: r[1] / total for r in cells.groupBy(f"_{s}").agg(F.sum("mass")).collect()}
-            goals[s] = target_masses(shares, wanted, s, temper)
-        else:
-            goals[s] = {r[0]: r[1] / total for r in cells.groupBy(f"_{s}").agg(F.sum("mass")).collect()}
-    if cells.count() <= max_cells:
-        table = cells.toPandas()
-        sides = [table[f"_{s}"].map({k: n for n, k in enumerate(goals[s])}).to_numpy() for s in SIDES]
+        return None
+    goals = {s: goal_table(cells, s, (targets or {}).get(s), temper, total) for s in SIDES}
+    few = cells.count() <= max_cells
+    if few:
+        table = cells.toPandas()  # max_cells rows at most, and as many values of a side
+        goal = {s: goals[s].toPandas() for s in SIDES}
+        sides = [table[f"_{s}"].map({k: n for n, k in enumerate(goal[s][f"_{s}"])}).to_numpy() for s in SIDES]
         mass = table["mass"].to_numpy(float)
-        weight = rake(mass / total, sides, [np.array(list(goals[s].values())) for s in SIDES]) * total / mass
+        weight = rake(mass / total, sides, [goal[s]["goal"].to_numpy() for s in SIDES]) * total / mass
         scale = calibrate(weight, mass, budget)
         table["weight"] = weight
         weighed = spark.createDataFrame(table.drop(columns="mass"))
@@ -166,31 +206,41 @@ def mix_to_targets(docs: DataFrame, targets: dict[str, dict] | None = None, budg
         weighed, scale = rake_table(cells, goals, total, budget)
     weighed = stored(weighed, "weights")
     p = F.least(F.lit(1.0), F.col("weight") * F.lit(min(scale, 1e300)))
-    return rows.join(weighed, [f"_{s}" for s in SIDES]).withColumn("probability", p).withColumn("kept", F.col("u") < F.col("probability")).select(*names)
+    return rows.join(F.broadcast(weighed) if few else weighed, keys).withColumn("probability", p).withColumn("kept", F.col("u") < F.col("probability"))
+
 
+def mix_to_targets(docs: DataFrame, targets: dict[str, dict] | None = None, budget: float = BUDGET, temper: float = TEMPER, topics: int = TOPICS, max_cells: int = MAX_CELLS, **columns) -> DataFrame:
+    """doc_id, source, lang, topic, tokens, weight (raked share over natural share), probability, kept."""
+    got = weigh(_draws(docs, topics, columns, []), targets, budget, temper, max_cells)
+    if got is None:
+        return docs.sparkSession.createDataFrame([], "doc_id long, source string, lang string, topic int, tokens long, weight double, probability double, kept boolean")
+    return got.select(*NAMES)
 
-def rake_table(cells: DataFrame, goals: dict[str, dict], total: float, budget: float, rounds: int = 20) -> tuple[DataFrame, float]:
+
+def rake_table(cells: DataFrame, goals: dict[str, DataFrame], total: float, budget: float, rounds: int = ROUNDS, tol: float = TOLERANCE) -> tuple[DataFrame, float]:
     """``rake`` and ``calibrate`` as table operations, for cells that a driver should not hold."""
-    spark = cells.sparkSession
     now = cells.withColumn("w", F.col("mass") / F.lit(float(total)))
     for _ in range(rounds):
+        worst = 0.0
         for s in SIDES:
-            goal = spark.createDataFrame([(k, float(v)) for k, v in goals[s].items()], f"_{s} string, goal double")
             have = now.groupBy(f"_{s}").agg(F.sum("w").alias("have"))
-            now = now.join(have.join(goal, f"_{s}"), f"_{s}").withColumn("w", F.col("w") * F.col("goal") / F.col("have")).drop("goal", "have")
-        now = stored(now, "rake")
+            factor = stored(have.join(goals[s], f"_{s}").select(f"_{s}", F.when(F.col("have") > 0, F.col("goal") / F.col("have")).otherwise(1.0).alias("factor")), "factors")
+            worst = max(worst, factor.agg(F.max(F.abs(F.col("factor") - 1))).first()[0])
+            now = stored(now.join(factor, f"_{s}").withColumn("w", F.col("w") * F.col("factor")).drop("factor"), "rake")
+        if worst < tol:
+            break
     now = now.select(*[f"_{s}" for s in SIDES], "mass", (F.col("w") * F.lit(float(total)) / F.col("mass")).alias("weight"))
     low, high = 0.0, 1.0
     spent = lambda s: now.agg(F.sum(F.least(F.lit(1.0), F.lit(s) * F.col("weight")) * F.col("mass"))).first()[0]
     while spent(high) < budget * total * (1 - 1e-9) and high < 1e12:
         low, high = high, high * 2
-    for _ in range(40):
+    for _ in range(60):
         mid = (low + high) / 2
         low, high = (mid, high) if spent(mid) < budget * total else (low, mid)
     return now.drop("mass"), high
 
 
-def sample_mixture(docs: DataFrame, **how) -> DataFrame:
-    """The rows of ``docs`` that the mixture keeps, all columns (ids unique, as in the pipeline; equal ids are drawn together)."""
-    kept = mix_to_targets(docs, **how).filter("kept").select(F.col("doc_id").alias("_kept"))
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")
+def sample_mixture(docs: DataFrame, targets: dict[str, dict] | None = None, budget: float = BUDGET, temper: float = TEMPER, topics: int = TOPICS, max_cells: int = MAX_CELLS, **columns) -> DataFrame:
+    """The rows of ``docs`` that the mixture keeps, all columns."""
+    got = weigh(_draws(docs, topics, columns, [F.struct(*docs.columns).alias("row")]), targets, budget, temper, max_cells)
+    return docs.limit(0) if got is None else got.filter("kept").select("row.*")
