@@ -232,6 +232,59 @@ def test_passages_recall_on_corpus(corpus):
     assert len(want & got) >= 0.97 * len(want)
 
 
+def spans_brute(rows, least=sd.LEAST_SPAN):
+    """(doc, first word, last word) of the maximal runs of words that lie in some repeated run of ``least`` words."""
+    w = {i: (t or "").lower().split() for i, t in rows}
+    seen = {}
+    for i, x in w.items():
+        for k in range(len(x) - least + 1):
+            seen.setdefault(tuple(x[k : k + least]), []).append((i, k))
+    inside = {i: [False] * len(x) for i, x in w.items()}
+    for places in seen.values():
+        if len(places) > 1:
+            for i, k in places:
+                inside[i][k : k + least] = [True] * least
+    return {i: [list(g) for v, g in itertools.groupby(range(len(m)), key=lambda k: m[k]) if v] for i, m in inside.items()}
+
+
+def test_passages_against_brute_force(corpus):
+    """Each exactly repeated passage of 51 words or more lies in a span but for its torn ends; documents without 33 words on end that repeat in runs of 12 have none, alike lines apart."""
+    rows = [(r["doc_id"], r["text"]) for r in corpus.collect()]
+    want, some = spans_brute(rows), {i: [g for g in groups if len(g) >= sd.LEAST_SPAN - 2 * (sd.WINDOW - 1)] for i, groups in spans_brute(rows, sd.RUN).items()}
+    text, got = dict(rows), {}
+    for r in sd.repeated_passages(corpus).collect():
+        got.setdefault(r["doc_id"], []).append((r["start"], r["end"]))
+    for i, groups in want.items():
+        at = [(m.start(), m.end()) for m in re.finditer(r"[^\x20\x09-\x0D]+", text[i] or "")]
+        for g in groups:
+            core = g[sd.WINDOW - 1 : len(g) - sd.WINDOW + 1]
+            assert any(a <= at[core[0]][0] and at[core[-1]][1] <= b for a, b in got.get(i, [])), i
+    extra = [i for i in got if not some[i]]
+    lines = [(i, line) for i, t in rows for line in (t or "").split("\n") if len(line.split()) >= sd.LEAST_LINE]
+    alike = {}
+    for n, (_, c) in components_brute([(n, line) for n, (_, line) in enumerate(lines)]).items() if extra else ():
+        alike.setdefault(c, set()).add(lines[n][0])
+    assert set(extra) <= set().union(*(g for g in alike.values() if len(g) > 1), set())
+
+
+def test_short_repeated_lines_are_left_alone(docs_of):
+    license_ = words("l", 40)
+    got = sd.repeated_passages(docs_of(*[words(f"a{n}_", 30) + "\n" + license_ + "\n" + words(f"b{n}_", 30) for n in range(30)])).collect()
+    assert got == []
+    longer = words("l", 51)
+    got = sd.repeated_passages(docs_of(*[words(f"a{n}_", 30) + "\n" + longer + "\n" + words(f"b{n}_", 30) for n in range(3)])).collect()
+    assert len(got) == 3 and sorted(r["removed"] for r in got) == [False, True, True] and {r["n_words"] for r in got} == {51} and {r["n_occurrences"] for r in got} == {3}
+
+
+def test_rows_without_or_with_equal_ids_keep_their_spans(docs_of):
+    shared = words("p", 60)
+    texts = [words("a", 30) + " " + shared, shared + " " + words("b", 10), words("c", 80) + " " + shared]
+    for ids in ([None] * 3, [5] * 3):
+        got = sd.repeated_passages(docs_of(*texts, ids=ids)).collect()
+        assert len(got) == 3 and sum(r["removed"] for r in got) == 2 and {r["doc_id"] for r in got} == {ids[0]}
+        assert all(r["n_words"] <= 60 for r in got)
+
+
 def test_passages_odd_rows(docs_of):
     docs = docs_of(*ODD).withColumn("name", F.lit("x"))
     assert {r["doc_id"] for r in sd.repeated_passages(docs).collect()} <= set(range(9))

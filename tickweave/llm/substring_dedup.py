@@ -1,18 +1,19 @@
 """Passages that repeat within or across documents: paragraph MinHash banding, exact verification, removal by components.
 
-Units of a text are its lines (paragraphs) of ``least_line`` words or more, its sentence groups (sentences, joined until they have four words) and winnowed runs of ``RUN`` words.
+Units of a text are its lines (paragraphs) of ``least_line`` words or more and winnowed runs of ``RUN`` words.
 A unit is named by a hash of its words and its kind. Equal units are found by that name; lines that are merely alike are found by MinHash: ``bands`` of ``rows`` minima of their 5-word shingles,
 tuned so that a pair at the threshold collides with a probability of ``recall`` or more. In each bucket the lines are first paired with two anchors, whose choice differs from band to band; buckets
 whose lines are not all linked by that are joined in full, by pairs of blocks. So every pair that collides is verified by the exact Jaccard similarity of the shingle sets, or linked already;
-components of verified pairs become one passage. The first occurrence of a passage
-(smallest doc_id, then place) is kept. Occurrences that touch are merged into spans; a span of ``least_span`` words or more is reported.
+components of verified pairs become one passage. The first occurrence of a passage (smallest doc_id, then row and place) is kept. Occurrences that touch are merged into spans.
 
-Sentence groups and runs make up for passages pasted into the middle of other paragraphs. Runs do not depend on sentence ends: they are the ``RUN`` words from every place whose word triple has
+Runs find passages pasted into the middle of other paragraphs: they are the ``RUN`` words from every place whose word triple has
 the smallest hash of ``WINDOW`` neighbouring places (winnowing), so two copies of ``RUN + WINDOW - 1`` = 21 words or more share one, and the shared ones touch and cover all of a copied
-passage but at most ``WINDOW - 1`` words at either end: a passage of 43 words or more is always reported, its torn ends to within 9 words.
+passage but at most ``WINDOW - 1`` words at either end. A span is reported if it may have ``least_span`` words: its own, and ``WINDOW - 1`` at each end that is not the end of a whole repeated line.
+So every copied passage of ``least_span`` words or more is reported (its torn ends to within 9 words), as is no repeated line of fewer. A chance equality of two 64-bit names makes no span:
+it would take several that touch.
 
-Edge cases: null or empty text has no units; null doc_id sorts first among occurrences and keeps its spans apart from other rows' by the row's own text; repeated rows repeat each other's passages and merge into one
-span each by doc_id; long texts are read whole; an empty table gives no rows; further columns are ignored.
+Edge cases: null or empty text has no units; null doc_id sorts first among occurrences; every row keeps its spans to itself, also rows of one id and rows without; repeated rows repeat each other's
+passages; long texts are read whole; an empty table gives no rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
@@ -33,8 +35,7 @@ THRESHOLD = 0.8
 RECALL = 0.995
 MINIMA = 24
 LEAST_LINE = 20
-LEAST_UNIT = 4
-LEAST_SPAN = 25
+LEAST_SPAN = 51
 BLOCK, BLOCK_SHINGLES = 500, 1_000_000  # lines and shingles of a bucket that are joined at a time
 RUN = 12
 WINDOW = 10
@@ -49,36 +50,18 @@ def tune(threshold: float = THRESHOLD, recall: float = RECALL, minima: int = MIN
     return minima, 1
 
 
-_END = np.zeros(256, bool)
-_END[[33, 46, 63]] = True  # ! . ?
-
-
-def units_of(raw: np.ndarray, offsets: np.ndarray, least_line: int, least_unit: int):
-    """Units of consecutive texts: (row, kind, first word, last word + 1) with the words' hashes, starts and ends. Kind 0: line, 1: sentence group."""
+def lines_of(raw: np.ndarray, offsets: np.ndarray, least_line: int):
+    """Lines of enough words of consecutive texts: (first word, last word + 1), and of the words: hash, start, end, row."""
     h, start, end, row = word_hashes(raw, offsets)
     n = len(h)
     if not n:
         z = np.zeros(0, np.int64)
-        return z, z, z, z, h, start, end
-    breaks = np.concatenate([[0], np.cumsum(raw == 10)])
-    line = breaks[start]
-    fresh_row = np.concatenate([[True], row[1:] != row[:-1]])
-    new_line = fresh_row | np.concatenate([[True], line[1:] != line[:-1]])
-    lo = np.flatnonzero(new_line)
+        return z, z, h, start, end, row
+    line = np.concatenate([[0], np.cumsum(raw == 10)])[start]
+    lo = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (line[1:] != line[:-1])]))
     hi = np.append(lo[1:], n)
     long = hi - lo >= least_line
-    stops = np.flatnonzero(_END[raw[end - 1]] | np.append(new_line[1:], True)) + 1  # a sentence ends after this word
-    cuts, at = [], 0
-    firsts = set(lo.tolist())
-    for s in stops.tolist():
-        if s - at >= least_unit or s in firsts or s == n:
-            cuts.append((at, s))
-            at = s
-    su = np.array(cuts, np.int64).reshape(-1, 2)
-    su = su[su[:, 1] - su[:, 0] >= least_unit]
-    first, last = np.concatenate([lo[long], su[:, 0]]), np.concatenate([hi[long], su[:, 1]])
-    kind = np.concatenate([np.zeros(int(long.sum()), np.int64), np.ones(len(su), np.int64)])
-    return row[first], kind, first, last, h, start, end
+    return lo[long], hi[long], h, start, end, row
 
 
 def runs_of(h: np.ndarray, row: np.ndarray, run: int = RUN, window: int = WINDOW) -> np.ndarray:
@@ -110,26 +93,31 @@ def _points(raw: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
 
 
-def _units(least_line: int, least_unit: int):
-    names = ["doc_id", "name", "kind", "start", "end", "words"]
+UNITS = "doc_id long, row long, name long, kind int, start int, end int, first int, last int"
+
+
+def _units(least_line: int):
+    names = [f.split()[0] for f in UNITS.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = TaskContext.get().partitionId() << 40  # numbers of the texts, unique over all tasks
         for batch in batches:
             raw, offsets = texts_of(batch.column(1))
             for lo, hi in chunks(offsets):
                 part, at = raw[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
-                row, kind, first, last, h, start, end = units_of(part, at, least_line, least_unit)
-                of = np.searchsorted(at, start, "right") - 1
+                first, last, h, start, end, of = lines_of(part, at, least_line)
                 more = runs_of(h, of)
-                row, kind = np.concatenate([row, of[more]]), np.concatenate([kind, np.full(len(more), 2, np.int64)])
+                kind = np.concatenate([np.zeros(len(first), np.int32), np.ones(len(more), np.int32)])
                 first, last = np.concatenate([first, more]), np.concatenate([last, more + RUN])
-                if not len(row):
+                if not len(first):
                     continue
+                row = of[first]
                 points = _points(part)
-                base = points[at[row]]
-                ids = batch.column(0).take(pa.array(row + lo))
-                cols = [ids, pa.array((names_of(h, first, last) + kind.astype(np.uint64)).view(np.int64)), pa.array(kind.astype(np.int32)), pa.array((points[start[first]] - base).astype(np.int32)), pa.array((points[end[last - 1]] - base).astype(np.int32)), pa.array((last - first).astype(np.int32))]
-                yield pa.RecordBatch.from_arrays(cols, names=names)
+                base, word = points[at[row]], np.searchsorted(of, row)
+                place = (points[start[first]] - base, points[end[last - 1]] - base, first - word, last - word)
+                name = (names_of(h, first, last) + kind.astype(np.uint64)).view(np.int64)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row + lo)), pa.array(rows + lo + row), pa.array(name), pa.array(kind), *(pa.array(x.astype(np.int32)) for x in place)], names=names)
+            rows += len(batch)
 
     return run
 
@@ -143,8 +131,8 @@ def _line_sets(least_line: int, words: int, make, names: list[str], types: list[
             raw, offsets = texts_of(batch.column(0))
             for lo, hi in chunks(offsets):
                 part, at = raw[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
-                row, kind, first, last, h, _, _ = units_of(part, at, least_line, 1 << 30)
-                if not len(row):
+                first, last, h, *_ = lines_of(part, at, least_line)
+                if not len(first):
                     continue
                 name = names_of(h, first, last).view(np.int64)
                 s, cut = shingle_hashes(h, np.repeat(np.arange(len(first)), last - first), len(first), words) if (last - first).sum() == len(h) else _of_runs(h, first, last, words)
@@ -266,23 +254,28 @@ def alike_lines(texts: DataFrame, threshold: float = THRESHOLD, recall: float =
 
 
 def repeated_passages(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, least_line: int = LEAST_LINE, least_span: int = LEAST_SPAN, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row a span: doc_id, start, end (code points), n_words, component_id, n_documents (occurrences of its most frequent unit), removed."""
+    """One row a span: doc_id, start, end (code points), n_words (found to repeat), component_id, n_occurrences (of its most frequent unit), removed (``least_span`` less torn ends of its words are copies of an earlier occurrence)."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    units = stored(rows.mapInArrow(_units(least_line, LEAST_UNIT), "doc_id long, name long, kind int, start int, end int, words int"), "units")
+    units = stored(rows.mapInArrow(_units(least_line), UNITS), "units")
     alike = stored(alike_lines(rows.select("text"), threshold, recall, least_line, words), "alike")
-    seen = units.groupBy("name").agg(F.count(F.lit(1)).alias("k"), F.min("doc_id").alias("least"))
-    known = seen.join(alike, seen["name"] == alike["node"], "left").select("name", "k", "least", F.coalesce("root", "name").alias("passage")).filter((F.col("k") > 1) | F.col("root").isNotNull())
+    seen = units.groupBy("name").agg(F.count(F.lit(1)).alias("k"))
+    known = seen.join(alike, seen["name"] == alike["node"], "left").select("name", "k", F.coalesce("root", "name").alias("passage")).filter((F.col("k") > 1) | F.col("root").isNotNull())
     known = stored(known, "known")
-    whole = known.groupBy("passage").agg(F.sum("k").alias("n_documents"), F.min("least").alias("first_id"))
-    repeated = stored(known.join(whole, "passage").select("name", "passage", "n_documents", "first_id"), "repeated")
-    found = units.join(repeated, "name")
-    w = W.Window.partitionBy("doc_id").orderBy("start", F.desc("end"))
-    reach = F.max("end").over(w.rowsBetween(W.Window.unboundedPreceding, -1))
-    runs = found.withColumn("reach", reach).withColumn("fresh", (F.col("reach").isNull() | (F.col("start") > F.col("reach") + 2)).cast("int")).withColumn("run", F.sum("fresh").over(w))
-    covered = F.greatest(F.lit(0), F.col("end") - F.greatest("start", F.coalesce("reach", F.lit(0)))) / F.greatest(F.lit(1), F.col("end") - F.col("start")) * F.col("words")
-    later = ~F.col("doc_id").eqNullSafe(F.col("first_id"))
-    again = F.row_number().over(W.Window.partitionBy("doc_id", "passage", "kind").orderBy("start")) > 1
-    spans = runs.withColumns({"covered": covered, "later": (later | again)}).groupBy("doc_id", "run").agg(
-        F.min("start").alias("start"), F.max("end").alias("end"), F.round(F.sum("covered")).cast("long").alias("n_words"), F.min("passage").alias("component_id"), F.max("n_documents").alias("n_documents"), F.max("later").alias("removed")
-    )
-    return spans.filter(F.col("n_words") >= least_span).select("doc_id", "start", "end", "n_words", "component_id", "n_documents", "removed")
+    whole = known.groupBy("passage").agg(F.sum("k").alias("n_occurrences"))
+    repeated = stored(known.join(whole, "passage").select("name", "passage", "n_occurrences"), "repeated")
+    found = stored(units.join(repeated, "name").drop("name"), "found")
+    place = F.struct("doc_id", "row", "first")
+    least = found.groupBy("passage").agg(F.min(place).alias("_least"))
+    found = found.join(least, "passage").withColumn("later", ~place.eqNullSafe(F.col("_least"))).drop("_least")
+    w = W.Window.partitionBy("row").orderBy("first", F.desc("last"))
+    reach = F.max("last").over(w.rowsBetween(W.Window.unboundedPreceding, -1))
+    runs = found.withColumn("reach", reach).withColumn("fresh", (F.col("reach").isNull() | (F.col("first") > F.col("reach"))).cast("int")).withColumn("run", F.sum("fresh").over(w))
+    covered = F.greatest(F.lit(0), F.col("last") - F.greatest("first", F.coalesce("reach", F.lit(0))))
+    line = F.col("kind") == 0
+    spans = runs.withColumn("covered", covered).groupBy("doc_id", "row", "run").agg(
+        F.min("start").alias("start"), F.max("end").alias("end"), F.sum("covered").alias("n_words"), F.min("passage").alias("component_id"), F.max("n_occurrences").alias("n_occurrences"),
+        F.sum(F.when(F.col("later"), F.col("covered")).otherwise(0)).alias("again"), F.min(F.when(line, F.col("start"))).alias("line_start"), F.max(F.when(line, F.col("end"))).alias("line_end"),
+    )
+    torn = lambda a, b: F.when(F.col(a) == F.col(b), 0).otherwise(WINDOW - 1)
+    spans = spans.withColumn("torn", torn("start", "line_start") + torn("end", "line_end")).filter(F.col("n_words") + F.col("torn") >= least_span)
+    return spans.select("doc_id", "start", "end", "n_words", "component_id", "n_occurrences", (F.col("again") + F.col("torn") >= least_span).alias("removed"))
