@@ -121,6 +121,27 @@ def test_jaccard_near_copies_in_blocks(docs_of):
     check_join(docs_of(*texts), block=7)
 
 
+def test_jaccard_large_group_of_few_links(docs_of):
+    """One candidate group by closure, joined in blocks: a chain of edits, two families of near copies, strangers with common boilerplate."""
+    rng = np.random.default_rng(4)
+    chain = [f"c{k}" for k in range(60)]
+    texts = []
+    for n in range(40):
+        chain[(7 * n) % 60] = f"d{n}"
+        texts.append(" ".join(chain))
+    for f in range(2):
+        base = [f"f{f}_{k}" for k in range(40)] + [f"c{k}" for k in range(12)]
+        for n in range(50):
+            w = list(base)
+            for k in rng.choice(40, n % 3, replace=False):
+                w[k] = f"x{rng.integers(10**6)}"
+            texts.append(" ".join(w))
+    boiler = [f"b{k}" for k in range(30)]
+    texts += [" ".join(boiler + [f"s{n // 2}_{k}" for k in range(9 + n % 2)]) for n in range(60)]
+    for block in (6, 20, 500):
+        check_join(docs_of(*texts), block=block)
+
+
 def test_jaccard_threshold_is_inclusive(docs_of):
     a = " ".join(f"t{k}" for k in range(12))  # 8 shingles
     check_join(docs_of(a, a + " x", a + " x y", a + " x y z", a.upper()))

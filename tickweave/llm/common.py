@@ -18,10 +18,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or a temporary one where that is unset (tests)."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``; where that is unset a temporary one in local mode (tests), and an error on a cluster."""
     set_ = spark.conf.get("spark.checkpoint.dir", None)
     if set_:
         return set_
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     key = spark.sparkContext.applicationId
     if key not in _LOCAL:
         _LOCAL[key] = "file://" + tempfile.mkdtemp(prefix="tickweave-")

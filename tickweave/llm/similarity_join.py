@@ -1,6 +1,7 @@
 """N-gram Jaccard join of documents: a prefix-tree join over globally ordered shingle sets, and its link components.
 
-Two documents link when their sets of word shingles have a Jaccard similarity of ``percent`` % or more. Sets of 64-bit shingle hashes stand for the shingles.
+Two documents link when their sets of word shingles have a Jaccard similarity of ``percent`` % or more. Sets of shingle hashes stand for the shingles (48 bits and the range of 40 more that they
+were sent to).
 
 1. Documents with equal sets form a class; only classes go on (map tasks send a class once).
 2. A class more than a fifth of whose shingles are its own cannot link. Three eighths of the shingles (by hash) are enough to show that for nearly all such classes: every (shingle, class)
@@ -9,9 +10,11 @@ Two documents link when their sets of word shingles have a Jaccard similarity of
 3. Linking sets share a shingle of their prefixes (the first n - ceil(0.8 n) + 1 in the global order): stars over prefix shingles give candidate groups, whose
    components are found by contraction. No pair is listed.
 4. A task gets the sets of a candidate group and joins them in a trie of globally ordered sets, from which each set is looked up: overlaps are summed along shared paths, and a
-   subtree is left when what remains on either side cannot reach the bound, or when all its sets are in the component already. A group of more than ``block`` classes is
-   dealt into blocks, with a task for each pair of blocks.
-5. Links found make the final components.
+   subtree is left when what remains on either side cannot reach the bound, or when all its sets are in the component already.
+5. A group of more than ``block`` classes is joined in two steps. First it is cut into blocks by hash, with ``ANCHORS`` of its classes in every block; that links all of a family of near copies but stragglers,
+   with work in proportion to the group. Then blocks are cut anew by what is linked: a large component has blocks of its own, the small ones share blocks, and a pair of blocks gets a task unless both
+   are of one component. So every pair of classes that is not linked yet meets; work grows with the square only of what does not link.
+6. Links found make the final components.
 
 Edge cases: null or empty text, or white space alone, has an empty set and links with nothing; fewer words than a shingle count as one shingle; null doc_id joins in but is never a component's
 id unless alone (its component id is then null); repeated rows share a class; long texts are read whole; an empty table gives no rows; further columns are ignored.
@@ -31,7 +34,8 @@ from .hashing import mix, shingle_sets
 
 WORDS = 5
 PERCENT = 80
-BLOCK = 2_000
+BLOCK = 500
+ANCHORS = 4
 ENTRIES_A_PART = 1_000_000
 LOOK = 3  # eighths of the shingles that the first look takes
 BROADCAST_IDS = 2_000_000
@@ -297,8 +301,8 @@ class Trie:
                 todo.append((nxt, overlap, lacking))
 
 
-def join_group(keys: list[int], sizes: list[int], sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links among some sets."""
+def join_group(keys: list[int], sizes: list[int], sets: list[np.ndarray], percent: int, comps: list[int] | None = None) -> list[tuple[int, int]]:
+    """A spanning forest of the links among some sets; sets of equal ``comps`` are linked already."""
     alphabet, ranks = np.unique(np.concatenate(sets), return_inverse=True)
     # Any one order serves the trie; sets arrive in the global one, rarest first, which is kept as ranks by first position.
     first = np.full(len(alphabet), 1 << 60)
@@ -307,7 +311,8 @@ def join_group(keys: list[int], sizes: list[int], sets: list[np.ndarray], percen
     order = np.argsort(np.argsort(first * np.int64(len(alphabet) + 1) + np.arange(len(alphabet))))
     ranks = order[ranks]
     cut = np.concatenate([[0], np.cumsum(lengths)])
-    parent = list(range(len(keys)))
+    first_of: dict[int, int] = {}
+    parent = [first_of.setdefault(c, i) for i, c in enumerate(comps if comps is not None else range(len(keys)))]
 
     def find(i: int) -> int:
         while parent[i] != i:
@@ -335,18 +340,18 @@ def _join(percent: int):
 
         def close():
             if len(held) > 1:
-                keys, sizes, sets = zip(*held)
-                links = join_group(list(keys), list(sizes), list(sets), percent)
+                keys, sizes, sets, comps = zip(*held)
+                links = join_group(list(keys), list(sizes), list(sets), percent, list(comps))
                 if links:
                     a, b = zip(*links)
                     yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
         for batch in batches:
-            for root, i, j, cls, n, raw in zip(*(batch.column(k).to_pylist() for k in range(6))):
+            for root, i, j, cls, n, raw, comp in zip(*(batch.column(k).to_pylist() for k in range(7))):
                 if (root, i, j) != at:
                     yield from close()
                     at, held = (root, i, j), []
-                held.append((cls, n, np.frombuffer(raw, np.uint64)))
+                held.append((cls, n, np.frombuffer(raw, np.uint64), comp))
         yield from close()
 
     return run
@@ -360,6 +365,31 @@ def _few(rows: DataFrame, ids: DataFrame) -> DataFrame:
     return rows.join(ids, rows["doc_id"] == ids["_wanted"], "left_semi").unionByName(rows.filter("doc_id IS NULL"))
 
 
+def _links(sets: DataFrame, tasks: DataFrame, percent: int, parts: int) -> DataFrame:
+    """The links that the tasks (root, i, j, cls, comp) find."""
+    work = sets.join(tasks, "cls").repartition(parts, "root", "i", "j").sortWithinPartitions("root", "i", "j")
+    return stored(work.select("root", "i", "j", "cls", "n", "tokens", "comp").mapInArrow(_join(percent), "a long, b long"), "links")
+
+
+def _again(large: DataFrame, links: DataFrame, block: int) -> DataFrame:
+    """The second step's tasks for classes (cls, root) of large groups, given the links of the first."""
+    comps = connected_components(links)
+    rows = large.join(comps, large["cls"] == comps["node"], "left").select("cls", large["root"], F.coalesce(comps["root"], "cls").alias("comp"))
+    sizes = rows.groupBy("root", "comp").agg(F.count(F.lit(1)).alias("k"))
+    own = F.when(F.col("k") * 2 >= block, F.col("comp"))  # a component with blocks of its own
+    shared = sizes.filter(own.isNull()).groupBy("root").agg(F.sum("k").alias("rest"))
+    rows = stored(rows.join(sizes.withColumn("own", own), ["root", "comp"]).join(shared, "root", "left"), "blocks")
+    # Blocks of a root: (own component or null, number); rows of small components of one component id stay together.
+    many = F.ceil(F.when(F.col("own").isNotNull(), F.col("k")).otherwise(F.col("rest")) / F.lit(block)).cast("int")
+    number = F.pmod(F.xxhash64(F.when(F.col("own").isNotNull(), F.col("cls")).otherwise(F.col("comp"))), many).cast("int")
+    rows = rows.withColumn("mine", F.struct(F.coalesce("own", F.lit(None).cast("long")).alias("own"), number.alias("n")))
+    blocks = rows.groupBy("root").agg(F.collect_set("mine").alias("all"), F.countDistinct("comp").alias("comps")).filter("comps > 1").select("root", F.sort_array("all").alias("all"))
+    rows = rows.join(blocks, "root").withColumn("i", F.array_position("all", F.col("mine")).cast("int"))
+    others = F.filter(F.transform("all", lambda x, k: F.struct((k + 1).alias("j"), x["own"].alias("own"))), lambda x: x["own"].isNull() | F.col("own").isNull() | (x["own"] != F.col("own")))
+    pairs = rows.select("cls", "root", "comp", "i", F.explode(others["j"]).alias("j"))
+    return pairs.select("cls", "root", "comp", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"))
+
+
 def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, block: int = BLOCK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id reachable over links, itself included)."""
     spark = docs.sparkSession
@@ -384,11 +414,19 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, bl
     stars = prefixes.join(anchors, "token").filter("cls <> anchor").select(F.col("cls").alias("a"), F.col("anchor").alias("b")).distinct()
     groups = stored(connected_components(stars), "groups")
     size = groups.groupBy("root").agg(F.count(F.lit(1)).alias("k")).withColumn("blocks", F.ceil(F.col("k") / F.lit(block)).cast("int"))
-    placed = groups.join(size, "root").select(F.col("node").alias("cls"), "root", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("mine"))
-    other = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    tasks = other.select("cls", "root", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
-    work = sets.join(tasks, "cls").repartition(m, "root", "i", "j").sortWithinPartitions("root", "i", "j")
-    links = work.select("root", "i", "j", "cls", "n", "tokens").mapInArrow(_join(percent), "a long, b long")
+    placed = stored(groups.join(size, "root").select(F.col("node").alias("cls"), "root", "blocks", F.xxhash64("node").alias("h")), "placed")
+    zero = F.lit(0)
+    tasks = placed.select("cls", "root", F.pmod("h", F.col("blocks")).cast("int").alias("i"), zero.alias("j"), F.col("cls").alias("comp"))
+    large = placed.filter("blocks > 1")
+    some = not large.isEmpty()
+    if some:
+        least = large.groupBy("root").agg(*[F.min(F.when(F.pmod("h", F.lit(ANCHORS)) == k, F.col("cls"))).alias(f"_a{k}") for k in range(ANCHORS)], F.first("blocks").alias("blocks"))
+        anchors = least.select("root", "blocks", F.explode(F.array(*[f"_a{k}" for k in range(ANCHORS)])).alias("cls")).filter("cls IS NOT NULL")
+        anchors = anchors.select("cls", "root", F.explode(F.sequence(zero, F.col("blocks") - 1)).alias("i"), zero.alias("j"), F.col("cls").alias("comp"))
+        tasks = tasks.unionByName(anchors).distinct()
+    links = _links(sets, tasks, percent, m)
+    if some:
+        links = links.unionByName(_links(sets, _again(large.select("cls", "root"), links, block), percent, m))
     joined = connected_components(links)
     classes = sized.filter("n_shingles > 0").groupBy("cls").agg(F.min("doc_id").alias("least"))
     named = stored(classes.join(joined, classes["cls"] == joined["node"], "left").select("cls", F.coalesce("root", "cls").alias("root"), "least"), "classes")
