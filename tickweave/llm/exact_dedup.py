@@ -1,12 +1,13 @@
 """Exact de-duplication by an extendible-hash index on shared files (built-in DataFrame operations only).
 
-1. Rows are stored with a 64-bit key of their text's bytes and a row number. An index entry is (key, doc_id, row).
+1. An index entry is (key, doc_id, text), the key being 64 bits of a hash of the text's bytes.
 2. The directory starts with one slot. While a bucket holds more than ``capacity`` keys, it is split by the next key bit, and the directory doubles where the bucket already used all its bits,
    as deep as the keys ask for. It is a table: (slot, bucket), a bucket being named by its first slot.
 3. Owner tasks get whole buckets, which are ranges of keys. Within a bucket, entries of one key form a chain; the owner compares their texts byte by byte, so that a chain has one link for each
-   distinct text: the copies' largest doc_id, its row, their number. A text is kept in the index only where its chain has several links. Keys of more than ``hot`` rows are first combined in
+   distinct text: the copies' largest doc_id and their number. Keys of more than ``hot`` rows are first combined in
    ``SALTS`` parts, text by text, so that a text with a third of all rows reaches its owner as a few rows.
-4. Documents probe the chain of their key: where it has one link, the link is theirs; in longer chains the link with their bytes. Links of hot keys are broadcast while they are few.
+4. Documents probe the chain of their key; within it, a link is addressed by the SHA-256 of its text. Links of hot keys are broadcast while they are few.
+   ``drop_copies`` needs no probe: it sends the entries with their rows, and owners pass on one row a link.
 
 Edge cases: null text counts as empty; null doc_id sorts below any other; of repeated rows (same doc_id and text) exactly one
 is kept; an empty table gives an empty result; further columns are ignored, whatever their names.
@@ -58,66 +59,63 @@ def few(rows: DataFrame) -> DataFrame:
     return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
 
 
-def keyed(docs: DataFrame, id_col: str, text_col: str, key_bits: int, names: dict[str, str] | None = None) -> DataFrame:
-    """The stored rows: doc_id, text, key, row; or all columns of ``docs`` and key and row by the given names."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    key = F.xxhash64(text).bitwiseAND(F.lit(-1 << (64 - key_bits)))
-    if names:
-        return stored(docs.withColumns({names["key"]: key, names["row"]: F.monotonically_increasing_id()}), "keyed")
-    return stored(docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), key.alias("key"), F.monotonically_increasing_id().alias("row")), "keyed")
+def key_of(text: Column, key_bits: int) -> Column:
+    return F.xxhash64(text).bitwiseAND(F.lit(-1 << (64 - key_bits)))
+
+
+def hot_keys(keys: DataFrame, hot: int) -> DataFrame:
+    """Of keys with their rows ``n``, those of more than ``hot``."""
+    return stored(keys.filter(F.col("n") > hot).select("key"), "hot")
+
+
+def to_owners(entries: DataFrame, bits: int, slots: DataFrame, size: int) -> DataFrame:
+    """Entries dealt by bucket, adding ``bucket``: about ``BYTES_A_TASK`` of ``size`` bytes a task."""
+    tasks = max(int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // BYTES_A_TASK))
+    return entries.withColumn("slot", slot_of(F.col("key"), bits)).join(few(slots), "slot").drop("slot").repartition(tasks, "bucket")
 
 
-def build_index(rows: DataFrame, capacity: int = CAPACITY, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
-    """(index, hot keys) of rows doc_id, text, key, row. Index: bucket, key, chain, links, text (if links > 1), keep_id, keep_row, group_size."""
-    spark = rows.sparkSession
-    keys = stored(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text").cast("long")).alias("bytes")), "keys")
+def build_index(docs: DataFrame, digests: DataFrame, id_col: str, text_col: str, capacity: int, hot: int, key_bits: int) -> tuple[DataFrame, DataFrame]:
+    """(index, hot keys). Index: bucket, key, chain, text_sha256, keep_id, group_size; ``digests`` has key and bytes of every row."""
+    keys = stored(digests.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes")), "keys")
     bits, slots = directory(keys.select("key"), capacity)
-    busy = stored(keys.filter(F.col("n") > hot).select("key"), "hot")
-    one = [F.col("doc_id").alias("keep_id"), F.when(F.col("doc_id").isNotNull(), F.col("row")).alias("keep_row"), F.col("row").alias("any_row")]
-    cold = rows.join(few(busy), "key", "left_anti").select("key", "text", *one, F.lit(1).cast("long").alias("n"))
-    merged = lambda n: [F.max("keep_id").alias("keep_id"), F.max_by("keep_row", "keep_id").alias("keep_row"), F.max("any_row").alias("any_row"), n.alias("n")]
-    crowd = rows.join(few(busy), "key", "left_semi").select("key", "text", *one, F.pmod("row", F.lit(SALTS)).alias("salt"))
-    combined = crowd.groupBy("key", "text", "salt").agg(*merged(F.count(F.lit(1)))).drop("salt")
-    entries = cold.unionByName(combined).withColumn("slot", slot_of(F.col("key"), bits)).join(few(slots), "slot").drop("slot")
-    size = keys.agg(F.sum("bytes")).first()[0] or 0
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BYTES_A_TASK))
-    owned = entries.repartition(tasks, "bucket").groupBy("bucket", "key", "text").agg(*merged(F.sum("n")))
-    chain = W.Window.partitionBy("bucket", "key")
-    links = owned.withColumns({"chain": F.row_number().over(chain.orderBy("text")), "links": F.count(F.lit(1)).over(chain)})
-    kept = F.when(F.col("links") > 1, F.col("text")).alias("text"), "keep_id", F.coalesce("keep_row", "any_row").alias("keep_row"), F.col("n").alias("group_size")
-    return stored(links.select("bucket", "key", "chain", "links", *kept), "index"), busy
-
-
-def probe(rows: DataFrame, index: DataFrame, busy: DataFrame) -> DataFrame:
-    """Every row with its link: doc_id, row, keep_id, group_size, kept, text_sha256, bucket, chain."""
-    sha = F.sha2("text", 256).alias("text_sha256")
-    narrow = stored(rows.select("doc_id", "row", "key", sha), "digests")
-    link = index.filter("links = 1").select("key", "keep_id", "keep_row", "group_size", "bucket", "chain")
-    crowd = narrow.join(few(busy), "key", "left_semi").join(few(link.join(few(busy), "key", "left_semi")), "key")
-    out = narrow.join(few(busy), "key", "left_anti").join(link, "key").unionByName(crowd)
-    longer = index.filter("links > 1")
-    if not longer.isEmpty():
-        bytes_ = longer.select("key", "text", "keep_id", "keep_row", "group_size", "bucket", "chain")
-        out = out.unionByName(rows.join(few(bytes_), ["key", "text"]).select("key", "doc_id", "row", sha, "keep_id", "keep_row", "group_size", "bucket", "chain"))
-    return out.select("doc_id", "row", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), "text_sha256", "bucket", "chain")
+    busy = hot_keys(keys, hot)
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(key_of(text, key_bits).alias("key"), text.alias("text"), F.col(id_col).alias("keep_id"))
+    cold = rows.join(few(busy), "key", "left_anti").withColumn("n", F.lit(1).cast("long"))
+    salted = rows.join(few(busy), "key", "left_semi").withColumn("salt", F.pmod(F.xxhash64("keep_id"), F.lit(SALTS)))
+    combined = salted.groupBy("key", "text", "salt").agg(F.max("keep_id").alias("keep_id"), F.count(F.lit(1)).alias("n")).drop("salt")
+    owned = to_owners(cold.unionByName(combined), bits, slots, keys.agg(F.sum("bytes")).first()[0] or 0)
+    links = owned.groupBy("bucket", "key", "text").agg(F.max("keep_id").alias("keep_id"), F.sum("n").alias("group_size"))
+    chain = F.row_number().over(W.Window.partitionBy("bucket", "key").orderBy("text")).alias("chain")
+    return stored(links.select("bucket", "key", chain, F.sha2("text", 256).alias("text_sha256"), "keep_id", "group_size"), "index"), busy
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, hot: int = HOT, key_bits: int = 64) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256, bucket, chain. ``key_bits`` shortens the keys (tests of long chains)."""
-    rows = keyed(docs, id_col, text_col, key_bits)
-    return probe(rows, *build_index(rows, capacity, hot)).drop("row")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    cols = F.col(id_col).alias("doc_id"), F.monotonically_increasing_id().alias("row"), key_of(text, key_bits).alias("key"), F.sha2(text, 256).alias("text_sha256"), F.octet_length(text).cast("long").alias("bytes")
+    digests = stored(docs.select(*cols), "digests")
+    index, busy = build_index(docs, digests, id_col, text_col, capacity, hot, key_bits)
+    # Of repeated rows (same id and text) one is kept: of a link's rows with its keep_id, any one.
+    at = ["key", "text_sha256"]
+    tops = digests.groupBy(*at).agg(F.max_by("row", "doc_id").alias("top"), F.max("row").alias("last")).select(*at, F.coalesce("top", "last").alias("keep_row"))
+    link = stored(index.join(tops, at), "links")
+    rows = digests.drop("bytes")
+    crowd = rows.join(few(busy), "key", "left_semi").join(few(link.join(few(busy), "key", "left_semi")), at)
+    out = rows.join(few(busy), "key", "left_anti").join(link, at).unionByName(crowd)
+    return out.select("doc_id", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), "text_sha256", "bucket", "chain")
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, hot: int = HOT, key_bits: int = 64) -> DataFrame:
     """The rows of ``docs`` that stay, all columns."""
-    names = {}
-    for n in ("key", "row"):
-        name = "_dedup_" + n
-        while name in docs.columns:
-            name = "_" + name
-        names[n] = name
-    whole = keyed(docs, id_col, text_col, key_bits, names)
-    rows = whole.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.col(names["key"]).alias("key"), F.col(names["row"]).alias("row"))
-    index, _ = build_index(rows, capacity, hot)
-    stay = index.select(F.col("keep_row").alias(names["row"]))
-    return whole.join(stay, names["row"], "left_semi").select(*docs.columns)
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    keys = docs.select(key_of(text, key_bits).alias("key"), F.octet_length(text).cast("long").alias("bytes"))
+    keys = stored(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes")), "keys")
+    bits, slots = directory(keys.select("key"), capacity)
+    busy = hot_keys(keys, hot)
+    rows = docs.select(key_of(text, key_bits).alias("key"), F.struct(*docs.columns).alias("doc"))
+    own, id_ = F.coalesce(F.col(f"doc.`{text_col}`"), F.lit("")), F.col(f"doc.`{id_col}`")
+    first = lambda df, *by: df.withColumn("_n", F.row_number().over(W.Window.partitionBy(*by).orderBy(id_.desc_nulls_last()))).filter("_n = 1").drop("_n")  # noqa: E731  the group limit works before the exchange too
+    crowd = first(rows.join(few(busy), "key", "left_semi").withColumn("salt", F.pmod(F.xxhash64(id_), F.lit(SALTS))), "key", own, "salt").drop("salt")
+    owned = to_owners(rows.join(few(busy), "key", "left_anti").unionByName(crowd), bits, slots, keys.agg(F.sum("bytes")).first()[0] or 0)
+    return first(owned, "bucket", "key", own).select("doc.*")
