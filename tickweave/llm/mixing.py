@@ -112,12 +112,14 @@ def fit_topics(profiles: DataFrame, topics: int = TOPICS, rounds: int = FIT_ROUN
 
 
 def _assign(centres: np.ndarray):
+    """Columns without ``_text`` and with topic and tokens."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n = batch.schema.get_field_index("x")
-            names = [f for k, f in enumerate(batch.schema.names) if k != n]
-            topic = (_vectors(batch.column(n)) @ centres.T).argmax(1).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([c for k, c in enumerate(batch.columns) if k != n] + [pa.array(topic)], names=[*names, "topic"])
+            count = counts(batch.column("_text"))
+            keep = [k for k, name in enumerate(batch.schema.names) if name != "_text"]
+            topic = (unit(levels_of(count)) @ centres.T).argmax(1).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column(k) for k in keep] + [pa.array(topic), pa.array(np.maximum(count.sum(1), 1))], names=[batch.schema.names[k] for k in keep] + ["topic", "tokens"])
 
     return run
 
@@ -178,10 +180,9 @@ def _draws(docs: DataFrame, topics: int, columns: dict, more: list) -> DataFrame
     u = (F.shiftrightunsigned(h, 11).cast("double") / F.lit(float(1 << 53))).alias("u")
     source, lang = (F.col(columns.get(f"{s}_col", s)).cast("string").alias(s) for s in ("source", "lang"))
     rows = docs.select(id_.alias("doc_id"), source, lang, u, *more, text.alias("_text"))
+    profiles = stored(rows.select("_text").mapInArrow(_profiles, "x binary, tokens long"), "profiles")
     kinds = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in rows.schema if f.name != "_text")
-    profiles = stored(rows.mapInArrow(_profiles, kinds + "x binary, tokens long"), "profiles")
-    found = profiles.mapInArrow(_assign(fit_topics(profiles, topics)), kinds + "tokens long, topic int")
-    return stored(found.withColumns({f"_{s}": _key(s) for s in SIDES}), "topics")
+    return rows.mapInArrow(_assign(fit_topics(profiles, topics)), kinds + "topic int, tokens long").withColumns({f"_{s}": _key(s) for s in SIDES})
 
 
 def weigh(rows: DataFrame, targets: dict[str, dict] | None, budget: float, temper: float, max_cells: int) -> DataFrame | None:
