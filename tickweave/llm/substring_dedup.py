@@ -93,7 +93,7 @@ def _points(raw: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
 
 
-UNITS = "doc_id long, row long, name long, kind int, start int, end int, first int, last int"
+UNITS = "name long, doc_id long, row long, place long, words long"  # place: start and end in code points; words: first and last, each pair in one number
 
 
 def _units(least_line: int):
@@ -114,9 +114,9 @@ def _units(least_line: int):
                 row = of[first]
                 points = _points(part)
                 base, word = points[at[row]], np.searchsorted(of, row)
-                place = (points[start[first]] - base, points[end[last - 1]] - base, first - word, last - word)
+                pair = lambda lo, hi: pa.array(lo.astype(np.int64) << 32 | hi.astype(np.int64))
                 name = (names_of(h, first, last) + kind.astype(np.uint64)).view(np.int64)
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row + lo)), pa.array(rows + lo + row), pa.array(name), pa.array(kind), *(pa.array(x.astype(np.int32)) for x in place)], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array(name), batch.column(0).take(pa.array(row + lo)), pa.array(rows + lo + row), pair(points[start[first]] - base, points[end[last - 1]] - base), pair(first - word, last - word)], names=names)
             rows += len(batch)
 
     return run
@@ -149,6 +149,26 @@ def _line_sets(least_line: int, words: int, make, names: list[str], types: list[
     return run
 
 
+def shared(rows: DataFrame, key: str) -> DataFrame:
+    """The rows whose key another row has too: one exchange, and a pass over sorted rows that holds one row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, open_ = None, None  # a last row that may have followers; the key of a last row that has some before it
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+            k = table.column(key).to_numpy()
+            same = np.concatenate([[False], k[1:] == k[:-1], [False]])
+            keep = same[:-1] | same[1:]
+            if open_ is not None:
+                keep |= k == open_
+            held, open_ = (None, k[-1]) if keep[-1] else (table.slice(table.num_rows - 1), None)
+            yield from table.filter(pa.array(keep)).combine_chunks().to_batches()
+
+    return rows.repartition(key).sortWithinPartitions(key).mapInArrow(run, rows.schema)
+
+
 def _of_runs(h: np.ndarray, first: np.ndarray, last: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
     size = last - first
     at = np.repeat(first, size) + (np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size))
@@ -227,7 +247,7 @@ def alike_lines(texts: DataFrame, threshold: float = THRESHOLD, recall: float =
     """Components of lines (by name) that are alike: node, root."""
     bands, rows = tune(threshold, recall)
     keyed = texts.mapInArrow(_line_sets(least_line, words, lambda n, s: (n, band_keys(np.unique(s), bands, rows).view(np.int64).tolist()), ["name", "keys"], [pa.int64(), pa.list_(pa.int64())]), "name long, keys array<long>")
-    entries = stored(keyed.select("name", F.explode("keys").alias("key")), "bands")
+    entries = stored(shared(keyed.select("name", F.explode("keys").alias("key")), "key"), "bands")  # lines alone in a bucket are left out
     order = F.col("name").bitwiseXOR(F.col("key"))  # another order of the lines in each bucket
     anchors = entries.groupBy("key").agg(F.min(order).alias("lo"), F.max(order).alias("hi")).filter("lo <> hi").select("key", F.col("lo").bitwiseXOR(F.col("key")).alias("a1"), F.col("hi").bitwiseXOR(F.col("key")).alias("a2"))
     pairs = entries.join(anchors, "key").select("name", F.explode(F.array("a1", "a2")).alias("anchor")).filter("name <> anchor")
@@ -256,14 +276,20 @@ def alike_lines(texts: DataFrame, threshold: float = THRESHOLD, recall: float =
 def repeated_passages(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, least_line: int = LEAST_LINE, least_span: int = LEAST_SPAN, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a span: doc_id, start, end (code points), n_words (found to repeat), component_id, n_occurrences (of its most frequent unit), removed (``least_span`` less torn ends of its words are copies of an earlier occurrence)."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    units = stored(rows.mapInArrow(_units(least_line), UNITS), "units")
+    units = rows.mapInArrow(_units(least_line), UNITS)
     alike = stored(alike_lines(rows.select("text"), threshold, recall, least_line, words), "alike")
-    seen = units.groupBy("name").agg(F.count(F.lit(1)).alias("k"))
-    known = seen.join(alike, seen["name"] == alike["node"], "left").select("name", "k", F.coalesce("root", "name").alias("passage")).filter((F.col("k") > 1) | F.col("root").isNotNull())
-    known = stored(known, "known")
-    whole = known.groupBy("passage").agg(F.sum("k").alias("n_occurrences"))
-    repeated = stored(known.join(whole, "passage").select("name", "passage", "n_occurrences"), "repeated")
-    found = stored(units.join(repeated, "name").drop("name"), "found")
+    copies = stored(shared(units, "name"), "copies")
+    # Lines that have no copy but are like another one.
+    line = F.shiftright("words", 32) + RUN != F.col("words").bitwiseAND(2**32 - 1)
+    names = copies.select("name").distinct()
+    single = units.filter(line).join(alike.select(F.col("node").alias("name")), "name", "left_semi").join(names, "name", "left_anti")
+    every = copies.unionByName(single).join(alike, F.col("name") == F.col("node"), "left").withColumn("passage", F.coalesce("root", "name"))
+    low, high = lambda c: F.shiftright(c, 32).cast("int"), lambda c: F.col(c).bitwiseAND(2**32 - 1).cast("int")
+    kind = F.when(line, 0).otherwise(1)
+    every = every.select("doc_id", "row", "passage", kind.alias("kind"), low("place").alias("start"), high("place").alias("end"), low("words").alias("first"), high("words").alias("last"))
+    found = stored(every, "found")
+    whole = found.groupBy("passage").agg(F.count(F.lit(1)).alias("n_occurrences"))
+    found = found.join(whole, "passage")
     place = F.struct("doc_id", "row", "first")
     least = found.groupBy("passage").agg(F.min(place).alias("_least"))
     found = found.join(least, "passage").withColumn("later", ~place.eqNullSafe(F.col("_least"))).drop("_least")
