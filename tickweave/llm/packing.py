@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -53,15 +54,16 @@ class WordEncoder:
         self.known: dict[str, bytes] = {}
 
     def _pack(self, ids: list[int]) -> bytes:
-        return np.array(ids, np.uint32).tobytes()
+        return array("I", ids).tobytes()
 
     def _word(self, w: str) -> bytes:
         if w.isalpha() and "İ" not in w and "Σ" not in w and "ς" not in w:
             small = w.lower()
             if small != w and small in self.known:
                 return self.known[small]
-            if not small.isascii():
-                small = unicodedata.normalize("NFC", small)
+            if small.isascii():
+                return self._pack([t.id for t in self.model.tokenize(small)])
+            small = unicodedata.normalize("NFC", small)
             if small.isalpha():
                 return self._pack([t.id for t in self.model.tokenize(small.encode().decode("latin1").translate(self.letters))])
         base = w.rstrip(".,")
@@ -87,11 +89,22 @@ class WordEncoder:
         return np.frombuffer(b"".join([known.get(w) or self.word(w) for w in words]), np.uint32)
 
 
+_encoders: dict[str, WordEncoder] = {}
+
+
+def encoder(path: str) -> WordEncoder:
+    """One encoder a worker process and file, so that its known words serve all tasks of the worker."""
+    if path not in _encoders:
+        _encoders.clear()
+        _encoders[path] = WordEncoder(path)
+    return _encoders[path]
+
+
 def _tokenise(path: str, window: int, end_id: int):
     schema = pa.schema([("part", pa.int32()), ("source", pa.string()), ("doc_id", pa.int64()), ("start", pa.int64()), ("n", pa.int64()), ("doc_tokens", pa.int64()), ("upto", pa.int64()), ("ids", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part, sent = WordEncoder(path), TaskContext.get().partitionId(), {}
+        encode, part, sent = encoder(path), TaskContext.get().partitionId(), {}
         for batch in batches:
             out, size = [], 0
             for doc_id, source, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
