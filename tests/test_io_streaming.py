@@ -146,3 +146,74 @@ def test_feed_source(spark, tmp_path):
         run.stop()
     got = spark.read.parquet(f"{tmp_path}/out")
     assert sorted(r["t"] for r in got.filter("symbol = 'AUSDT'").collect()) == [1, 2, 3, 4, 5, 6] and got.count() == 12
+
+
+def test_tail_of_large_files_in_several_splits(spark, tmp_path):
+    for k in (1, 2, 3):
+        (tmp_path / f"log_{k}.jsonl").write_text("\n".join(f"{k}-{n}" for n in range(220_000)) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for size in ("128m", "400k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            got = {(r["file"][-7:], r["line"]) for r in readers.tail(spark, str(tmp_path), "log_*.jsonl", 2, 5).collect()}
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        assert got == {(f"{k}.jsonl", f"{k}-{n}") for k in (2, 3) for n in range(219_995, 220_000)}
+
+
+def test_settings_choose_event_types(spark):
+    rows = lambda **kv: spark.createDataFrame(list(kv.items()) or [("X", "")], "key string, value string")
+    assert readers.event_types(rows()) == ["aggTrade", "bookTicker", "depthUpdate", "markPriceUpdate"]
+    assert readers.event_types(rows(LOG_RAW_EVENTS="false")) == []
+    assert readers.event_types(rows(LOG_RAW_EVENTS_TYPES="aggTrade, depthUpdate,none", ENABLE_DEPTH="False")) == ["aggTrade"]
+
+
+def test_polled_endpoints(spark):
+    rows = spark.createDataFrame([("A", 5, '{"openInterest":"7.5","time":1}'), ("B", 6, "broken"), ("C", 7, '{"openInterest":"x"}')], "symbol string, polledAt bigint, body string")
+    assert [tuple(r) for r in readers.polled(rows, "openInterest").collect()] == [("A", 5, 5, 7.5), ("C", 7, 7, None)]
+    mark = readers.polled(spark.createDataFrame([("A", 5, '{"markPrice":"1","indexPrice":"2","lastFundingRate":"0.1","nextFundingTime":9}')], rows.schema), "premiumIndex").first()
+    assert (mark["markPrice"], mark["indexPrice"], mark["fundingRate"], mark["nextFundingTime"]) == (1.0, 2.0, 0.1, 9.0)
+    assert readers.polled(spark.createDataFrame([("A", 5, '{"priceChangePercent":"1","lastPrice":"3"}')], rows.schema), "stats24h").first()["last"] == 3.0
+
+
+def test_history_universe_and_feature_maps(spark):
+    oi = spark.createDataFrame([("A", "10", "5", "4"), ("A", "11", None, "4"), ("A", None, "1", "1"), ("A", "12", "x", None)], "symbol string, timestamp string, sumOpenInterest string, openInterest string")
+    assert [tuple(r) for r in readers.open_interest(oi).collect()] == [("A", 10, 5.0), ("A", 11, 4.0), ("A", 12, None)]
+    info = spark.createDataFrame([([("BUSDT", "x"), ("AEUR", "y"), ("CUSDT", "z")],)], "symbols array<struct<symbol: string, status: string>>")
+    assert [tuple(r) for r in readers.exchange_universe(info).collect()] == [("BUSDT", 0), ("CUSDT", 2)]
+    rows = spark.createDataFrame([({"a": "1", "b": "bad", "c": "2"}, {"b": "9", "d": "4", "a": "7"})], "features map<string,string>, ctx map<string,string>")
+    assert readers.pick_features(rows, extra="ctx").first()["features"] == {"a": "1", "b": "9", "c": "2", "d": "4"}
+    assert readers.pick_features(rows, ["c", "d"], "ctx").first()["features"] == {"c": "2", "d": "4"}
+
+
+def test_symbol_refresh_restarts_on_change(spark):
+    from tickweave.streaming import refresh
+
+    lists, started, stopped = [["A"], ["A"], [], ["B", "A"]], [], []
+
+    class Query:
+        def processAllAvailable(self):
+            pass
+
+        def stop(self):
+            stopped.append(1)
+
+    def start(symbols):
+        started.append(symbols)
+        return Query()
+
+    table = lambda names: spark.createDataFrame([(s, n) for n, s in enumerate(names)], "symbol string, pos bigint")
+    left = list(lists)
+    assert refresh.keep_fresh(start, lambda: table(left.pop(0)), going=lambda: bool(left), wait=lambda s: None) == ["B", "A"]
+    assert started == [["A"], ["B", "A"]] and len(stopped) == 2
+
+
+def test_sample_is_the_smallest_hashes_and_cuts_meet_sorting(spark):
+    rows = spark.range(5000).select(F.col("id").alias("seq"), (F.col("id") * 7919 % 613 - 300).alias("entryTime"), F.concat(F.lit("s"), F.col("id") % 3).alias("symbol"))
+    want = rows.select("seq", F.xxhash64(F.lit(42), "seq").alias("h")).orderBy("h").limit(1250).collect()
+    assert {r["seq"] for r in evaluate.exact_sample(rows, 0.25, ["seq"]).collect()} == {r["seq"] for r in want}
+    twice = rows.unionByName(rows)
+    assert evaluate.exact_sample(twice, 0.3001, ["seq"]).count() == round(0.3001 * 10_000) and evaluate.exact_sample(rows, 0.0, ["seq"]).count() == 0
+    order = sorted((r["entryTime"], r["symbol"], r["seq"]) for r in rows.collect())
+    train, test = evaluate.time_split(rows, 0.2)
+    assert sorted((r["entryTime"], r["symbol"], r["seq"]) for r in train.collect()) == order[:4000] and test.count() == 1000

@@ -38,3 +38,24 @@ def test_backfill_uses_every_funding_row(spark, log):
     path, events = log
     got = {(r["symbol"], r["t"]): r["fundingRate"] for r in q.QUERIES["backfill_snapshots"](spark, path).collect()}
     assert got == {(s, t + 59_999): pytest.approx(latest(events, s, t)[3] / 1e4) for s, t, _, _ in events}
+
+
+def test_ages_and_context(spark, log):
+    path, events = log
+    for r in q.QUERIES["t2_snapshots"](spark, path).collect():
+        own, view = latest(events, r["symbol"], r["t"]), latest(events, "view", r["t"])
+        assert r["flowAgeMs"] == r["bookAgeMs"] == r["t"] - own[1] and r["liqAgeMs"] is None and r["markAgeMs"] is None
+        assert r["ctx_view_price"] == (view[2] if view else None)
+    for r in q.QUERIES["backfill_snapshots"](spark, path).collect():
+        assert r["markAgeMs"] == r["kline1mAgeMs"] == r["stats24hAgeMs"] == 0 and r["fundingAgeMs"] == 59_999
+        assert r["openInterestAgeMs"] is None and r["kline5mAgeMs"] is None and r["microCompleteness"] == 0 and r["bestBid"] is None
+
+
+def test_dataset_rows_say_their_target(spark):
+    from tickweave.operators import datasets
+
+    snaps = spark.createDataFrame([("A", 1, 2.0), ("A", 2, 3.0)], "symbol string, t bigint, x double")
+    labels = spark.createDataFrame([("A", 1, -0.5, None, 0.25), ("A", 2, None, None, 0.1)], "symbol string, entryTime bigint, returnPct double, midReturnPct double, longReturnPct double")
+    got = datasets.build_dataset(snaps, labels, ["x"], target_mode="abs_return").collect()
+    assert [(r["target"], r["absReturnPct"], r["targetMode"], r["targetField"]) for r in got] == [(0.5, 0.5, "abs_return", "longReturnPct")]
+    assert datasets.build_dataset(snaps, labels, ["x"], mode="regime").first()["target"] == 0.25

@@ -14,10 +14,11 @@ MICRO_NAMES = ("bestBid", "bestAsk", "spreadPct", "imbalance", "microCompletenes
 MICRO_PREFIXES = ("depth", "flow", "liq", "agg")
 LABEL_CODES = {"TP": 1, "SL": 0, "TIME": 2}
 #: Columns that are never features: keys, targets and anything known only after entry.
-NOT_FEATURES = frozenset(
-    "type symbol snapshotId entryTime targetTime actualTargetTime horizonMs lagMs maxLagMs seq target label labelLong labelShort exitTimeLong exitTimeShort exitPriceLong exitPriceShort "
-    "returnPct midReturnPct longReturnPct shortReturnPct absReturnPct tpBps slBps eventType source time prediction".split()
-)
+#: Fixed values.
+NOT_FEATURES = frozenset((
+    "type", "symbol", "snapshotId", "entryTime", "targetTime", "actualTargetTime", "horizonMs", "lagMs", "maxLagMs", "seq", "target", "targetField", "targetMode", "label", "labelLong", "labelShort", "exitTimeLong",
+    "exitTimeShort", "exitPriceLong", "exitPriceShort", "returnPct", "midReturnPct", "longReturnPct", "shortReturnPct", "absReturnPct", "tpBps", "slBps", "eventType", "source", "time", "prediction",
+))
 
 
 def is_micro(name: str) -> bool:
@@ -40,9 +41,11 @@ def context_features(snapshots: DataFrame, prices: DataFrame, symbols: list[str]
 
     Trend and volatility end at the context's last price and start at its first one inside the window before the snapshot's time.
     """
+    # Looked up once a distinct time, in buckets of an hour: a context series is the same for all symbols.
+    ticks = snapshots.select("t").filter("t IS NOT NULL").distinct()
     sides = [Side(prices.filter(F.col("symbol") == s).withColumn("_one", F.lit(1)), {"price": f"ctx_{s}_price"}, tolerance_ms=max_lag_ms, age=f"ctx_{s}_ageMs") for s in symbols]
-    out = asof_many(snapshots.withColumn("_one", F.lit(1)), sides, ["_one"]).drop("_one")
-    ticks = snapshots.select("t").distinct()
+    looked = asof_many(ticks.withColumn("_one", F.lit(1)), sides, ["_one"], bucket_ms=3_600_000).drop("_one")
+    out = snapshots.join(looked, "t", "left").select(*snapshots.columns, *[c for c in looked.columns if c != "t"])
     for s in symbols:
         own, at = prices.filter(F.col("symbol") == s), ticks.withColumn("symbol", F.lit(s))
         usable = F.col(f"ctx_{s}_price") > 0
@@ -76,10 +79,11 @@ def build_dataset(snapshots: DataFrame, labels: DataFrame, features: list[str],
         s = s.filter(F.col("_mc") >= F.lit(min_micro))
     if mode == "regime":
         features = [f for f in features if not is_micro(f)]
-    cols = [c for c in ("horizonMs", "returnPct", "midReturnPct", "longReturnPct", "shortReturnPct", "absReturnPct", "lagMs", "entryPrice", "targetPrice") if c in labels.columns]
+    cols = [c for c in ("horizonMs", "returnPct", "midReturnPct", "longReturnPct", "shortReturnPct", "lagMs", "entryPrice", "targetPrice") if c in labels.columns]
     joined = s.join(labels.select("symbol", "entryTime", *cols), ["symbol", "entryTime"])
-    joined = joined.withColumn("target", target(target_mode, target_field, vol_threshold_bps)).filter("target IS NOT NULL")
-    return joined.select("symbol", "entryTime", *cols, "target", *[f for f in features if f not in cols], F.col("_mc").alias("microCompletenessUsed"))
+    size = F.abs(F.coalesce(finite(F.col("returnPct")), finite(F.col("midReturnPct"))))
+    joined = joined.withColumns({"target": target(target_mode, target_field, vol_threshold_bps), "targetField": F.lit(target_field), "targetMode": F.lit(target_mode), "absReturnPct": size}).filter("target IS NOT NULL AND absReturnPct IS NOT NULL")
+    return joined.select("symbol", "entryTime", *cols, "target", "targetField", "targetMode", "absReturnPct", *[f for f in features if f not in cols], F.col("_mc").alias("microCompletenessUsed"))
 
 
 def unmatched(snapshots: DataFrame, labels: DataFrame) -> DataFrame:

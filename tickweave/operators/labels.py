@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.coerce import snapshot_id
-from ..functions.market import barriers, execution_returns, funding_adjust_pct, pick_price
+from ..functions.market import execution_returns, funding_adjust_pct, pick_price
 from .asof import asof_forward
 
 
@@ -36,31 +38,63 @@ def return_labels(snapshots: DataFrame, horizons_ms: list[int], max_lag_pct: flo
     )
 
 
+def first_at_least(x: np.ndarray, start: np.ndarray, bound: np.ndarray) -> np.ndarray:
+    """Place of the first ``x`` from ``start`` on that reaches ``bound``; the length of ``x`` if none does."""
+    levels, k = [x], 1
+    while 2 * k <= len(x):
+        levels.append(np.maximum(levels[-1][:-k], levels[-1][k:]))
+        k *= 2
+    at = start.copy()
+    for n in range(len(levels) - 1, -1, -1):  # step over runs that stay below, the longest first
+        row = levels[n]
+        for _ in range(2 if n == len(levels) - 1 else 1):
+            inside = np.flatnonzero(at < len(row))
+            below = inside[row[at[inside]] < bound[inside]]
+            at[below] += 1 << n
+    return np.minimum(at, len(x))
+
+
+def _first_touches(horizon_ms: int, tp_bps: float, sl_bps: float, sides: tuple[str, ...]):
+    def run(entries: pa.Table, ticks: pa.Table) -> pa.Table:
+        out = entries.drop_columns(["_b"])
+        ticks = ticks.sort_by([("_t", "ascending"), ("_s", "ascending"), ("_p", "ascending")])
+        t, p = ticks.column("_t").to_numpy(), ticks.column("_p").to_numpy()
+        entry, price = entries.column("entryTime").to_numpy(), entries.column("entryPrice").to_numpy()
+        start, end = np.searchsorted(t, entry, "left"), np.searchsorted(t, entry + horizon_ms, "right")
+        for side in sides:
+            up, down = (tp_bps, sl_bps) if side == "long" else (sl_bps, tp_bps)
+            high, low = price * (1 + up / 1e4), price * (1 - down / 1e4)
+            at = np.minimum(first_at_least(p, start, high), first_at_least(-p, start, -low))
+            hit = at < end
+            safe = np.minimum(at, max(0, len(t) - 1))
+            found_t, found_p = (t[safe], p[safe]) if len(t) else (np.zeros(len(entry), np.int64), np.zeros(len(entry)))
+            won = found_p >= high if side == "long" else found_p <= low
+            out = out.append_column(f"hit{side}", pa.array(np.where(won, "TP", "SL").astype(object), pa.string(), mask=~hit))
+            out = out.append_column(f"t{side}", pa.array(found_t, pa.int64(), mask=~hit)).append_column(f"p{side}", pa.array(found_p, pa.float64(), mask=~hit))
+        return out
+
+    return run
+
+
 def barrier_labels(entries: DataFrame, ticks: DataFrame, horizon_ms: int = 30_000, tp_bps: float = 12.0, sl_bps: float = 8.0, sides: tuple[str, ...] = ("long", "short")) -> DataFrame:
     """For every entry (symbol, t, seq, price): whether the take-profit or the stop-loss price is touched first by a tick with t <= time <= t + horizon, else TIME.
 
-    Ticks are met in an equi-join on (symbol, time bucket of one horizon); an entry looks into two buckets. Each entry aggregates to its first touch, map side first. A tick that crosses both
+    Entries and ticks are dealt by (symbol, time bucket of eight horizons), ticks of the first horizon of a bucket also to the bucket before. In a bucket the first crossing of every entry is found at once
+    by descending a table of extremes over runs of powers of two, so work does not grow with the ticks in a horizon. A tick that crosses both
     counts as take-profit. The exit price of TIME is the entry price. Entries of symbols without ticks get TIME as well.
     """
-    e = entries.filter("symbol IS NOT NULL AND t IS NOT NULL AND price > 0").select("symbol", F.col("t").alias("entryTime"), F.col("seq").alias("entrySeq"), F.col("price").alias("entryPrice"))
-    bucket = F.floor(F.col("entryTime") / F.lit(horizon_ms)).cast("bigint")
-    spread = e.withColumn("_b", F.explode(F.array(bucket, bucket + 1)))
-    x = ticks.select("symbol", F.col("t").alias("_t"), F.col("seq").alias("_s"), F.col("price").alias("_p"), F.floor(F.col("t") / F.lit(horizon_ms)).cast("bigint").alias("_b"))
-    met = spread.join(x, ["symbol", "_b"]).filter((F.col("_t") >= F.col("entryTime")) & (F.col("_t") <= F.col("entryTime") + F.lit(horizon_ms)))
-    touches = []
-    for side in sides:
-        tp, sl = barriers(F.col("entryPrice"), tp_bps, sl_bps, side)
-        p = F.col("_p")
-        won, lost = ((p >= tp, p <= sl) if side == "long" else (p <= tp, p >= sl))
-        hit = F.when(won, "TP").when(lost, "SL")
-        touches.append(F.min(F.when(hit.isNotNull(), F.struct(F.col("_t").alias("t"), F.col("_s").alias("s"), F.col("_p").alias("p"), hit.alias("hit")))).alias(f"_{side}"))
-    keys = ["symbol", "entryTime", "entrySeq"]
-    first = met.groupBy(*keys).agg(*touches)
-    out = e.join(first, keys, "left")
+    e = entries.filter("symbol IS NOT NULL AND t IS NOT NULL AND price > 0").select("symbol", F.col("t").alias("entryTime"), F.col("seq").alias("entrySeq"), F.col("price").cast("double").alias("entryPrice"))
+    size = 8 * max(1, horizon_ms)
+    bucket = lambda c: F.floor(c / F.lit(size)).cast("bigint")
+    x = ticks.filter("t IS NOT NULL AND price IS NOT NULL").select("symbol", F.col("t").alias("_t"), F.col("seq").cast("bigint").alias("_s"), F.col("price").cast("double").alias("_p"))
+    x = x.withColumn("_b", F.explode(F.array_distinct(F.array(bucket(F.col("_t")), bucket(F.col("_t") - F.lit(horizon_ms))))))
+    left = e.withColumn("_b", bucket(F.col("entryTime")))
+    touched = "".join(f", hit{s} string, t{s} bigint, p{s} double" for s in sides)
+    out = left.groupBy("symbol", "_b").cogroup(x.groupBy("symbol", "_b")).applyInArrow(_first_touches(horizon_ms, tp_bps, sl_bps, sides), "symbol string, entryTime bigint, entrySeq bigint, entryPrice double" + touched)
     named = []
     for side in sides:
-        s, got = side.capitalize(), F.col(f"_{side}")
-        named += [F.coalesce(got["hit"], F.lit("TIME")).alias(f"label{s}"), F.coalesce(got["t"], F.col("entryTime") + F.lit(horizon_ms)).alias(f"exitTime{s}"), F.when(got.isNotNull(), got["p"]).otherwise(F.col("entryPrice")).alias(f"exitPrice{s}")]
+        s = side.capitalize()
+        named += [F.coalesce(f"hit{side}", F.lit("TIME")).alias(f"label{s}"), F.coalesce(F.col(f"t{side}"), F.col("entryTime") + F.lit(horizon_ms)).alias(f"exitTime{s}"), F.coalesce(f"p{side}", "entryPrice").alias(f"exitPrice{s}")]
     return out.select(F.lit("barrier").alias("type"), "symbol", "entryTime", "entrySeq", F.lit(horizon_ms).cast("bigint").alias("horizonMs"), "entryPrice", F.lit(float(tp_bps)).alias("tpBps"), F.lit(float(sl_bps)).alias("slBps"), snapshot_id(F.col("symbol"), F.col("entryTime")).alias("snapshotId"), *named)
 
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
-from ..functions.market import over
 from .framing import bucketed, frame, own_rows
+from .streams import extremes, frame_ends, frame_starts, framed, sums
 
 RETENTION_MS = 1_800_000
 DAY_MS = 86_400_000
@@ -33,26 +34,60 @@ def flow_columns(w: W.WindowSpec | None, prefix: str, tail: str = "") -> dict[st
     }
 
 
+FLOW = ("BuyQty", "SellQty", "BuyCount", "SellCount", "VWAP", "BuySellRatio", "NetQty", "NetNotional")
+
+
+def _flows(windows: list[int], prefix: str):
+    """The eight flow metrics of trailing windows, from the columns of one key in time order."""
+
+    def compute(c: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        t, qty, buy, sell = c["t"], c["qty"], c["side"] == "BUY", c["side"] == "SELL"
+        notional = c["price"] * qty
+        parts = [np.where(buy, qty, 0), np.where(sell, qty, 0), buy.astype(float), sell.astype(float), notional, np.where(np.isnan(notional), 0, qty), np.where(buy, notional, 0), np.where(sell, notional, 0)]
+        hi, out = frame_ends(t), {}
+        for w in windows:
+            lo = frame_starts(t, w)
+            nb, ns = (np.rint(sums(x, lo, hi)).astype(np.int64) for x in parts[2:4])
+            bq, sq = (np.where(n > 0, sums(x, lo, hi), 0.0) for n, x in ((nb, parts[0]), (ns, parts[1])))
+            total, priced, bn, sn = (sums(x, lo, hi) for x in parts[4:])
+            with np.errstate(divide="ignore", invalid="ignore"):
+                values = (bq, sq, nb, ns, np.where(priced > 0, total / priced, np.nan), np.where(sq > 0, bq / sq, np.nan), bq - sq, bn - sn)
+            out |= {f"{prefix}{m}_{suffix(w)}": v for m, v in zip(FLOW, values)}
+        return out
+
+    return compute
+
+
 def rolling_flow(trades: DataFrame, windows_ms: list[int], prefix: str = "flow", bucket_ms: int | None = None) -> DataFrame:
     """Adds the flow metrics of every window to each trade (symbol, t, seq, price, qty, side; qty > 0). Windows that would share a suffix are refused."""
     windows = sorted(set(windows_ms))
     if len({suffix(w) for w in windows}) < len(windows):
         raise ValueError("two windows share a column suffix")
     rows = bucketed(trades.filter("qty > 0"), windows[-1], bucket_ms=bucket_ms)
-    for w in windows:
-        rows = rows.withColumns(flow_columns(frame(w), prefix, "_" + suffix(w)))
-    return own_rows(rows)
-
-
-def _volatility(rows: DataFrame, points: Column, name: str, least_prices: int) -> DataFrame:
-    """Adds the sample deviation of percent changes between neighbouring points (array of struct with ``price``, in order)."""
-    rows = rows.withColumn("_w", points)
-    p, pairs_n = F.transform("_w", lambda x: x["price"]), F.greatest(F.size("_w") - 1, F.lit(0))
-    pairs = F.filter(F.arrays_zip(F.slice(p, 1, pairs_n).alias("a"), F.slice(p, 2, pairs_n).alias("b")), lambda x: (x["a"] > 0) & (x["b"] > 0))
-    rows = rows.withColumn("_ch", F.transform(pairs, lambda x: (x["b"] - x["a"]) / x["a"] * 100)).withColumn("_n", F.size("_ch"))
-    rows = rows.withColumn("_mean", F.when(F.col("_n") > 0, F.aggregate("_ch", F.lit(0.0), lambda s, x: s + x) / F.col("_n")))
-    var = F.aggregate(F.transform("_ch", lambda x: (x - F.col("_mean")) * (x - F.col("_mean"))), F.lit(0.0), lambda s, x: s + x) / (F.col("_n") - 1)
-    return rows.withColumn(name, F.when((F.col("_n") >= 3) & (F.size("_w") >= least_prices), F.sqrt(F.greatest(var, F.lit(0.0))))).drop("_w", "_ch", "_n", "_mean")
+    adds = ", ".join(f"{prefix}{m}_{suffix(w)} {'bigint' if m.endswith('Count') else 'double'}" for w in windows for m in FLOW)
+    return framed(rows, windows[-1], _flows(windows, prefix), ["t", "price", "qty", "side"], adds, ["t"])
+
+
+def _deviation(c: dict[str, np.ndarray], lo: np.ndarray, point: np.ndarray, least_prices: int) -> np.ndarray:
+    """Sample deviation of percent changes between neighbouring points, for each row over the points from place ``lo`` up to the row itself."""
+    price = c["price"][point].astype(float)
+    upto = np.cumsum(point)  # points up to each row
+    first = np.concatenate([[0], upto])[lo]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        change = np.where((price[1:] > 0) & (price[:-1] > 0), (price[1:] - price[:-1]) / price[:-1] * 100, np.nan)
+    change = np.concatenate([[np.nan], change]) if len(price) else np.zeros(0)
+    known = ~np.isnan(change)
+    shift = float(change[known].mean()) if known.any() else 0.0
+    inside = lambda x: sums(x, np.minimum(first + 1, upto), upto)  # noqa: E731  a change belongs to its later point
+    n = np.rint(inside(known.astype(float))).astype(int)
+    total, square = inside(change - shift), inside((change - shift) ** 2)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        var = (square - total * total / n) / (n - 1)
+        near = (n > 1) & (var < 1e-6 * np.maximum(square / n, 1e-6))  # too small against the sums to trust the difference
+    for k in np.flatnonzero(near):
+        x = change[first[k] + 1 : upto[k]]
+        var[k] = np.var(x[~np.isnan(x)], ddof=1)
+    return np.where((n >= 3) & (upto - first >= least_prices), np.sqrt(np.maximum(var, 0)), np.nan)
 
 
 def trend_vol(prices: DataFrame, windows_ms: dict[str, int], least_prices: int = 3, retention_ms: int = RETENTION_MS) -> DataFrame:
@@ -61,24 +96,31 @@ def trend_vol(prices: DataFrame, windows_ms: dict[str, int], least_prices: int =
     Trend: percent change from the first price of the window (start not positive: null). Volatility: sample deviation of percent changes between neighbouring prices inside the window, pairs with
     a price that is not positive left out; null below three changes or ``least_prices`` prices.
     """
-    rows = bucketed(prices, max([retention_ms, *windows_ms.values()]))
-    here = F.struct("t", "seq")
-    for name, w in windows_ms.items():
-        span = F.sort_array(F.collect_list(F.struct("t", "seq", "price")).over(frame(w)))
-        rows = _volatility(rows, F.filter(span, lambda x: F.struct(x["t"], x["seq"]) <= here), f"vol{name}", least_prices)
-        start = F.min(F.struct("t", "seq", "price")).over(frame(w))["price"]
-        rows = rows.withColumn(f"trend{name}", F.when(start > 0, (F.col("price") - start) / start * 100))
-    return own_rows(rows)
+    width = max([retention_ms, *windows_ms.values()])
+
+    def compute(c: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        t, price, out = c["t"], c["price"].astype(float), {}
+        for name, w in windows_ms.items():
+            lo = frame_starts(t, w)
+            start = price[lo]
+            with np.errstate(divide="ignore", invalid="ignore"):
+                trend = np.where(start > 0, (price - start) / start * 100, np.nan)
+            out |= {f"vol{name}": _deviation(c, lo, np.ones(len(t), bool), least_prices), f"trend{name}": trend}
+        return out
+
+    return framed(bucketed(prices, width), width, compute, ["t", "price"], ", ".join(f"vol{n} double, trend{n} double" for n in windows_ms), ["t", "seq", "price"])
 
 
 def vol_at(ticks: DataFrame, prices: DataFrame, name: str, window_ms: int, least_prices: int = 3) -> DataFrame:
     """``vol{name}`` at arbitrary times (symbol, t): ticks enter the price stream as rows without a price."""
-    marked = prices.select("symbol", "t", "seq", "price", F.lit(False).alias("_tick"))
+    marked = prices.filter("price IS NOT NULL").select("symbol", "t", "seq", "price", F.lit(False).alias("_tick"))
     asked = ticks.select("symbol", "t").distinct().select("symbol", "t", F.lit(2**62).cast("bigint").alias("seq"), F.lit(None).cast("double").alias("price"), F.lit(True).alias("_tick"))
-    rows = bucketed(marked.unionByName(asked), window_ms)
-    point = F.when(F.col("price").isNotNull(), F.struct("t", "seq", "price"))  # nulls are not collected
-    rows = rows.withColumn("_span", F.sort_array(F.collect_list(point).over(frame(window_ms)))).filter("_tick")
-    return own_rows(_volatility(rows, F.col("_span"), f"vol{name}", least_prices)).select("symbol", "t", f"vol{name}")
+
+    def compute(c: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        return {f"vol{name}": _deviation(c, frame_starts(c["t"], window_ms), ~c["_tick"].astype(bool), least_prices)}
+
+    rows = framed(bucketed(marked.unionByName(asked), window_ms), window_ms, compute, ["t", "price", "_tick"], f"vol{name} double", ["t", "seq", "price"])
+    return rows.filter("_tick").select("symbol", "t", f"vol{name}")
 
 
 def trend_at(ticks: DataFrame, prices: DataFrame, name: str, window_ms: int, retention_ms: int = RETENTION_MS, fallback: bool = True) -> DataFrame:
@@ -98,15 +140,19 @@ def trend_at(ticks: DataFrame, prices: DataFrame, name: str, window_ms: int, ret
 
 def day_stats(bars: DataFrame, t: str = "t", day_ms: int = DAY_MS) -> DataFrame:
     """Adds changePct24h, high24h, low24h, volume24h, quoteVolume24h to bars (symbol, t, high, low, close, volume, quoteVolume); a sum of zero is null."""
-    rows = bucketed(bars, day_ms, t)
-    w = frame(day_ms, t=t)
-    first = F.min(F.struct(t, "close")).over(w)["close"]
-    quote = F.coalesce("quoteVolume", F.col("close") * F.col("volume"))
-    rows = rows.withColumns({
-        "changePct24h": over(F.col("close") - first, first) * 100, "high24h": F.max("high").over(w), "low24h": F.min("low").over(w),
-        "volume24h": F.nullif(F.coalesce(F.sum("volume").over(w), F.lit(0.0)), F.lit(0.0)), "quoteVolume24h": F.nullif(F.coalesce(F.sum(quote).over(w), F.lit(0.0)), F.lit(0.0)),
-    })
-    return own_rows(rows)
+
+    def compute(c: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        at, close, volume = c[t], c["close"].astype(float), c["volume"].astype(float)
+        lo, hi = frame_starts(at, day_ms), frame_ends(at)
+        first = close[lo]
+        quote = np.where(np.isnan(c["quoteVolume"].astype(float)), close * volume, c["quoteVolume"].astype(float))
+        totals = [np.where(np.abs(v) > 1e-9, v, np.nan) for v in (sums(volume, lo, hi), sums(quote, lo, hi))]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            change = np.where(first != 0, (close - first) / first * 100, np.nan)
+        return {"changePct24h": change, "high24h": extremes(c["high"].astype(float), lo, hi, np.fmax), "low24h": extremes(c["low"].astype(float), lo, hi, np.fmin), "volume24h": totals[0], "quoteVolume24h": totals[1]}
+
+    adds = ", ".join(f"{n} double" for n in ("changePct24h", "high24h", "low24h", "volume24h", "quoteVolume24h"))
+    return framed(bucketed(bars, day_ms, t), day_ms, compute, [t, "high", "low", "close", "volume", "quoteVolume"], adds, [t, "close"], t=t)
 
 
 def deltas(snapshots: DataFrame, names: list[str], by: list[str] = ["symbol"], t: str = "t", seq: str = "seq", exclude_age: bool = True, bucket_ms: int = DAY_MS) -> DataFrame:  # noqa: B006

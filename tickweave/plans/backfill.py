@@ -8,9 +8,14 @@ from pyspark.sql import functions as F
 from ..functions.market import basis_pct, completeness
 from ..operators.asof import Side, asof_many
 from ..operators.windows import day_stats, deltas, trend_vol
-from .snapshots import COMPLETENESS_KEYS
+from .snapshots import COMPLETENESS_KEYS, MICRO_KEYS
 
 TRENDS = {"5m": 300_000, "15m": 900_000}
+#: Columns of a snapshot that history cannot fill.
+EMPTY = (
+    "bestBid", "bestAsk", "spreadPct", "imbalance", "depthBidQty", "depthAskQty", "depthImbalance", "aggBuyQty", "aggSellQty", "aggBuyCount", "aggSellCount", "aggVWAP", "aggBuySellRatio",
+    "liqBuyQty", "liqSellQty", "liqBuyCount", "liqSellCount", "bookAgeMs", "depthAgeMs", "flowAgeMs", "liqAgeMs",
+)
 
 
 def backfill(bars: DataFrame, funding: DataFrame | None = None, open_interest: DataFrame | None = None, mark: DataFrame | None = None, index: DataFrame | None = None, bars5m: DataFrame | None = None) -> DataFrame:
@@ -18,16 +23,19 @@ def backfill(bars: DataFrame, funding: DataFrame | None = None, open_interest: D
     b = bars.withColumn("t", F.col("closeTime"))
     out = day_stats(b).select("symbol", "t", F.col("close").alias("price"), F.col("close").alias("kline1mClose"), F.col("volume").alias("kline1mVol"), "changePct24h", "high24h", "low24h", "volume24h", "quoteVolume24h")
     sides = [
-        (bars5m, "closeTime", {"close": "kline5mClose", "volume": "kline5mVol"}, None), (funding, "time", {"fundingRate": "fundingRate", "nextFundingTime": "nextFundingTime"}, "fundingAgeMs"),
-        (open_interest, "time", {"openInterest": "openInterest"}, None), (mark, "closeTime", {"close": "markPrice"}, None), (index, "closeTime", {"close": "indexPrice"}, None),
+        (bars5m, "closeTime", {"close": "kline5mClose", "volume": "kline5mVol"}, "kline5mAgeMs"), (funding, "time", {"fundingRate": "fundingRate", "nextFundingTime": "nextFundingTime"}, "fundingAgeMs"),
+        (open_interest, "time", {"openInterest": "openInterest"}, "openInterestAgeMs"), (mark, "closeTime", {"close": "markPrice"}, "markAgeMs"), (index, "closeTime", {"close": "indexPrice"}, None),
     ]
     out = asof_many(out, [Side(rows, columns, time, age=age) for rows, time, columns, age in sides if rows is not None])
-    out = out.withColumns({c: F.lit(None).cast("double") for rows, _, columns, _ in sides if rows is None for c in columns.values()})
+    out = out.withColumns({c: F.lit(None).cast("double") for rows, _, columns, _ in sides if rows is None for c in columns.values()} | {age: F.lit(None).cast("bigint") for rows, *_, age in sides if rows is None and age})
+    out = out.withColumns({"stats24hAgeMs": F.lit(0).cast("bigint"), "kline1mAgeMs": F.lit(0).cast("bigint")})
     prices = b.select("symbol", "t", F.col("t").alias("seq"), F.col("close").alias("price"))
     moves = trend_vol(prices, TRENDS).select("symbol", "t", *[f"{k}{n}" for n in TRENDS for k in ("trend", "vol")])
     out = out.join(moves.dropDuplicates(["symbol", "t"]), ["symbol", "t"], "left")
     out = out.withColumn("basisPct", basis_pct(F.col("markPrice"), F.col("indexPrice")))
     have = set(out.columns)
-    out = out.withColumn("featureCompleteness", completeness([F.col(k) if k in have else F.lit(None) for k in COMPLETENESS_KEYS]))
+    share = lambda keys: completeness([F.col(k) if k in have else F.lit(None) for k in keys])
+    out = out.withColumns({"featureCompleteness": share(COMPLETENESS_KEYS), "microCompleteness": share(MICRO_KEYS)})
     names = [c for c, kind in out.dtypes if kind in ("double", "bigint") and c not in ("t", "price")]
-    return deltas(out, names, exclude_age=False).withColumn("source", F.lit("backfill"))
+    out = deltas(out, names, exclude_age=False).withColumn("source", F.lit("backfill"))
+    return out.withColumns({c: F.lit(None).cast("double") for c in EMPTY})

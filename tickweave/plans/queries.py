@@ -163,11 +163,11 @@ def j4_unmatched(spark: SparkSession, sf: str) -> DataFrame:
     return datasets.unmatched(trades(spark, sf), lab).groupBy("symbol").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(f"""{_TOUCH} SELECT e.symbol, CAST(CASE WHEN l IS NULL THEN 2 WHEN l.w THEN 1 ELSE 0 END AS INTEGER) AS target, count(*) AS n FROM ev e LEFT JOIN f USING (symbol, t, seq) GROUP BY ALL""")
+@query(f"""{_TOUCH} SELECT e.symbol, e.t AS "entryTime", e.qty, CAST(7200000 AS BIGINT) AS "horizonMs", CASE WHEN l IS NULL THEN 'TIME' WHEN l.w THEN 'TP' ELSE 'SL' END AS label, CAST(CASE WHEN l IS NULL THEN 2 WHEN l.w THEN 1 ELSE 0 END AS INTEGER) AS target FROM ev e LEFT JOIN f USING (symbol, t, seq)""")
 def p15_barrier_dataset(spark: SparkSession, sf: str) -> DataFrame:
     x = trades(spark, sf)
     lab = labels.barrier_labels(x, x, 2 * HOUR, 1200.0, 800.0)
-    return datasets.build_barrier_dataset(x, lab, ["qty"]).groupBy("symbol", "target").agg(F.count(F.lit(1)).alias("n"))
+    return datasets.build_barrier_dataset(x, lab, ["qty"]).select("symbol", "entryTime", "qty", "horizonMs", "label", "target")
 
 
 def _scored(spark: SparkSession, sf: str) -> DataFrame:
@@ -297,11 +297,11 @@ def o8_time_split(spark: SparkSession, sf: str) -> DataFrame:
     return stat(train, "train").unionByName(stat(test, "test"))
 
 
-@query(f"{_ORD}, f AS (SELECT *, n//2 AS first, (n - n//2)//4 AS step FROM o), i(fold) AS (VALUES (0),(1),(2),(3)) SELECT CAST(fold AS INTEGER) AS fold, CAST(sum(CASE WHEN rn <= first+fold*step THEN 1 ELSE 0 END) AS BIGINT) AS train, CAST(sum(CASE WHEN rn > first+fold*step AND (fold=3 OR rn <= first+(fold+1)*step) THEN 1 ELSE 0 END) AS BIGINT) AS test FROM f, i GROUP BY fold")
+@query(f"{_ORD}, f AS (SELECT *, n//2 AS first, (n - n//2)//4 AS step FROM o), i(fold) AS (VALUES (0),(1),(2),(3)) SELECT CAST(fold AS INTEGER) AS fold, CAST(sum(CASE WHEN rn <= first+fold*step THEN 1 ELSE 0 END) AS BIGINT) AS train, CAST(sum(CASE WHEN rn > first+fold*step AND (fold=3 OR rn <= first+(fold+1)*step) THEN 1 ELSE 0 END) AS BIGINT) AS test, CAST(sum(CASE WHEN rn <= first+fold*step THEN k ELSE 0 END) AS BIGINT) AS train_keys, CAST(sum(CASE WHEN rn > first+fold*step AND (fold=3 OR rn <= first+(fold+1)*step) THEN k ELSE 0 END) AS BIGINT) AS test_keys FROM f, i GROUP BY fold")
 def o9_walk_forward(spark: SparkSession, sf: str) -> DataFrame:
     out = None
     for n, (train, test) in enumerate(evaluate.walk_forward(_orders(spark, sf), order=("entryTime", "seq"))):
-        row = train.agg(F.count(F.lit(1)).alias("train")).join(test.agg(F.count(F.lit(1)).alias("test"))).select(F.lit(n).alias("fold"), "train", "test")
+        row = train.agg(F.count(F.lit(1)).alias("train"), F.sum("seq").alias("train_keys")).join(test.agg(F.count(F.lit(1)).alias("test"), F.sum("seq").alias("test_keys"))).select(F.lit(n).alias("fold"), "train", "test", "train_keys", "test_keys")
         out = row if out is None else out.unionByName(row)
     return out
 
@@ -407,7 +407,7 @@ def t2_snapshots(spark: SparkSession, sf: str) -> DataFrame:
     x = trades(spark, sf)
     quotes = _wide(spark, sf).withColumns({"bidQty": F.col("qty"), "askQty": F.col("qty") + 1})
     parts = {"book": quotes, "trades": x, "prices": x.select("symbol", "t", "seq", "price"), "kline1m": x.select("symbol", "t", "seq", F.col("price").alias("close"), F.col("qty").alias("volume"))}
-    return snapshots.build_snapshots(_all_ticks(spark, sf), parts, [HOUR, 6 * HOUR], {"5m": HOUR, "15m": 3 * HOUR})
+    return snapshots.build_snapshots(_all_ticks(spark, sf), parts, [HOUR, 6 * HOUR], {"5m": HOUR, "15m": 3 * HOUR}, context=["view"], context_ms={"180m": 3 * HOUR})
 
 
 @query()
@@ -447,14 +447,13 @@ def a3_j8_completeness_and_fill(spark: SparkSession, sf: str) -> DataFrame:
     return r6(datasets.fill_context(x, ["fundingRate"]).select("symbol", "t", "seq", "share", F.col("fundingRate").alias("filled")))
 
 
-@query(f"""{_LABELS} SELECT symbol, "horizonMs", count(*) AS n FROM u JOIN (SELECT symbol, t, seq FROM s) USING (symbol, t, seq) JOIN (SELECT CAST(3600000 AS BIGINT) AS h, CAST(3600000 AS BIGINT) AS "horizonMs" UNION ALL SELECT 21600000, 21600000) USING (h) WHERE bid IS NOT NULL AND ask IS NOT NULL AND xbid IS NOT NULL AND xask IS NOT NULL GROUP BY ALL""")
+@query(f"""{_LABELS} SELECT symbol, t AS "entryTime", seq, CAST(h AS BIGINT) AS "horizonMs" FROM u WHERE bid IS NOT NULL AND ask IS NOT NULL AND xbid IS NOT NULL AND xask IS NOT NULL""")
 def p16_require_quotes(spark: SparkSession, sf: str) -> DataFrame:
     got = labels.return_labels(_wide(spark, sf), [HOUR, 6 * HOUR], max_lag_pct=0.5, require_bbo=True)
-    return got.groupBy("symbol", "horizonMs").agg(F.count(F.lit(1)).alias("n"))
+    return got.select("symbol", "entryTime", "seq", "horizonMs")
 
 
-@query("SELECT strftime(o_orderdate, '%Y%m%d') AS date, o_orderpriority AS stream, count(*) AS n FROM orders GROUP BY ALL")
+@query(f"""WITH {EV} SELECT seq, strftime(make_timestamp(t*1000),'%Y%m%d') AS date, strftime(make_timestamp(t*1000),'%H') AS hour, symbol AS stream FROM ev""")
 def k1_partition_keys(spark: SparkSession, sf: str) -> DataFrame:
-    o = table(spark, sf, "orders")
-    ms = F.unix_millis(F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col("o_orderdate").cast("timestamp_ntz")).cast("timestamp"))
-    return o.groupBy(coerce.date_key(ms).alias("date"), F.col("o_orderpriority").alias("stream")).agg(F.count(F.lit(1)).alias("n"))
+    t = F.col("t")
+    return trades(spark, sf).select("seq", coerce.date_key(t).alias("date"), coerce.hour_key(t).alias("hour"), F.col("symbol").alias("stream"))

@@ -10,8 +10,15 @@ from ..operators.asof import Side, asof_many
 from ..operators.windows import deltas, rolling_flow, suffix, trend_at, vol_at
 
 #: The keys that make up the two completeness ratios.
-COMPLETENESS_KEYS = "markPrice indexPrice fundingRate openInterest bestBid bestAsk spreadPct imbalance depthBidQty depthAskQty depthImbalance basisPct changePct24h volume24h quoteVolume24h kline1mClose kline1mVol kline5mClose kline5mVol trend5m trend15m vol5m vol15m aggBuyQty aggSellQty liqBuyQty liqSellQty".split()
-MICRO_KEYS = "bestBid bestAsk spreadPct imbalance depthBidQty depthAskQty depthImbalance aggBuyQty aggSellQty aggBuyCount aggSellCount liqBuyQty liqSellQty liqBuyCount liqSellCount".split()
+COMPLETENESS_KEYS = (
+    "markPrice", "indexPrice", "fundingRate", "openInterest", "bestBid", "bestAsk", "spreadPct", "imbalance", "depthBidQty",
+    "depthAskQty", "depthImbalance", "basisPct", "changePct24h", "volume24h", "quoteVolume24h", "kline1mClose", "kline1mVol", "kline5mClose",
+    "kline5mVol", "trend5m", "trend15m", "vol5m", "vol15m", "aggBuyQty", "aggSellQty", "liqBuyQty", "liqSellQty",
+)
+MICRO_KEYS = (
+    "bestBid", "bestAsk", "spreadPct", "imbalance", "depthBidQty", "depthAskQty", "depthImbalance", "aggBuyQty", "aggSellQty",
+    "aggBuyCount", "aggSellCount", "liqBuyQty", "liqSellQty", "liqBuyCount", "liqSellCount",
+)
 
 
 def tick_grid(universe: DataFrame, start_ms: int, end_ms: int, step_ms: int) -> DataFrame:
@@ -33,18 +40,25 @@ def flow_at(ticks: DataFrame, trades: DataFrame, windows_ms: list[int], prefix:
     return got.select("symbol", "t", *names)
 
 
-def build_snapshots(ticks: DataFrame, tables: dict[str, DataFrame], windows_ms: list[int], trends_ms: dict[str, int], default_window_ms: int | None = None) -> DataFrame:
-    """Snapshots at the ticks from the tables given: book, mark, openInterest, stats24h, kline1m, kline5m, depth, trades, liquidations, prices."""
-    sides = {
-        "mark": ({c: c for c in ("markPrice", "indexPrice", "fundingRate", "nextFundingTime")}, "markAgeMs"), "book": ({c: c for c in ("bestBid", "bestAsk", "bidQty", "askQty")}, "bookAgeMs"),
-        "openInterest": ({"openInterest": "openInterest"}, "openInterestAgeMs"), "stats24h": ({c: c for c in ("last", "changePct24h", "high24h", "low24h", "volume24h", "quoteVolume24h")}, "stats24hAgeMs"),
-        "kline1m": ({"close": "kline1mClose", "volume": "kline1mVol"}, "kline1mAgeMs"), "kline5m": ({"close": "kline5mClose", "volume": "kline5mVol"}, "kline5mAgeMs"),
-        "depth": ({c: c for c in ("depthBidQty", "depthAskQty", "depthImbalance")}, "depthAgeMs"),
-    }
-    known = {n: v for n, v in sides.items() if n in tables}
-    looked = [Side(tables[n], columns, age=age) for n, (columns, age) in known.items()]
+#: The tables of a snapshot: their columns (own name: name in the snapshot) and the name of their age.
+SIDES = {
+    "mark": ({c: c for c in ("markPrice", "indexPrice", "fundingRate", "nextFundingTime")}, "markAgeMs"), "book": ({c: c for c in ("bestBid", "bestAsk", "bidQty", "askQty")}, "bookAgeMs"),
+    "openInterest": ({"openInterest": "openInterest"}, "openInterestAgeMs"), "stats24h": ({c: c for c in ("last", "changePct24h", "high24h", "low24h", "volume24h", "quoteVolume24h")}, "stats24hAgeMs"),
+    "kline1m": ({"close": "kline1mClose", "volume": "kline1mVol"}, "kline1mAgeMs"), "kline5m": ({"close": "kline5mClose", "volume": "kline5mVol"}, "kline5mAgeMs"),
+    "depth": ({c: c for c in ("depthBidQty", "depthAskQty", "depthImbalance")}, "depthAgeMs"), "trades": ({}, "flowAgeMs"), "liquidations": ({}, "liqAgeMs"),
+}
+
+
+def build_snapshots(ticks: DataFrame, tables: dict[str, DataFrame], windows_ms: list[int], trends_ms: dict[str, int], default_window_ms: int | None = None, context: list[str] | None = None, context_ms: dict[str, int] | None = None) -> DataFrame:
+    """Snapshots at the ticks from the tables given: book, mark, openInterest, stats24h, kline1m, kline5m, depth, trades, liquidations, prices.
+
+    ``context``: symbols whose latest price, trend and volatility (windows ``context_ms``) every snapshot gets, from ``prices``. Columns of tables that are not given are null.
+    """
+    known = {n: v for n, v in SIDES.items() if n in tables}
+    looked = [Side(tables[n].filter("qty > 0") if n in ("trades", "liquidations") else tables[n], columns, age=age) for n, (columns, age) in known.items()]
     out = asof_many(ticks, looked)
-    out = out.withColumns({c: F.lit(None).cast("double") for n, (columns, _) in sides.items() if n not in known for c in columns.values()})
+    missing = [v for n, v in SIDES.items() if n not in known]
+    out = out.withColumns({c: F.lit(None).cast("double") for columns, _ in missing for c in columns.values()} | {age: F.lit(None).cast("bigint") for _, age in missing})
     price = F.coalesce("markPrice", "bestBid", "bestAsk", "last", "kline1mClose", "kline5mClose")
     out = out.withColumn("price", price.cast("double")).filter("price IS NOT NULL").drop("last")
     out = out.withColumns({"spreadPct": spread_pct(F.col("bestBid"), F.col("bestAsk")), "imbalance": imbalance(F.col("bidQty"), F.col("askQty")), "basisPct": basis_pct(F.col("markPrice"), F.col("indexPrice"))}).drop("bidQty", "askQty")
@@ -57,12 +71,25 @@ def build_snapshots(ticks: DataFrame, tables: dict[str, DataFrame], windows_ms:
         for name, w in trends_ms.items():
             at = ticks.select("symbol", "t")
             out = out.join(trend_at(at, tables["prices"], name, w), ["symbol", "t"]).join(vol_at(at, tables["prices"], name, w), ["symbol", "t"])
+        for s in context or []:
+            out = out.join(_context(ticks, tables["prices"], s, context_ms or {}), "t", "left")
     have = set(out.columns)
     out = out.withColumns({"featureCompleteness": _share(have, COMPLETENESS_KEYS), "microCompleteness": _share(have, MICRO_KEYS)})
     numeric = [c for c, kind in out.dtypes if kind in ("double", "bigint", "int") and c not in ("t", "price")]
     return deltas(out, numeric)
 
 
+def _context(ticks: DataFrame, prices: DataFrame, symbol: str, windows_ms: dict[str, int]) -> DataFrame:
+    """t, and one symbol's latest price, trends and volatilities at each distinct time."""
+    own = prices.filter(F.col("symbol") == symbol)
+    at = ticks.select("t").distinct().withColumn("symbol", F.lit(symbol))
+    out = latest_value(at, own, {"price": f"ctx_{symbol}_price"})
+    for name, w in windows_ms.items():
+        moved = trend_at(at, own, "_", w).select("symbol", "t", F.col("trend_").alias(f"ctx_{symbol}_trend_{name}"))
+        out = out.join(moved, ["symbol", "t"]).join(vol_at(at, own, "_", w).withColumnRenamed("vol_", f"ctx_{symbol}_vol_{name}"), ["symbol", "t"])
+    return out.drop("symbol")
+
+
 def _share(have: set[str], keys: list[str]):
     return completeness([F.col(k) if k in have else F.lit(None) for k in keys])
 

@@ -6,15 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
-from ..functions.coerce import safe_float, safe_int
+from ..functions.coerce import safe_float, safe_int, safe_num_js
 from ..functions.market import mid_price
 from . import schemas
 
 
 def _lines(spark: SparkSession, path: str, glob: str) -> DataFrame:
-    """line, file, seq (place in file order) of the files under a folder."""
+    """line, file, seq (place in file order: the split's start in the file, then the line's number in the split) of the files under a folder."""
     got = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(path)
-    return got.select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"), (F.col("_metadata.file_block_start") * 1_000_000 + F.monotonically_increasing_id() % 1_000_000).alias("seq"))
+    return got.select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"), F.struct(F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("n")).alias("seq"))
 
 
 def snapshots(spark: SparkSession, path: str, features: list[str] | None = None, with_map: bool = False) -> DataFrame:
@@ -90,6 +90,68 @@ def env_config(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(F.trim(F.substring_index("value", "=", 1)).alias("key"), F.trim(F.expr("substring(value, instr(value, '=') + 1)")).alias("value"))
 
 
+#: Event types and the settings that turn them on.
+EVENT_FLAGS = (("aggTrade", "ENABLE_AGG_TRADES"), ("bookTicker", "ENABLE_BOOK_TICKER"), ("depthUpdate", "ENABLE_DEPTH"), ("markPriceUpdate", "ENABLE_MARK_PRICE"))
+
+
+def flag(values: dict[str, str], key: str, default: bool = False) -> bool:
+    """A setting that is on when it says true, in any case."""
+    return values[key].lower() == "true" if key in values else default
+
+
+def event_types(config: DataFrame) -> list[str]:
+    """The raw event types that settings (key, value: a file of some lines) ask to log, sorted: those on the list, or all if there is none, whose flag is not off."""
+    values = {r["key"]: r["value"] for r in config.collect()}
+    if not flag(values, "LOG_RAW_EVENTS", True):
+        return []
+    listed = {v.strip() for v in values.get("LOG_RAW_EVENTS_TYPES", "").split(",") if v.strip()} or {t for t, _ in EVENT_FLAGS}
+    return sorted(t for t, key in EVENT_FLAGS if t in listed and flag(values, key, True))
+
+
+def pick_features(rows: DataFrame, names: list[str] | None = None, extra: str | None = None) -> DataFrame:
+    """Rows with a ``features`` map: only the ``names`` given stay; ``extra``, another map column, fills what is missing or no number."""
+    kept = F.col("features")
+    if extra:
+        kept = F.map_concat(F.map_filter(extra, lambda k, v: safe_float(F.col("features")[k]).isNull()), F.map_filter(kept, lambda k, v: safe_float(v).isNotNull() | ~F.array_contains(F.map_keys(extra), k)))
+    if names is not None:
+        kept = F.map_filter(kept, lambda k, v: k.isin(names))
+    return rows.withColumn("features", kept)
+
+
+def open_interest(rows: DataFrame) -> DataFrame:
+    """Open-interest history from endpoint rows (symbol, timestamp, sumOpenInterest, openInterest): the sum, else the plain field; rows without a time are dropped."""
+    col = lambda c: safe_num_js(F.col(c)) if c in rows.columns else F.lit(None).cast("double")
+    got = rows.select("symbol", col("timestamp").cast("bigint").alias("t"), F.coalesce(col("sumOpenInterest"), col("openInterest")).alias("openInterest"))
+    return got.filter("t IS NOT NULL")
+
+
+def exchange_universe(rows: DataFrame, suffix: str = "USDT") -> DataFrame:
+    """symbol, pos: the symbols of an exchange-information document (``symbols``: array of structs, or a row a symbol) that end in the quote asset, in its order."""
+    if "symbols" in rows.columns:
+        got = rows.select(F.posexplode("symbols").alias("pos", "s")).select(F.col("s.symbol").alias("symbol"), F.col("pos").cast("bigint").alias("pos"))
+    else:
+        got = rows.select("symbol", F.monotonically_increasing_id().alias("pos"))
+    return got.filter(F.col("symbol").endswith(suffix))
+
+
+#: What each polled endpoint gives, by the endpoint's field names.
+POLLED = {
+    "openInterest": {"openInterest": "openInterest"},
+    "premiumIndex": {"markPrice": "markPrice", "indexPrice": "indexPrice", "fundingRate": "lastFundingRate", "nextFundingTime": "nextFundingTime"},
+    "stats24h": {"changePct24h": "priceChangePercent", "high24h": "highPrice", "low24h": "lowPrice", "volume24h": "volume", "quoteVolume24h": "quoteVolume", "last": "lastPrice"},
+}
+
+
+def polled(rows: DataFrame, kind: str) -> DataFrame:
+    """Answers of a polled endpoint (symbol, polledAt, body: JSON text) as a typed table at the poll's own clock; answers that are no JSON object are dropped.
+
+    Works on a batch and on a stream. ``premiumIndex`` rows go into the mark table beside the mark-price events: ``unionByName`` both, the latest by arrival counts.
+    """
+    body = F.from_json("body", "MAP<STRING, STRING>")
+    fields = [safe_num_js(F.col("_b")[theirs]).alias(ours) for ours, theirs in POLLED[kind].items()]
+    return rows.withColumn("_b", body).filter("_b IS NOT NULL AND symbol IS NOT NULL").select("symbol", F.col("polledAt").cast("bigint").alias("t"), F.col("polledAt").cast("bigint").alias("recvTime"), *fields)
+
+
 def funding(rows: DataFrame, period_ms: int = 28_800_000) -> DataFrame:
     """Funding series with the next funding time."""
     return rows.select("symbol", F.col("time").cast("bigint").alias("t"), safe_float(F.col("fundingRate")).alias("fundingRate")).withColumn("nextFundingTime", F.col("t") + period_ms)
