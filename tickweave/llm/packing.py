@@ -34,6 +34,9 @@ LEAST = 32
 CACHE = 400_000
 
 
+TAIL = ".,!?;:#$%&*|()[]{}\"-+=/\\~^@"  # marks that the pre-tokenizer parts from the letters before them
+
+
 class WordEncoder:
     """Ids of a text by a ``tokenizers`` file whose pre-tokenizer never joins words across white space.
 
@@ -66,7 +69,7 @@ class WordEncoder:
             small = unicodedata.normalize("NFC", small)
             if small.isalpha():
                 return self._pack([t.id for t in self.model.tokenize(small.encode().decode("latin1").translate(self.letters))])
-        base = w.rstrip(".,")
+        base = w.rstrip(TAIL)
         if base and base != w and base.isalpha() and "İ" not in base:  # its lower case ends in a mark that joins what follows
             return self.word(base) + self.word(w[len(base) :])
         return self._pack(self.whole.encode(w, add_special_tokens=False).ids)
@@ -132,7 +135,7 @@ def _pieces(rows: list[tuple], base: int, window: int, with_ids: bool) -> list[t
     """The pieces of one block of rounds in service order, cut at rounds and windows; ``rows`` come in the order of their queues."""
     ids, lows, sizes, rounds, of = [], [], [], [], []
     for n, (source, doc_id, start, total, at, size, step, every, raw) in enumerate(rows):
-        ids.append(np.frombuffer(raw, np.uint16 if len(raw) == 2 * size else np.uint32))
+        ids.append(np.frombuffer(raw, np.uint16).astype("<u4").tobytes() if len(raw) == 2 * size else raw)
         j = np.arange(max(0, int(at / step) - 1), int((at + size) / step) + 3)
         cuts = np.ceil(j * step).astype(np.int64)
         inner = cuts[(cuts > at) & (cuts < at + size)]
@@ -149,7 +152,7 @@ def _pieces(rows: list[tuple], base: int, window: int, with_ids: bool) -> list[t
         done = 0
         while done < size:
             room = min(size - done, window - at % window)
-            piece = ids[n][low + done : low + done + room].astype("<u4").tobytes()
+            piece = ids[n][4 * (low + done) : 4 * (low + done + room)]
             out.append((doc_id, start + low + done, room, zlib.crc32(piece), total, at // window, at % window, source, piece if with_ids else None))
             done, at = done + room, at + room
     return out
