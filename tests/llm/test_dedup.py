@@ -288,6 +288,19 @@ def test_passages_against_brute_force(corpus):
     assert set(extra) <= set().union(*(g for g in alike.values() if len(g) > 1), set())
 
 
+def test_spreading_frequent_names_changes_no_span(docs_of, monkeypatch):
+    rng = np.random.default_rng(8)
+    common, own = words("c", 60), [" ".join(f"o{rng.integers(10**9)}" for _ in range(30)) for _ in range(40)]
+    docs = docs_of(*[f"{own[n]} {common} {own[-1 - n]}" for n in range(20)], *[common] * 20, None, "")
+    of = lambda: sorted(map(tuple, sd.repeated_passages(docs).collect()))
+    want = of()
+    for name, value in (("ONE_IN", 1), ("OFTEN", 2), ("SALTS", 7), ("BUSY", 3)):
+        monkeypatch.setattr(sd, name, value)
+    assert want and of() == want
+    monkeypatch.setattr(sd, "BROADCAST_ROWS", 0)
+    assert of() == want
+
+
 def test_short_repeated_lines_are_left_alone(docs_of):
     license_ = words("l", 40)
     got = sd.repeated_passages(docs_of(*[words(f"a{n}_", 30) + "\n" + license_ + "\n" + words(f"b{n}_", 30) for n in range(30)])).collect()

@@ -19,12 +19,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
-from .common import stored
+from .common import few, stored
 
 CAPACITY = 4_096
 HOT = 256  # rows of one key that are combined before they are sent
 SALTS = 64
-BROADCAST_ROWS = 1_000_000
 BYTES_A_TASK = 128 << 20
 
 
@@ -54,11 +53,6 @@ def directory(keys: DataFrame, capacity: int) -> tuple[int, DataFrame]:
     return bits, stored(found.select("slot", bucket.alias("bucket")), "directory")
 
 
-def few(rows: DataFrame) -> DataFrame:
-    """``rows``, to be broadcast if they are few."""
-    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
-
-
 def key_of(text: Column, key_bits: int) -> Column:
     return F.xxhash64(text).bitwiseAND(F.lit(-1 << (64 - key_bits)))
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
-from .common import connected_components, stored
+from .common import BROADCAST_ROWS, connected_components, few, stored
 from .hashing import chunks, mix, shingle_hashes, texts_of, word_hashes
 
 WORDS = 5
@@ -39,6 +39,10 @@ LEAST_SPAN = 51
 BLOCK, BLOCK_SHINGLES = 500, 1_000_000  # lines and shingles of a bucket that are joined at a time
 RUN = 12
 WINDOW = 10
+ONE_IN = 64  # texts of which one is read to find names so frequent that their rows are spread
+OFTEN = 64  # occurrences there that make a name one of these
+SALTS = 64
+BUSY = 2_000  # occurrences of a passage from which on its figures are sent to the occurrences
 
 
 def tune(threshold: float = THRESHOLD, recall: float = RECALL, minima: int = MINIMA) -> tuple[int, int]:
@@ -149,8 +153,12 @@ def _line_sets(least_line: int, words: int, make, names: list[str], types: list[
     return run
 
 
-def shared(rows: DataFrame, key: str) -> DataFrame:
-    """The rows whose key another row has too: one exchange, and a pass over sorted rows that holds one row."""
+def shared(rows: DataFrame, key: str, spread: DataFrame | None = None) -> DataFrame:
+    """The rows whose key another row has too: one exchange, and a pass over sorted rows that holds one row. Rows of the keys ``spread``, which are known to have company, are dealt over ``SALTS`` places."""
+    salted = rows.withColumn("salt", F.lit(0))
+    if spread is not None:
+        marked = F.broadcast(spread.select(key, F.lit(True).alias("often")))
+        salted = rows.join(marked, key, "left").withColumn("salt", F.when(F.col("often"), F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int") + 1).otherwise(0)).select(*rows.columns, "salt")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, open_ = None, None  # a last row that may have followers; the key of a last row that has some before it
@@ -160,13 +168,22 @@ def shared(rows: DataFrame, key: str) -> DataFrame:
             table = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
             k = table.column(key).to_numpy()
             same = np.concatenate([[False], k[1:] == k[:-1], [False]])
-            keep = same[:-1] | same[1:]
+            keep = same[:-1] | same[1:] | (table.column("salt").to_numpy() > 0)
             if open_ is not None:
                 keep |= k == open_
             held, open_ = (None, k[-1]) if keep[-1] else (table.slice(table.num_rows - 1), None)
-            yield from table.filter(pa.array(keep)).combine_chunks().to_batches()
+            yield from table.filter(pa.array(keep)).drop_columns("salt").combine_chunks().to_batches()
 
-    return rows.repartition(key).sortWithinPartitions(key).mapInArrow(run, rows.schema)
+    return salted.repartition(key, "salt").sortWithinPartitions(key).mapInArrow(run, rows.schema)
+
+
+def often(units: DataFrame) -> DataFrame:
+    """Names of units that occur ``OFTEN`` times or more, or the most frequent of them that can be broadcast. Only where rows go depends on these."""
+    counted = stored(units.groupBy("name").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= OFTEN), "often")
+    least = OFTEN
+    while (found := counted.filter(F.col("n") >= least)).count() > BROADCAST_ROWS:
+        least *= 2
+    return found.select("name")
 
 
 def _of_runs(h: np.ndarray, first: np.ndarray, last: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -278,7 +295,7 @@ def repeated_passages(docs: DataFrame, threshold: float = THRESHOLD, recall: flo
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     units = rows.mapInArrow(_units(least_line), UNITS)
     alike = stored(alike_lines(rows.select("text"), threshold, recall, least_line, words), "alike")
-    copies = stored(shared(units, "name"), "copies")
+    copies = stored(shared(units, "name", often(rows.sample(1 / ONE_IN, seed=1).mapInArrow(_units(least_line), UNITS))), "copies")
     # Lines that have no copy but are like another one.
     line = F.shiftright("words", 32) + RUN != F.col("words").bitwiseAND(2**32 - 1)
     names = copies.select("name").distinct()
@@ -288,11 +305,11 @@ def repeated_passages(docs: DataFrame, threshold: float = THRESHOLD, recall: flo
     kind = F.when(line, 0).otherwise(1)
     every = every.select("doc_id", "row", "passage", kind.alias("kind"), low("place").alias("start"), high("place").alias("end"), low("words").alias("first"), high("words").alias("last"))
     found = stored(every, "found")
-    whole = found.groupBy("passage").agg(F.count(F.lit(1)).alias("n_occurrences"))
-    found = found.join(whole, "passage")
     place = F.struct("doc_id", "row", "first")
-    least = found.groupBy("passage").agg(F.min(place).alias("_least"))
-    found = found.join(least, "passage").withColumn("later", ~place.eqNullSafe(F.col("_least"))).drop("_least")
+    each = stored(found.groupBy("passage").agg(F.count(F.lit(1)).alias("n_occurrences"), F.min(place).alias("_least")), "passages")
+    busy = few(each.filter(F.col("n_occurrences") > BUSY))
+    found = found.join(busy.select("passage"), "passage", "left_anti").join(each.filter(F.col("n_occurrences") <= BUSY), "passage").unionByName(found.join(busy, "passage"))
+    found = found.withColumn("later", ~place.eqNullSafe(F.col("_least"))).drop("_least")
     w = W.Window.partitionBy("row").orderBy("first", F.desc("last"))
     reach = F.max("last").over(w.rowsBetween(W.Window.unboundedPreceding, -1))
     runs = found.withColumn("reach", reach).withColumn("fresh", (F.col("reach").isNull() | (F.col("first") > F.col("reach"))).cast("int")).withColumn("run", F.sum("fresh").over(w))
