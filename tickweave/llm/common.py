@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
 BROADCAST_ROWS = 1_000_000
+EDGES_A_TASK = 200_000
 _LOCAL: dict[str, str] = {}
 
 
@@ -78,7 +79,9 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
 
     Alternating large-star and small-star contraction (Kiveris et al., 2014): each round replaces the edges by
     as many or fewer, every one towards a smaller id, and ends when nothing changes. Edges stay in tables of the shared folder.
+    A round's tasks are as many as its edges need (one for each core at least): the many near-empty partitions of late rounds are read by few tasks.
     """
+    cores = edges.sparkSession.sparkContext.defaultParallelism
     e = stored(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct(), "edges")
     seen = None
     for _ in range(max_rounds):
@@ -86,12 +89,14 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
         if state[0] == 0 or tuple(state) == seen:
             return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
         seen = tuple(state)
+        tasks = max(cores, -(-2 * state[0] // EDGES_A_TASK))
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        e = stored(both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")  # large-star
+        star = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        e = stored(star.coalesce(tasks).distinct().coalesce(tasks), "large")  # large-star
         low = e.groupBy("u").agg(F.min("v").alias("m"))
         star = e.join(low, "u").select(F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("s")).select("s.*")
-        e = stored(star.filter("u <> v").distinct(), "small")  # small-star
+        e = stored(star.filter("u <> v").coalesce(tasks).distinct().coalesce(tasks), "small")  # small-star
     warnings.warn("components had not settled", stacklevel=2)
     raise RuntimeError("connected_components: no fixed point within max_rounds")
 
