@@ -8,7 +8,7 @@ from .test_dedup import components_brute
 
 def test_stages_and_registration(spark, sf):
     names = [n for n, _ in corpus_pipeline.STAGES]
-    assert len(names) == 5 and {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in queries.QUERIES}
+    assert len(names) == 5 and {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in queries.QUERIES}
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     columns, kept = docs.columns, {}
     for name, stage in corpus_pipeline.STAGES[:-1]:
