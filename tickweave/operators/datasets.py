@@ -7,17 +7,19 @@ from pyspark.sql import functions as F
 
 from ..functions.coerce import finite
 from .asof import Side, asof_many, coalesce_context
+from .labels import BARRIER_LABEL_COLUMNS, RETURN_LABEL_COLUMNS
 from .windows import trend_at, vol_at
 
 #: The feature names and prefixes of market microstructure.
 MICRO_NAMES = ("bestBid", "bestAsk", "spreadPct", "imbalance", "microCompleteness")
 MICRO_PREFIXES = ("depth", "flow", "liq", "agg")
 LABEL_CODES = {"TP": 1, "SL": 0, "TIME": 2}
-#: Columns that are never features: keys, targets and anything known only after entry.
-#: Fixed values.
+#: The label columns that a return dataset carries.
+CARRIED = ("horizonMs", "returnPct", "midReturnPct", "longReturnPct", "shortReturnPct", "lagMs")
+#: Columns that are never features: keys, targets and anything that a label holds, as that is known only after entry.
 NOT_FEATURES = frozenset((
-    "type", "symbol", "snapshotId", "entryTime", "targetTime", "actualTargetTime", "horizonMs", "lagMs", "maxLagMs", "seq", "target", "targetField", "targetMode", "label", "labelLong", "labelShort", "exitTimeLong",
-    "exitTimeShort", "exitPriceLong", "exitPriceShort", "returnPct", "midReturnPct", "longReturnPct", "shortReturnPct", "absReturnPct", "tpBps", "slBps", "eventType", "source", "time", "prediction",
+    "type", "symbol", "snapshotId", "entryTime", "seq", "entrySeq", "target", "targetField", "targetMode", "label", "absReturnPct", "eventType", "source", "time", "prediction",
+    *RETURN_LABEL_COLUMNS, *BARRIER_LABEL_COLUMNS,
 ))
 
 
@@ -72,18 +74,18 @@ def target(mode: str = "return", field: str = "longReturnPct", vol_threshold_bps
 
 
 def build_dataset(snapshots: DataFrame, labels: DataFrame, features: list[str], mode: str = "all", min_micro: float = 0.25, target_mode: str = "return", target_field: str = "longReturnPct", vol_threshold_bps: float = 20.0) -> DataFrame:
-    """Snapshots (symbol, t, features) with their label, target and completeness. ``micro`` keeps rows of enough completeness, ``regime`` drops the micro features."""
-    s = snapshots.select("symbol", F.col("t").alias("entryTime"), *features)
-    s = s.withColumn("_mc", micro_completeness(s, features))
+    """Snapshots (symbol, t, features) with their label and target. ``micro`` keeps rows of enough completeness, ``regime`` drops the micro features; else ``microCompleteness`` is a feature, computed where it is not finite."""
+    s = snapshots.select("symbol", F.col("t").alias("entryTime"), *features, micro_completeness(snapshots.select(*features), features).alias("_mc"))
     if mode == "micro":
         s = s.filter(F.col("_mc") >= F.lit(min_micro))
-    if mode == "regime":
-        features = [f for f in features if not is_micro(f)]
-    cols = [c for c in ("horizonMs", "returnPct", "midReturnPct", "longReturnPct", "shortReturnPct", "lagMs", "entryPrice", "targetPrice") if c in labels.columns]
-    joined = s.join(labels.select("symbol", "entryTime", *cols), ["symbol", "entryTime"])
+    plain = [f for f in features if f not in CARRIED and f != "microCompleteness" and not (mode == "regime" and is_micro(f))]
+    cols = [c for c in CARRIED if c in labels.columns]
+    field = F.col(target_field) if target_field in labels.columns else F.lit(None).cast("double")
+    joined = s.select("symbol", "entryTime", *plain, "_mc").join(labels.select("symbol", "entryTime", *cols, field.alias("_field")), ["symbol", "entryTime"])
     size = F.abs(F.coalesce(finite(F.col("returnPct")), finite(F.col("midReturnPct"))))
-    joined = joined.withColumns({"target": target(target_mode, target_field, vol_threshold_bps), "targetField": F.lit(target_field), "targetMode": F.lit(target_mode), "absReturnPct": size}).filter("target IS NOT NULL AND absReturnPct IS NOT NULL")
-    return joined.select("symbol", "entryTime", *cols, "target", "targetField", "targetMode", "absReturnPct", *[f for f in features if f not in cols], F.col("_mc").alias("microCompletenessUsed"))
+    joined = joined.withColumns({"target": target(target_mode, "_field", vol_threshold_bps), "targetField": F.lit(target_field), "targetMode": F.lit(target_mode), "absReturnPct": size}).filter("target IS NOT NULL AND absReturnPct IS NOT NULL")
+    kept = [F.col(f) for f in plain] + ([] if mode == "regime" else [F.col("_mc").alias("microCompleteness")])
+    return joined.select("symbol", "entryTime", *cols, "target", "targetField", "targetMode", "absReturnPct", *kept)
 
 
 def unmatched(snapshots: DataFrame, labels: DataFrame) -> DataFrame:

@@ -42,8 +42,9 @@ def arrival(width_ms: int | None = None, by: list[str] | None = None, t: str = "
 def carried(df: DataFrame, names: list[str], by: list[str], order: list[str], bucket: str = "_bucket") -> DataFrame:
     """Fills each named column with its last non-null value at or before the row, over all time of its key: within the bucket, else from the nearest earlier bucket that has one.
 
-    Only one value a bucket crosses buckets.
+    Only one value a bucket crosses buckets. Rows are dealt by bucket once, for their own values and for the ends of the buckets.
     """
+    df = df.repartition(*by, bucket)
     inside = W.Window.partitionBy(*by, bucket).orderBy(*order).rowsBetween(W.Window.unboundedPreceding, 0)
     ends = df.groupBy(*by, bucket).agg(*[F.max_by(n, F.when(F.col(n).isNotNull(), F.struct(*order))).alias(n) for n in names])
     before = W.Window.partitionBy(*by).orderBy(bucket).rowsBetween(W.Window.unboundedPreceding, -1)

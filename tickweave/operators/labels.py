@@ -12,6 +12,14 @@ from ..functions.market import execution_returns, funding_adjust_pct, pick_price
 from .asof import asof_forward
 
 
+#: What labels hold besides their keys and what a snapshot holds too (``fundingRate``): known only after entry, or settings.
+RETURN_LABEL_COLUMNS = (
+    "entryPrice", "targetTime", "actualTargetTime", "lagMs", "maxLagMs", "entryBid", "entryAsk", "targetBid", "targetAsk", "targetPrice", "horizonMs", "horizonMin", "feeBps", "slippageBps", "costBpsPerSide",
+    "fundingAdjPct", "midReturnPct", "longReturnPct", "shortReturnPct", "returnPct",
+)
+BARRIER_LABEL_COLUMNS = ("entryPrice", "horizonMs", "tpBps", "slBps", "labelLong", "exitTimeLong", "exitPriceLong", "labelShort", "exitTimeShort", "exitPriceShort")
+
+
 def return_labels(snapshots: DataFrame, horizons_ms: list[int], max_lag_pct: float = 0.10, fee_bps: float = 4.0, slippage_bps: float = 2.0, require_bbo: bool = False, use_funding: bool = True) -> DataFrame:
     """For every snapshot (symbol, t, seq, price, bestBid, bestAsk, fundingRate) and horizon: the first snapshot at or after t + horizon, unless it lags by more
     than ``int(horizon * max_lag_pct)``, and the returns between the two. Prices must be positive at both ends; ``require_bbo`` asks for both quotes at both ends."""

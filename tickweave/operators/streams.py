@@ -1,6 +1,7 @@
-"""Trailing frames in one streamed pass: partitions sorted by key, bucket and time are read batch by batch, and only the rows of one frame are held.
+"""Trailing frames in one streamed pass: partitions sorted by key, bucket and time are read batch by batch, and the rows of one frame are held.
 
-Sums come from differences of running sums, first values and extremes from the frame's ends, found by binary search: work does not grow with the width of a frame.
+Sums come from differences of running sums, first values and extremes from the frame's ends, found by binary search. Held rows are gone through again only when as many new ones have come, so a row is touched twice on average
+however wide its frame is; at most two frames and one batch are in memory.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ def numbers(column: pa.ChunkedArray) -> np.ndarray:
     kind = column.type
     if pa.types.is_integer(kind) and not column.null_count or pa.types.is_boolean(kind):
         return column.to_numpy()
-    if pa.types.is_floating(kind) or pa.types.is_integer(kind):
+    if pa.types.is_floating(kind) or pa.types.is_integer(kind) or pa.types.is_decimal(kind):
         return column.cast(pa.float64()).to_numpy()
     return np.array(column.to_pylist(), object)
 
@@ -91,18 +92,21 @@ def framed(rows: DataFrame, width: int, compute: Compute, reads: list[str], adds
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + [adds])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+        held, fresh, waiting = None, [], 0
         for batch in batches:
             if not batch.num_rows:
                 continue
             table = pa.Table.from_batches([batch])
-            table = table.append_column("_new", pa.array(np.ones(table.num_rows, bool)))
-            table = table if held is None else pa.concat_tables([held, table])
-            done, held = _ready(table, by, t, width, compute, reads, True)
+            fresh.append(table.append_column("_new", pa.array(np.ones(table.num_rows, bool))))
+            waiting += table.num_rows
+            if held is not None and waiting < held.num_rows:
+                continue
+            done, held = _ready(pa.concat_tables([*([] if held is None else [held]), *fresh]).combine_chunks(), by, t, width, compute, reads, True)
+            fresh, waiting = [], 0
             for out in done:
                 yield from out.combine_chunks().to_batches()
-        if held is not None:
-            for out in _ready(held, by, t, width, compute, reads, False)[0]:
+        if held is not None or fresh:
+            for out in _ready(pa.concat_tables([*([] if held is None else [held]), *fresh]).combine_chunks(), by, t, width, compute, reads, False)[0]:
                 yield from out.combine_chunks().to_batches()
 
     return rows.repartition(*by, "_bucket").sortWithinPartitions(*by, "_bucket", *order).mapInArrow(run, schema)

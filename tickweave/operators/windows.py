@@ -7,11 +7,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
-from .framing import bucketed, frame, own_rows
+from .framing import bucketed
 from .streams import extremes, frame_ends, frame_starts, framed, sums
 
 RETENTION_MS = 1_800_000
 DAY_MS = 86_400_000
+#: Frames whose deviation is worked out about one number.
+STRETCH = 1024
 
 
 def suffix(ms: int) -> str:
@@ -37,25 +39,24 @@ def flow_columns(w: W.WindowSpec | None, prefix: str, tail: str = "") -> dict[st
 FLOW = ("BuyQty", "SellQty", "BuyCount", "SellCount", "VWAP", "BuySellRatio", "NetQty", "NetNotional")
 
 
-def _flows(windows: list[int], prefix: str):
-    """The eight flow metrics of trailing windows, from the columns of one key in time order."""
+def flow_arrays(t: np.ndarray, price: np.ndarray, qty: np.ndarray, buy: np.ndarray, sell: np.ndarray, windows: list[int], prefix: str) -> dict[str, np.ndarray]:
+    """The eight flow metrics of trailing windows at every row of one key in time order; rows of no quantity add nothing."""
+    notional = price * qty
+    parts = [np.where(buy, qty, 0), np.where(sell, qty, 0), buy.astype(float), sell.astype(float), notional, np.where(np.isnan(notional), 0, qty), np.where(buy, notional, 0), np.where(sell, notional, 0)]
+    hi, out = frame_ends(t), {}
+    for w in windows:
+        lo = frame_starts(t, w)
+        nb, ns = (np.rint(sums(x, lo, hi)).astype(np.int64) for x in parts[2:4])
+        bq, sq = (np.where(n > 0, sums(x, lo, hi), 0.0) for n, x in ((nb, parts[0]), (ns, parts[1])))
+        total, priced, bn, sn = (sums(x, lo, hi) for x in parts[4:])
+        with np.errstate(divide="ignore", invalid="ignore"):
+            values = (bq, sq, nb, ns, np.where(priced > 0, total / priced, np.nan), np.where(sq > 0, bq / sq, np.nan), bq - sq, bn - sn)
+        out |= {f"{prefix}{m}_{suffix(w)}": v for m, v in zip(FLOW, values)}
+    return out
 
-    def compute(c: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-        t, qty, buy, sell = c["t"], c["qty"], c["side"] == "BUY", c["side"] == "SELL"
-        notional = c["price"] * qty
-        parts = [np.where(buy, qty, 0), np.where(sell, qty, 0), buy.astype(float), sell.astype(float), notional, np.where(np.isnan(notional), 0, qty), np.where(buy, notional, 0), np.where(sell, notional, 0)]
-        hi, out = frame_ends(t), {}
-        for w in windows:
-            lo = frame_starts(t, w)
-            nb, ns = (np.rint(sums(x, lo, hi)).astype(np.int64) for x in parts[2:4])
-            bq, sq = (np.where(n > 0, sums(x, lo, hi), 0.0) for n, x in ((nb, parts[0]), (ns, parts[1])))
-            total, priced, bn, sn = (sums(x, lo, hi) for x in parts[4:])
-            with np.errstate(divide="ignore", invalid="ignore"):
-                values = (bq, sq, nb, ns, np.where(priced > 0, total / priced, np.nan), np.where(sq > 0, bq / sq, np.nan), bq - sq, bn - sn)
-            out |= {f"{prefix}{m}_{suffix(w)}": v for m, v in zip(FLOW, values)}
-        return out
 
-    return compute
+def _flows(windows: list[int], prefix: str):
+    return lambda c: flow_arrays(c["t"], c["price"].astype(float), c["qty"].astype(float), c["side"] == "BUY", c["side"] == "SELL", windows, prefix)
 
 
 def rolling_flow(trades: DataFrame, windows_ms: list[int], prefix: str = "flow", bucket_ms: int | None = None) -> DataFrame:
@@ -68,6 +69,27 @@ def rolling_flow(trades: DataFrame, windows_ms: list[int], prefix: str = "flow",
     return framed(rows, windows[-1], _flows(windows, prefix), ["t", "price", "qty", "side"], adds, ["t"])
 
 
+def _near_zero(change: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """Sample variances of ``change[lo:hi]`` (two numbers or more, NaN left out) where they are small against the squares: 0 where all are equal, else from sums about a number of each stretch of frames."""
+    known = np.flatnonzero(~np.isnan(change))
+    x = change[known]
+    lo, hi = np.searchsorted(known, lo), np.searchsorted(known, hi)
+    turns = np.concatenate([[0], np.cumsum(x[1:] != x[:-1])])
+    out = np.zeros(len(lo))
+    rest = np.flatnonzero(turns[hi - 1] != turns[lo])
+    for k in range(0, len(rest), STRETCH):
+        part = rest[k : k + STRETCH]
+        a, b = lo[part].min(), hi[part].max()
+        y = x[a:b] - np.median(x[a:b])
+        n = hi[part] - lo[part]
+        total, square = (sums(v, lo[part] - a, hi[part] - a) for v in (y, y * y))
+        var = (square - total * total / n) / (n - 1)
+        for j in np.flatnonzero(var < 1e-6 * square / n):  # still far from its stretch
+            var[j] = np.var(x[lo[part[j]] : hi[part[j]]], ddof=1)
+        out[part] = var
+    return out
+
+
 def _deviation(c: dict[str, np.ndarray], lo: np.ndarray, point: np.ndarray, least_prices: int) -> np.ndarray:
     """Sample deviation of percent changes between neighbouring points, for each row over the points from place ``lo`` up to the row itself."""
     price = c["price"][point].astype(float)
@@ -78,15 +100,14 @@ def _deviation(c: dict[str, np.ndarray], lo: np.ndarray, point: np.ndarray, leas
     change = np.concatenate([[np.nan], change]) if len(price) else np.zeros(0)
     known = ~np.isnan(change)
     shift = float(change[known].mean()) if known.any() else 0.0
-    inside = lambda x: sums(x, np.minimum(first + 1, upto), upto)  # noqa: E731  a change belongs to its later point
+    start = np.minimum(first + 1, upto)  # a change belongs to its later point
+    inside = lambda x: sums(x, start, upto)
     n = np.rint(inside(known.astype(float))).astype(int)
     total, square = inside(change - shift), inside((change - shift) ** 2)
     with np.errstate(divide="ignore", invalid="ignore"):
         var = (square - total * total / n) / (n - 1)
-        near = (n > 1) & (var < 1e-6 * np.maximum(square / n, 1e-6))  # too small against the sums to trust the difference
-    for k in np.flatnonzero(near):
-        x = change[first[k] + 1 : upto[k]]
-        var[k] = np.var(x[~np.isnan(x)], ddof=1)
+        near = np.flatnonzero((n > 1) & (var < 1e-6 * np.maximum(square / n, 1e-6)))  # too small against the sums to trust the difference
+    var[near] = _near_zero(change, start[near], upto[near])
     return np.where((n >= 3) & (upto - first >= least_prices), np.sqrt(np.maximum(var, 0)), np.nan)
 
 
@@ -123,12 +144,17 @@ def vol_at(ticks: DataFrame, prices: DataFrame, name: str, window_ms: int, least
     return rows.filter("_tick").select("symbol", "t", f"vol{name}")
 
 
+def with_oldest(prices: DataFrame, retention_ms: int = RETENTION_MS) -> DataFrame:
+    """Prices (symbol, t, seq, price) with the oldest price retained at each, ``_old``."""
+    rows = bucketed(prices.select("symbol", "t", "seq", F.col("price").cast("double").alias("price")), retention_ms)
+    return framed(rows, retention_ms, lambda c: {"_old": c["price"].astype(float)[frame_starts(c["t"], retention_ms)]}, ["t", "price"], "_old double", ["t", "seq", "price"])
+
+
 def trend_at(ticks: DataFrame, prices: DataFrame, name: str, window_ms: int, retention_ms: int = RETENTION_MS, fallback: bool = True) -> DataFrame:
     """Trend at arbitrary times (symbol, t): current price against the first one in the window; when all are older, against the oldest retained by the last event, or (``fallback`` false) null."""
     from .asof import asof_backward
 
-    oldest = bucketed(prices, retention_ms).withColumn("_old", F.min(F.struct("t", "seq", "price")).over(frame(retention_ms))["price"])
-    got = asof_backward(ticks, own_rows(oldest), ["price", "_old", "t"], prefix="_c_")
+    got = asof_backward(ticks, with_oldest(prices, retention_ms), ["price", "_old", "t"], prefix="_c_")
     marks = prices.select("symbol", F.col("t").alias("_pt"), "seq", F.col("price").alias("_pp"))
     got = got.withColumn("_from", F.col("t") - window_ms)
     neg = marks.withColumns({"_nt": -F.col("_pt"), "_ns": -F.col("seq")})
@@ -158,7 +184,7 @@ def day_stats(bars: DataFrame, t: str = "t", day_ms: int = DAY_MS) -> DataFrame:
 def deltas(snapshots: DataFrame, names: list[str], by: list[str] = ["symbol"], t: str = "t", seq: str = "seq", exclude_age: bool = True, bucket_ms: int = DAY_MS) -> DataFrame:  # noqa: B006
     """Adds ``{name}Delta``: difference from the previous snapshot of the key where both are finite. With ``exclude_age`` the deltas of ages and completeness are null."""
     order = [t, seq] if seq in snapshots.columns else [t]
-    rows = snapshots.withColumn("_bucket", F.floor(F.col(t) / F.lit(bucket_ms)).cast("bigint"))
+    rows = snapshots.withColumn("_bucket", F.floor(F.col(t) / F.lit(bucket_ms)).cast("bigint")).repartition(*by, "_bucket")
     inside = W.Window.partitionBy(*by, "_bucket").orderBy(*order)
     here = F.struct(*[F.col(n).cast("double").alias(n) for n in names])
     rows = rows.withColumn("_prev", F.lag(here).over(inside))

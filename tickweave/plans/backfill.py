@@ -36,6 +36,6 @@ def backfill(bars: DataFrame, funding: DataFrame | None = None, open_interest: D
     have = set(out.columns)
     share = lambda keys: completeness([F.col(k) if k in have else F.lit(None) for k in keys])
     out = out.withColumns({"featureCompleteness": share(COMPLETENESS_KEYS), "microCompleteness": share(MICRO_KEYS)})
-    names = [c for c, kind in out.dtypes if kind in ("double", "bigint") and c not in ("t", "price")]
+    names = [c for c, kind in out.dtypes if kind in ("double", "bigint") and c != "t"]
     out = deltas(out, names, exclude_age=False).withColumn("source", F.lit("backfill"))
-    return out.withColumns({c: F.lit(None).cast("double") for c in EMPTY})
+    return out.withColumns({c + d: F.lit(None).cast("double") for c in EMPTY for d in ("", "Delta")})

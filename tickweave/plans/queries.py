@@ -154,7 +154,7 @@ FROM lab JOIN s ON lab.symbol = s.symbol AND lab."entryTime" = s.t JOIN ev ON ev
 def p14_dataset(spark: SparkSession, sf: str) -> DataFrame:
     lab = _labels(spark, sf).filter(F.col("horizonMs") == HOUR)
     got = datasets.build_dataset(_wide(spark, sf), lab, ["qty", "bestBid", "bestAsk"], mode="micro", target_mode="vol_binary", vol_threshold_bps=2000.0)
-    return got.select("symbol", "entryTime", "target", "qty", F.round("microCompletenessUsed", 6).alias("mc"))
+    return got.select("symbol", "entryTime", "target", "qty", F.round("microCompleteness", 6).alias("mc"))
 
 
 @query(f"""{_LABELS} SELECT s.symbol, count(*) AS n FROM s WHERE NOT EXISTS (SELECT 1 FROM lab WHERE lab.symbol = s.symbol AND lab."entryTime" = s.t AND lab."horizonMs" = 3600000) GROUP BY s.symbol""")

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.market import basis_pct, completeness, imbalance, spread_pct
 from ..operators.asof import Side, asof_many
-from ..operators.windows import deltas, rolling_flow, suffix, trend_at, vol_at
+from ..operators.ticks import FLOWS, Trailing, trailing_at
+from ..operators.windows import FLOW, deltas, rolling_flow, suffix, with_oldest
 
 #: The keys that make up the two completeness ratios.
 COMPLETENESS_KEYS = (
@@ -40,7 +41,7 @@ def flow_at(ticks: DataFrame, trades: DataFrame, windows_ms: list[int], prefix:
     return got.select("symbol", "t", *names)
 
 
-#: The tables of a snapshot: their columns (own name: name in the snapshot) and the name of their age.
+#: The tables of a snapshot: their columns (own name: name in the snapshot) and the name of their age.
 SIDES = {
     "mark": ({c: c for c in ("markPrice", "indexPrice", "fundingRate", "nextFundingTime")}, "markAgeMs"), "book": ({c: c for c in ("bestBid", "bestAsk", "bidQty", "askQty")}, "bookAgeMs"),
     "openInterest": ({"openInterest": "openInterest"}, "openInterestAgeMs"), "stats24h": ({c: c for c in ("last", "changePct24h", "high24h", "low24h", "volume24h", "quoteVolume24h")}, "stats24hAgeMs"),
@@ -49,49 +50,69 @@ SIDES = {
 }
 
 
+PRICES = ("markPrice", "bestBid", "bestAsk", "last", "kline1mClose", "kline5mClose")
+SHORT = {"trades": "agg", "liquidations": "liq"}
+
+
+def derived(rows: DataFrame, windows_ms: list[int], default_window_ms: int | None = None, prefix: str = "") -> DataFrame:
+    """Raw columns of snapshots (each name after ``prefix``) with all that follows from them: price, spread, imbalance, basis, default flows, completeness."""
+    c = lambda n: F.col(prefix + n)
+    out = rows.withColumns({
+        prefix + "price": F.coalesce(*[c(n) for n in PRICES]).cast("double"), prefix + "spreadPct": spread_pct(c("bestBid"), c("bestAsk")), prefix + "imbalance": imbalance(c("bidQty"), c("askQty")),
+        prefix + "basisPct": basis_pct(c("markPrice"), c("indexPrice")),
+    })
+    tail = "_" + suffix(default_window_ms or windows_ms[0])
+    out = out.withColumns({f"{prefix}{SHORT[f]}{m}": c(f"{FLOWS[f][1]}{m}{tail}") for f in FLOWS for m in FLOW})
+    have = {n.removeprefix(prefix) for n in out.columns if n.startswith(prefix)}
+    out = out.withColumns({prefix + n: completeness([c(k) if k in have else F.lit(None) for k in keys]) for n, keys in (("featureCompleteness", COMPLETENESS_KEYS), ("microCompleteness", MICRO_KEYS))})
+    return out.drop(*[prefix + n for n in ("last", "bidQty", "askQty")])
+
+
+def trend(name: str, last: Column, old: Column) -> Column:
+    """Percent change to the last price from the first one inside the window, or else from the oldest that was retained with the last one."""
+    start = F.coalesce(F.col(f"first{name}"), old)
+    return F.when(start > 0, (last - start) / start * 100)
+
+
 def build_snapshots(ticks: DataFrame, tables: dict[str, DataFrame], windows_ms: list[int], trends_ms: dict[str, int], default_window_ms: int | None = None, context: list[str] | None = None, context_ms: dict[str, int] | None = None) -> DataFrame:
     """Snapshots at the ticks from the tables given: book, mark, openInterest, stats24h, kline1m, kline5m, depth, trades, liquidations, prices.
 
     ``context``: symbols whose latest price, trend and volatility (windows ``context_ms``) every snapshot gets, from ``prices``. Columns of tables that are not given are null.
+
+    Latest values come from one as-of pass over all tables, trailing features from one pass over all moves, context from the same two over its symbols; then one join for each, and the deltas.
     """
     known = {n: v for n, v in SIDES.items() if n in tables}
-    looked = [Side(tables[n].filter("qty > 0") if n in ("trades", "liquidations") else tables[n], columns, age=age) for n, (columns, age) in known.items()]
-    out = asof_many(ticks, looked)
-    missing = [v for n, v in SIDES.items() if n not in known]
-    out = out.withColumns({c: F.lit(None).cast("double") for columns, _ in missing for c in columns.values()} | {age: F.lit(None).cast("bigint") for _, age in missing})
-    price = F.coalesce("markPrice", "bestBid", "bestAsk", "last", "kline1mClose", "kline5mClose")
-    out = out.withColumn("price", price.cast("double")).filter("price IS NOT NULL").drop("last")
-    out = out.withColumns({"spreadPct": spread_pct(F.col("bestBid"), F.col("bestAsk")), "imbalance": imbalance(F.col("bidQty"), F.col("askQty")), "basisPct": basis_pct(F.col("markPrice"), F.col("indexPrice"))}).drop("bidQty", "askQty")
-    for name, prefix, short in (("trades", "flow", "agg"), ("liquidations", "liq", "liq")):
-        if name in tables:
-            out = out.join(flow_at(ticks.select("symbol", "t"), tables[name], windows_ms, prefix), ["symbol", "t"])
-            tail = "_" + suffix(default_window_ms or windows_ms[0])
-            out = out.withColumns({f"{short}{m}": F.col(f"{prefix}{m}{tail}") for m in ("BuyQty", "SellQty", "BuyCount", "SellCount", "VWAP", "BuySellRatio", "NetQty", "NetNotional")})
+    looked = [Side(tables[n].filter("qty > 0") if n in FLOWS else tables[n], columns, age=age) for n, (columns, age) in known.items()]
     if "prices" in tables:
-        for name, w in trends_ms.items():
-            at = ticks.select("symbol", "t")
-            out = out.join(trend_at(at, tables["prices"], name, w), ["symbol", "t"]).join(vol_at(at, tables["prices"], name, w), ["symbol", "t"])
-        for s in context or []:
-            out = out.join(_context(ticks, tables["prices"], s, context_ms or {}), "t", "left")
-    have = set(out.columns)
-    out = out.withColumns({"featureCompleteness": _share(have, COMPLETENESS_KEYS), "microCompleteness": _share(have, MICRO_KEYS)})
-    numeric = [c for c, kind in out.dtypes if kind in ("double", "bigint", "int") and c not in ("t", "price")]
-    return deltas(out, numeric)
-
-
-def _context(ticks: DataFrame, prices: DataFrame, symbol: str, windows_ms: dict[str, int]) -> DataFrame:
-    """t, and one symbol's latest price, trends and volatilities at each distinct time."""
-    own = prices.filter(F.col("symbol") == symbol)
-    at = ticks.select("t").distinct().withColumn("symbol", F.lit(symbol))
-    out = latest_value(at, own, {"price": f"ctx_{symbol}_price"})
-    for name, w in windows_ms.items():
-        moved = trend_at(at, own, "_", w).select("symbol", "t", F.col("trend_").alias(f"ctx_{symbol}_trend_{name}"))
-        out = out.join(moved, ["symbol", "t"]).join(vol_at(at, own, "_", w).withColumnRenamed("vol_", f"ctx_{symbol}_vol_{name}"), ["symbol", "t"])
-    return out.drop("symbol")
-
-
-def _share(have: set[str], keys: list[str]):
-    return completeness([F.col(k) if k in have else F.lit(None) for k in keys])
+        looked.append(Side(with_oldest(tables["prices"].filter("price IS NOT NULL")), {"price": "_last", "_old": "_old"}))
+    out = asof_many(ticks, looked)
+    what = Trailing(tuple(windows_ms), trends_ms if "prices" in tables else {}, tuple(f for f in FLOWS if f in tables))
+    if what.columns:
+        out = out.join(trailing_at(ticks, tables, what), ["symbol", "t"])
+    for name in what.trends_ms:
+        out = out.withColumn(f"trend{name}", trend(name, F.col("_last"), F.col("_old"))).drop(f"first{name}")
+    if "prices" in tables and context:
+        out = out.join(_context(ticks, tables["prices"], context, context_ms or {}), "t", "left")
+    whole = Trailing(tuple(windows_ms), trends_ms)
+    missing = {c: "double" for columns, _ in SIDES.values() for c in columns.values()} | {age: "bigint" for _, age in SIDES.values()} | {c: kind for c, kind in whole.columns.items() if not c.startswith("first")} | {f"trend{n}": "double" for n in trends_ms}
+    out = out.drop("_last", "_old").withColumns({c: F.lit(None).cast(kind) for c, kind in missing.items() if c not in out.columns})
+    out = derived(out, windows_ms, default_window_ms).filter("price IS NOT NULL")
+    return deltas(out, delta_names(out))
+
+
+def delta_names(rows: DataFrame) -> list[str]:
+    return [c for c, kind in rows.dtypes if kind in ("double", "bigint", "int") and c != "t"]
+
+
+def _context(ticks: DataFrame, prices: DataFrame, symbols: list[str], windows_ms: dict[str, int]) -> DataFrame:
+    """t, and the latest price, trends and volatilities of the context symbols at each distinct time."""
+    own = prices.filter(F.col("symbol").isin(symbols) & F.col("price").isNotNull())
+    at = ticks.select("t").distinct().withColumn("symbol", F.explode(F.array(*[F.lit(s) for s in symbols])))
+    rows = asof_many(at, [Side(with_oldest(own), {"price": "price", "_old": "_old"})])
+    if windows_ms:
+        rows = rows.join(trailing_at(at, {"prices": own}, Trailing((), windows_ms, ())), ["symbol", "t"])
+    shown = {"price": F.col("price")} | {f"{k}_{n}": v for n in windows_ms for k, v in (("trend", trend(n, F.col("price"), F.col("_old"))), ("vol", F.col(f"vol{n}")))}
+    return rows.groupBy("t").agg(*[F.max(F.when(F.col("symbol") == s, v)).alias(f"ctx_{s}_{n}") for s in symbols for n, v in shown.items()])
 
 
 def nested(snapshots: DataFrame, source: str | None = None) -> DataFrame:
