@@ -36,7 +36,7 @@ WORDS = 5
 PERCENT = 80
 BLOCK = 500
 ANCHORS = 4
-ENTRIES_A_PART = 1_000_000
+ENTRIES_A_PART = 500_000
 LOOK = 3  # eighths of the shingles that the first look takes
 BROADCAST_IDS = 2_000_000
 
@@ -104,7 +104,7 @@ def _send(classes: list[int], sizes: list[int], sets: list[np.ndarray], ranges:
         yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows), PACKED)], schema=PACKED)
 
 
-def _emit(words: int, ranges: int, look: bool, at_once: int = 2_000_000):
+def _emit(words: int, ranges: int, look: bool, at_once: int = 500_000):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: set[int] = set()  # bounded: cleared when large
         classes, sizes, sets, held = [], [], [], 0
