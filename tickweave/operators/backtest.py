@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
 from ..functions.coerce import finite
 from ..functions.market import select_return
+from .greedy import greedy
 
 
 def signals(rows: DataFrame, long_threshold: float = 0.0, short_threshold: float = 0.0, short_enabled: bool = True, extra_cost_bps: float = 0.0) -> DataFrame:
@@ -23,26 +21,13 @@ def signals(rows: DataFrame, long_threshold: float = 0.0, short_threshold: float
     return got.withColumn("realizedPct", finite(realized)).filter("realizedPct IS NOT NULL").withColumn("exitTime", F.col("entryTime") + F.col("horizonMs"))
 
 
-def _greedy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows come sorted by symbol and time; a position blocks its symbol until its exit (an entry at the exit is allowed). State: one time."""
-    symbol, free = None, None
-    for rows in batches:
-        keep = []
-        for s, entry, exit_ in zip(rows["symbol"], rows["entryTime"], rows["exitTime"]):
-            if s != symbol:
-                symbol, free = s, None
-            ok = free is None or entry >= free
-            keep.append(ok)
-            if ok:
-                free = exit_
-        yield rows[keep]
-
-
-def non_overlapping(candidates: DataFrame) -> DataFrame:
-    """Greedy selection in time order, streamed through sorted partitions: no symbol is held in memory."""
+def non_overlapping(candidates: DataFrame, longest_ms: int | None = None, bucket_ms: int | None = None) -> DataFrame:
+    """Greedy selection in time order: a position blocks its symbol until its exit (an entry at the exit is allowed). ``longest_ms`` bounds the horizons; where it is not given it is looked up."""
     names = ["symbol", "action", "entryTime", "exitTime", "prediction", "realizedPct", "seq"]
-    rows = candidates.select(*names).repartition("symbol").sortWithinPartitions("symbol", "entryTime", "seq")
-    return rows.mapInPandas(_greedy, rows.schema)
+    rows = candidates.select(*names)
+    if longest_ms is None:
+        longest_ms = rows.agg(F.max(F.col("exitTime") - F.col("entryTime"))).first()[0] or 1
+    return greedy(rows, "entryTime", "exitTime", ["seq"], longest_ms, bucket_ms=bucket_ms).filter("picked").drop("picked")
 
 
 def summary(trades: DataFrame) -> DataFrame:
