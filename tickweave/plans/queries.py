@@ -407,14 +407,14 @@ def t2_snapshots(spark: SparkSession, sf: str) -> DataFrame:
     x = trades(spark, sf)
     quotes = _wide(spark, sf).withColumns({"bidQty": F.col("qty"), "askQty": F.col("qty") + 1})
     parts = {"book": quotes, "trades": x, "prices": x.select("symbol", "t", "seq", "price"), "kline1m": x.select("symbol", "t", "seq", F.col("price").alias("close"), F.col("qty").alias("volume"))}
-    return snapshots.build_snapshots(_all_ticks(spark, sf), parts, [HOUR, 6 * HOUR], {"5m": HOUR, "15m": 3 * HOUR}, context=["view"], context_ms={"180m": 3 * HOUR})
+    return r6(snapshots.build_snapshots(_all_ticks(spark, sf), parts, [HOUR, 6 * HOUR], {"5m": HOUR, "15m": 3 * HOUR}, context=["view"], context_ms={"180m": 3 * HOUR}))
 
 
 @query()
 def backfill_snapshots(spark: SparkSession, sf: str) -> DataFrame:
     bars = trades(spark, sf).select("symbol", F.col("t").alias("openTime"), (F.col("t") + 59_999).alias("closeTime"), F.col("price").alias("open"), (F.col("price") + 1).alias("high"), (F.col("price") - 1).alias("low"), F.col("price").alias("close"), F.col("qty").alias("volume"), F.lit(None).cast("double").alias("quoteVolume"))
     fund = trades(spark, sf).select("symbol", F.col("t").alias("time"), (F.col("qty") / 1e4).alias("fundingRate"), (F.col("t") + 8 * HOUR).alias("nextFundingTime"))
-    return history.backfill(bars, funding=fund, mark=bars, index=bars)
+    return r6(history.backfill(bars, funding=fund, mark=bars, index=bars))
 
 
 @query()
@@ -422,7 +422,7 @@ def t4_depth_replay(spark: SparkSession, sf: str) -> DataFrame:
     x = trades(spark, sf)
     level = lambda p: F.array(F.array(p.cast("string"), F.col("qty").cast("string")))
     ev = x.select("symbol", "t", "seq", F.when(F.col("seq") % 97 == 0, "snapshot").otherwise("event").alias("kind"), F.col("seq").alias("firstId"), F.col("seq").alias("finalId"), F.lit(None).cast("bigint").alias("prevId"), (F.col("seq") + 20).alias("lastUpdateId"), level(F.round(F.col("price"))).alias("b"), level(F.round(F.col("price")) + 1).alias("a"))
-    return book.replay(ev)
+    return r6(book.replay(ev))
 
 
 @query(f"""{_GRID}, c AS (SELECT t, price FROM ev WHERE symbol='view'), l AS (SELECT DISTINCT k.t, c.t AS ct, c.price AS p FROM k ASOF LEFT JOIN c ON k.t >= c.t),
@@ -457,3 +457,6 @@ def p16_require_quotes(spark: SparkSession, sf: str) -> DataFrame:
 def k1_partition_keys(spark: SparkSession, sf: str) -> DataFrame:
     t = F.col("t")
     return trades(spark, sf).select("seq", coerce.date_key(t).alias("date"), coerce.hour_key(t).alias("hour"), F.col("symbol").alias("stream"))
+
+
+from . import span_queries  # noqa: E402, F401  registers the queries over the whole span, which take the grid and the SQL of those above
