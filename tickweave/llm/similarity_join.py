@@ -28,8 +28,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import connected_components, parts_for, stored
+from .common import connected_components, few, parts_for, stored
 from .hashing import mix, shingle_sets
 
 WORDS = 5
@@ -390,8 +391,8 @@ def _again(large: DataFrame, links: DataFrame, block: int) -> DataFrame:
     return pairs.select("cls", "root", "comp", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"))
 
 
-def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, block: int = BLOCK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id (the smallest doc_id reachable over links, itself included)."""
+def _components(docs: DataFrame, words: int, percent: int, block: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n_shingles, cls of every row), and (cls, root, component_id of every class)."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     sized = stored(rows.mapInArrow(_sizes(words), "doc_id long, n_shingles long, cls long, looked long"), "sizes")
@@ -431,13 +432,47 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, bl
     classes = sized.filter("n_shingles > 0").groupBy("cls").agg(F.min("doc_id").alias("least"))
     named = stored(classes.join(joined, classes["cls"] == joined["node"], "left").select("cls", F.coalesce("root", "cls").alias("root"), "least"), "classes")
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    ids = stored(named.join(least, "root").select("cls", "component_id"), "components")
+    return sized, stored(named.join(least, "root").select("cls", "root", "component_id"), "components")
+
+
+def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, block: int = BLOCK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id (the smallest doc_id reachable over links, itself included)."""
+    sized, ids = _components(docs, words, percent, block, id_col, text_col)
     alone = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return sized.join(ids, "cls", "left").select("doc_id", "n_shingles", alone.alias("component_id"))
+    return sized.join(ids.drop("root"), "cls", "left").select("doc_id", "n_shingles", alone.alias("component_id"))
+
+
+def _named(words: int):
+    """(row, text) with the size and the class of the text's set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [(len(s), class_of(s)) for s in shingle_sets(batch.column(1), words)]
+            n, c = zip(*sets) if sets else ((), ())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(n, pa.int64()), pa.array(c, pa.int64())], names=["row", "text", "n", "cls"])
+
+    return run
 
 
-def keep_one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay when one document of each component does (its smallest doc_id), all columns."""
-    found = jaccard_join(docs, words, percent, id_col=id_col, text_col=text_col)
-    stay = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_stays"))
-    return docs.join(stay, docs[id_col].eqNullSafe(stay["_stays"]), "left_semi")
+def keep_one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, block: int = BLOCK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay when one document of each component does (its smallest doc_id), all columns; rows without words all stay.
+
+    Rows that share an id, or have none, are told apart by their texts: of those that carry a component's smallest id the one with the first text stays.
+    """
+    sized, ids = _components(docs, words, percent, block, id_col, text_col)
+    twice = stored(sized.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("_twice")), "twice")
+    vague = not twice.isEmpty() or not sized.filter("doc_id IS NULL").isEmpty()
+    found = sized.join(ids, "cls", "left").filter((F.col("n_shingles") == 0) | (F.col("doc_id") == F.col("component_id")))
+    stay = found.select(F.col("doc_id").alias("_stays"))
+    if vague:
+        twice = few(twice)
+        stay = stay.join(twice, stay["_stays"] == twice["_twice"], "left_anti")
+    clear = docs.join(stay, docs[id_col] == stay["_stays"], "left_semi")
+    if not vague:
+        return clear
+    own = F.col(f"row.{id_col}").cast("long")
+    rows = docs.join(twice, docs[id_col] == twice["_twice"], "left_semi").unionByName(docs.filter(F.col(id_col).isNull()))
+    schema = T.StructType([T.StructField("row", docs.schema), T.StructField("text", T.StringType()), T.StructField("n", T.LongType()), T.StructField("cls", T.LongType())])
+    rows = rows.select(F.struct(*docs.columns).alias("row"), F.col(text_col).alias("text")).mapInArrow(_named(words), schema)
+    first = rows.filter("n > 0").join(ids, "cls").filter(own.eqNullSafe(F.col("component_id"))).groupBy("root").agg(F.min_by("row", "text").alias("row"))
+    return clear.unionByName(rows.filter("n = 0").select("row.*")).unionByName(first.select("row.*"))
