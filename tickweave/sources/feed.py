@@ -80,4 +80,4 @@ class FeedSource(DataSource):
         return "seq bigint, value string"
 
     def streamReader(self, schema) -> FeedReader:
-        return FeedReader(dict(self.options))
+        return FeedReader(self.options)

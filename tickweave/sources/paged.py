@@ -67,4 +67,4 @@ class PagedSource(DataSource):
         return "symbol string, time bigint, value double"
 
     def reader(self, schema) -> PagedReader:
-        return PagedReader(dict(self.options), schema.fieldNames())
+        return PagedReader(self.options, schema.fieldNames())

@@ -69,12 +69,32 @@ def dataset(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.json(path)
 
 
-def tail(spark: SparkSession, path: str, glob: str, files: int = 6, lines: int = 500) -> DataFrame:
-    """The last ``lines`` lines of the last ``files`` files (by path): file, line."""
-    rows = _lines(spark, path, glob)
-    names = rows.select("file").distinct().orderBy(F.desc("file")).limit(files)
-    last = W.Window.partitionBy("file").orderBy(F.desc("seq"))
-    return rows.join(names, "file", "left_semi").withColumn("_n", F.row_number().over(last)).filter(F.col("_n") <= lines).select("file", "line")
+def tail(spark: SparkSession, path: str, glob: str, files: int = 6, lines: int = 500, block: int = 1 << 16) -> DataFrame:
+    """The last ``lines`` lines of the last ``files`` files (by path): file, line. Files are only listed; of those wanted, blocks are read backwards from the end until enough line ends are found.
+
+    What is read, through the driver, is bounded by files x lines asked for, whatever the size of the files.
+    """
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path).select("path", "length")
+    last = listed.orderBy(F.desc("path")).limit(files).collect()
+    rows = [(r["path"], line) for r in last for line in _last_lines(spark, r["path"], r["length"], lines, block)]
+    return spark.createDataFrame(rows, "file string, line string")
+
+
+def _last_lines(spark: SparkSession, path: str, length: int, lines: int, block: int) -> list[str]:
+    jvm = spark._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    stream = where.getFileSystem(spark._jsc.hadoopConfiguration()).open(where)
+    try:
+        start, data = length, b""
+        while start > 0 and data.count(b"\n") <= lines:
+            size = min(block, start)
+            start -= size
+            stream.seek(start)
+            data = bytes(jvm.org.apache.commons.io.IOUtils.toByteArray(stream, size)) + data
+    finally:
+        stream.close()
+    found = data.removesuffix(b"\n").split(b"\n") if data else []
+    return [x.removesuffix(b"\r").decode(errors="replace") for x in found[-lines:]]
 
 
 def symbols(spark: SparkSession, path: str, pattern: str = "^[A-Z0-9]+USDT$") -> DataFrame:
