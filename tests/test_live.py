@@ -140,3 +140,47 @@ def test_progress_of_a_query_is_a_table(spark, tmp_path):
         spark.streams.removeListener(listener)
     got = progress.throughput(progress.read_progress(spark, f"{tmp_path}/progress"), 60).collect()
     assert sum(r["rows"] for r in got) == 300 and all(r["query"] == "counted" and r["rowsASecond"] > 0 for r in got)
+
+
+def flaky(channels):
+    """A socket that drops twice: five messages, a failure; five more, an end; then silence. What it has sent is gone."""
+    mark = f"/tmp/tickweave-socket-{os.getppid()}-{channels[0]}"
+    n = int(open(mark).read()) if os.path.exists(mark) else 0
+    with open(mark, "w") as f:
+        f.write(str(n + 5))
+    for k in range(n, min(n + 5, 12)):
+        yield json.dumps({"stream": channels[0], "data": {"e": "aggTrade", "s": channels[0].split("@")[0].upper(), "T": k, "p": str(k), "q": "1", "m": False}}) if k != 7 else '{"broken'
+    if n == 0:
+        raise ConnectionError("dropped")
+    while n >= 10:
+        time.sleep(0.05)
+        return
+
+
+def test_socket_messages_are_spooled_once(spark, tmp_path):
+    from tickweave.operators import projections
+    from tickweave.sources import spool
+
+    for f in os.listdir("/tmp"):
+        if f.startswith("tickweave-socket-"):
+            os.remove(f"/tmp/{f}")
+    folder = f"{tmp_path}/spool"
+    opened = spool.start(spark, ["a@aggTrade", "b@aggTrade", "c@aggTrade"], folder, "tests.test_live:flaky", per_connection=1, seconds=3, delay_s=0.2).collect()
+    assert len(opened) == 3 and all(r["opened"] >= 3 for r in opened)
+    left = spool.Spool(folder, 9)
+    left.put("one")
+    left.put("two")
+    left.file.write('{"connection": 9, "seq": 2, "va')
+    left.file.flush()  # dies here
+    again = spool.Spool(folder, 9)
+    assert again.seq == 2
+    again.put("three")
+    again.roll()
+    for _ in range(2):  # over a restart
+        q = spool.messages(spark, folder).writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start()
+        q.awaitTermination()
+    got = spark.read.parquet(f"{tmp_path}/out")
+    assert got.count() == 39 == got.select("connection", "seq").distinct().count()
+    assert [r["value"] for r in got.filter("connection = 9").orderBy("seq").collect()] == ["one", "two", "three"]
+    trades = projections.agg_trade(projections.route(got.filter("connection < 9")), F.lit(0))
+    assert sorted((r["symbol"], r["price"]) for r in trades.collect()) == [(s, float(k)) for s in "ABC" for k in range(12) if k != 7]

@@ -2,40 +2,55 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..operators.streams import frame_starts
+from ..operators.windows import flow_arrays, suffix
+
 OUT = "symbol string, t bigint, seq bigint, price double, buyQty double, sellQty double, netQty double, vwap double, trendPct double"
-STATE = "events string"
+STATE = "t array<bigint>, price array<double>, qty array<double>, buy array<int>"
 
 
-def trailing(window_ms: int):
-    """State function: the trades of the last ``window_ms`` of one symbol, in event-time order within a micro-batch; emits a row a trade."""
+def trailing(window_ms: int, idle_ms: int | None):
+    """State function: the trades of the last ``window_ms`` of one symbol as arrays; emits a row a trade. A batch's trades are worked out at once, with what is held; one that comes late finds its place among what is held."""
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        held = json.loads(state.get[0]) if state.exists else []
+        if state.hasTimedOut:
+            state.remove()
+            return
         rows = pd.concat(list(batches)).sort_values(["t", "seq"], kind="stable")
-        out = []
-        for t, seq, price, qty, side in zip(rows["t"], rows["seq"], rows["price"], rows["qty"], rows["side"]):
-            held.append([int(t), float(price), float(qty), side])
-            held = [e for e in held if e[0] >= t - window_ms]
-            buy, sell = sum(e[2] for e in held if e[3] == "BUY"), sum(e[2] for e in held if e[3] == "SELL")
-            total, first = buy + sell, held[0][1]
-            out.append((key[0], int(t), int(seq), float(price), buy, sell, buy - sell, sum(e[1] * e[2] for e in held) / total if total > 0 else None, (price - first) / first * 100 if first > 0 else None))
-        state.update((json.dumps(held),))
-        yield pd.DataFrame(out, columns=[c.split()[0] for c in OUT.split(", ")]).astype({"vwap": "float64", "trendPct": "float64"})
+        side = rows["side"].to_numpy()
+        new = [rows["t"].to_numpy(np.int64), rows["price"].to_numpy(float), rows["qty"].to_numpy(float), np.where(side == "BUY", 1, np.where(side == "SELL", 0, -1))]
+        held = [np.array(x, y.dtype) for x, y in zip(state.get, new)] if state.exists else [y[:0] for y in new]
+        fresh = np.concatenate([np.zeros(len(held[0]), bool), np.ones(len(rows), bool)])
+        order = np.argsort(np.concatenate([held[0], new[0]]), kind="stable")
+        t, price, qty, buy = (np.concatenate([x, y])[order] for x, y in zip(held, new))
+        got = flow_arrays(t, price, qty, buy == 1, buy == 0, [window_ms], "")
+        first = price[frame_starts(t, window_ms)]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            trend = np.where(first > 0, (price - first) / first * 100, np.nan)
+        at, tail = np.flatnonzero(fresh[order]), suffix(window_ms)
+        keep = t >= t[-1] - window_ms
+        state.update(tuple(x[keep].tolist() for x in (t, price, qty, buy)))
+        if idle_ms is not None:
+            state.setTimeoutDuration(idle_ms)
+        yield pd.DataFrame({"symbol": key[0], "t": t[at], "seq": rows["seq"].to_numpy(), "price": price[at], **{n: got[f"{m}_{tail}"][at] for n, m in (("buyQty", "BuyQty"), ("sellQty", "SellQty"), ("netQty", "NetQty"), ("vwap", "VWAP"))}, "trendPct": trend[at]})
 
     return step
 
 
-def trailing_flow(trades: DataFrame, window_ms: int) -> DataFrame:
-    """A stream of trades (symbol, t, seq, price, qty, side) -> trailing metrics at each trade."""
-    return trades.filter("qty > 0").groupBy("symbol").applyInPandasWithState(trailing(window_ms), OUT, STATE, "append", GroupStateTimeout.NoTimeout)
+def trailing_flow(trades: DataFrame, window_ms: int, idle_ms: int | None = None) -> DataFrame:
+    """A stream of trades (symbol, t, seq, price, qty, side) -> trailing metrics at each trade. With ``idle_ms``, a symbol without trades for so long (processing time) leaves the state; the query then runs batches without data too.
+
+    Trades of one time that come in one batch count for each other. For results that do not depend on the order of arrival see ``ticks``.
+    """
+    return trades.filter("qty > 0").groupBy("symbol").applyInPandasWithState(trailing(window_ms, idle_ms), OUT, STATE, "append", GroupStateTimeout.NoTimeout if idle_ms is None else GroupStateTimeout.ProcessingTimeTimeout)
 
 
 def windowed_flow(trades: DataFrame, window: str = "1 minute", slide: str | None = None, late: str = "30 seconds") -> DataFrame:
