@@ -323,3 +323,19 @@ def test_passages_odd_rows(docs_of):
     docs = docs_of(*ODD).withColumn("name", F.lit("x"))
     assert {r["doc_id"] for r in sd.repeated_passages(docs).collect()} <= set(range(9))
     assert sd.repeated_passages(docs.limit(0)).count() == 0
+
+
+def test_band_keys_are_of_the_minima():
+    """Lines whose permutations have equal minima share a key; a line's keys do not depend on what else is in the block."""
+    from tickweave.llm import substring_dedup as sd
+
+    rng = np.random.default_rng(0)
+    lines = [rng.integers(0, 2**63, n).astype(np.uint64) for n in (16, 1, 700, 33)]
+    lines.append(np.concatenate([lines[0], lines[0][::-1]]))  # the same set
+    cut = np.cumsum([0, *map(len, lines)])
+    got = sd.bands_of_lines(np.concatenate(lines), cut, 8, 3)
+    for x, keys in zip(lines, got):
+        assert (sd.bands_of_lines(x, np.array([0, len(x)]), 8, 3)[0] == keys).all()
+    assert (got[0] == got[4]).all() and not (got[0] == got[3]).any()
+    near = np.concatenate([lines[2][:690], rng.integers(0, 2**63, 10).astype(np.uint64)])
+    assert (sd.bands_of_lines(near, np.array([0, 700]), 8, 3)[0] == got[2]).sum() >= 5

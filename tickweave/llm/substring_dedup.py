@@ -126,29 +126,54 @@ def _units(least_line: int):
     return run
 
 
-def _line_sets(least_line: int, words: int, make, names: list[str], types: list[pa.DataType]):
-    """``make(name, shingle set)`` rows for every line, each name once a task (while few)."""
+def _new_lines(least_line: int, words: int):
+    """Chunks of a batch of texts: names of the lines, their shingles and where each line's begin and end, and the places of those whose name has not come before in this task (while few)."""
+    seen: set[int] = set()
+
+    def lines(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, list[int]]]:
+        raw, offsets = texts_of(column)
+        for lo, hi in chunks(offsets):
+            part, at = raw[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
+            first, last, h, *_ = lines_of(part, at, least_line)
+            if not len(first):
+                continue
+            name = names_of(h, first, last).view(np.int64)
+            s, cut = shingle_hashes(h, np.repeat(np.arange(len(first)), last - first), len(first), words) if (last - first).sum() == len(h) else _of_runs(h, first, last, words)
+            if len(seen) > 1_000_000:
+                seen.clear()
+            new = []
+            for k, n in enumerate(name.tolist()):
+                if n not in seen:
+                    seen.add(n)
+                    new.append(k)
+            if new:
+                yield name, s, cut, new
+
+    return lines
+
+
+def _line_bands(least_line: int, words: int, bands: int, rows: int):
+    """(name, band keys) of every line."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
+        lines = _new_lines(least_line, words)
         for batch in batches:
-            raw, offsets = texts_of(batch.column(0))
-            for lo, hi in chunks(offsets):
-                part, at = raw[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
-                first, last, h, *_ = lines_of(part, at, least_line)
-                if not len(first):
-                    continue
-                name = names_of(h, first, last).view(np.int64)
-                s, cut = shingle_hashes(h, np.repeat(np.arange(len(first)), last - first), len(first), words) if (last - first).sum() == len(h) else _of_runs(h, first, last, words)
-                if len(seen) > 1_000_000:
-                    seen.clear()
-                out = []
-                for k, n in enumerate(name.tolist()):
-                    if n not in seen:
-                        seen.add(n)
-                        out.append(make(n, s[cut[k] : cut[k + 1]]))
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
+            for name, s, cut, new in lines(batch.column(0)):
+                keys = bands_of_lines(s, cut, bands, rows)[new].view(np.int64)
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(new) + 1, dtype=np.int32) * bands), pa.array(keys.ravel()))
+                yield pa.RecordBatch.from_arrays([pa.array(name[new]), lists], names=["name", "keys"])
+
+    return run
+
+
+def _line_sets(least_line: int, words: int):
+    """(name, packed shingle set) of every line."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lines = _new_lines(least_line, words)
+        for batch in batches:
+            for name, s, cut, new in lines(batch.column(0)):
+                yield pa.RecordBatch.from_arrays([pa.array(name[new]), pa.array([np.unique(s[cut[k] : cut[k + 1]]).tobytes() for k in new], pa.binary())], names=["name", "set"])
 
     return run
 
@@ -192,14 +217,16 @@ def _of_runs(h: np.ndarray, first: np.ndarray, last: np.ndarray, words: int) ->
     return shingle_hashes(h[at], np.repeat(np.arange(len(first)), size), len(first), words)
 
 
-def band_keys(s: np.ndarray, bands: int, rows: int) -> np.ndarray:
-    """One 64-bit key a band, from the minima of ``bands * rows`` permutations."""
-    k = bands * rows
-    low = np.full(k, np.iinfo(np.uint64).max, np.uint64)
-    for lo in range(0, len(s), 1024):
-        x = (s[None, lo : lo + 1024] ^ _XOR[:k, None]) * _ODD[:k, None]
-        low = np.minimum(low, (x ^ (x >> np.uint64(29))).min(1))
-    return mix(mix(low.reshape(bands, rows) * _ODD[:rows]).sum(1, dtype=np.uint64) + np.arange(bands, dtype=np.uint64), 21)
+def bands_of_lines(s: np.ndarray, cut: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """For each line, ``s[cut[k] : cut[k + 1]]`` (none empty), a 64-bit key a band, from the minima of ``bands * rows`` permutations: one pass over all shingles for each permutation."""
+    low = np.empty((bands * rows, len(cut) - 1), np.uint64)
+    x, y = np.empty_like(s), np.empty_like(s)
+    for k in range(bands * rows):
+        np.multiply(np.bitwise_xor(s, _XOR[k], out=x), _ODD[k], out=x)
+        np.bitwise_xor(x, np.right_shift(x, np.uint64(29), out=y), out=x)
+        low[k] = np.minimum.reduceat(x, cut[:-1])
+    mixed = mix(low.reshape(bands, rows, -1) * _ODD[:rows, None]).sum(1, dtype=np.uint64)
+    return np.ascontiguousarray(mix(mixed + np.arange(bands, dtype=np.uint64)[:, None], 21).T)
 
 
 _XOR, _ODD = mix(np.arange(256, dtype=np.uint64), 31), mix(np.arange(256, dtype=np.uint64), 32) | np.uint64(1)
@@ -263,14 +290,14 @@ def _join_blocks(threshold: float):
 def alike_lines(texts: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, least_line: int = LEAST_LINE, words: int = WORDS, block: int = BLOCK) -> DataFrame:
     """Components of lines (by name) that are alike: node, root."""
     bands, rows = tune(threshold, recall)
-    keyed = texts.mapInArrow(_line_sets(least_line, words, lambda n, s: (n, band_keys(np.unique(s), bands, rows).view(np.int64).tolist()), ["name", "keys"], [pa.int64(), pa.list_(pa.int64())]), "name long, keys array<long>")
+    keyed = texts.mapInArrow(_line_bands(least_line, words, bands, rows), "name long, keys array<long>")
     entries = stored(shared(keyed.select("name", F.explode("keys").alias("key")), "key"), "bands")  # lines alone in a bucket are left out
     order = F.col("name").bitwiseXOR(F.col("key"))  # another order of the lines in each bucket
     anchors = entries.groupBy("key").agg(F.min(order).alias("lo"), F.max(order).alias("hi")).filter("lo <> hi").select("key", F.col("lo").bitwiseXOR(F.col("key")).alias("a1"), F.col("hi").bitwiseXOR(F.col("key")).alias("a2"))
     pairs = entries.join(anchors, "key").select("name", F.explode(F.array("a1", "a2")).alias("anchor")).filter("name <> anchor")
     pairs = stored(pairs.select(F.least("name", "anchor").alias("a"), F.greatest("name", "anchor").alias("b")).distinct(), "pairs")
     wanted = pairs.select(F.col("a").alias("name")).union(pairs.select("b")).distinct()
-    sets = texts.mapInArrow(_line_sets(least_line, words, lambda n, s: (n, np.unique(s).tobytes()), ["name", "set"], [pa.int64(), pa.binary()]), "name long, set binary")
+    sets = texts.mapInArrow(_line_sets(least_line, words), "name long, set binary")
     sets = stored(sets.join(wanted, "name", "left_semi").dropDuplicates(["name"]), "lines")
     both = pairs.join(sets.select(F.col("name").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("name").alias("b"), F.col("set").alias("y")), "b")
     linked = stored(both.select("a", "b", "x", "y").mapInArrow(_verify(threshold), "a long, b long"), "linked")
