@@ -100,7 +100,8 @@ def _points(raw: np.ndarray) -> np.ndarray:
 UNITS = "name long, doc_id long, row long, place long, words long"  # place: start and end in code points; words: first and last, each pair in one number
 
 
-def _units(least_line: int):
+def _units(least_line: int, runs: bool = True):
+    """The units of texts; the lines alone where ``runs`` is false."""
     names = [f.split()[0] for f in UNITS.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,7 +111,7 @@ def _units(least_line: int):
             for lo, hi in chunks(offsets):
                 part, at = raw[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
                 first, last, h, start, end, of = lines_of(part, at, least_line)
-                more = runs_of(h, of)
+                more = runs_of(h, of) if runs else np.zeros(0, np.int64)
                 kind = np.concatenate([np.zeros(len(first), np.int32), np.ones(len(more), np.int32)])
                 first, last = np.concatenate([first, more]), np.concatenate([last, more + RUN])
                 if not len(first):
@@ -326,7 +327,7 @@ def repeated_passages(docs: DataFrame, threshold: float = THRESHOLD, recall: flo
     # Lines that have no copy but are like another one.
     line = F.shiftright("words", 32) + RUN != F.col("words").bitwiseAND(2**32 - 1)
     names = copies.select("name").distinct()
-    single = units.filter(line).join(alike.select(F.col("node").alias("name")), "name", "left_semi").join(names, "name", "left_anti")
+    single = rows.mapInArrow(_units(least_line, runs=False), UNITS).join(alike.select(F.col("node").alias("name")), "name", "left_semi").join(names, "name", "left_anti")
     every = copies.unionByName(single).join(alike, F.col("name") == F.col("node"), "left").withColumn("passage", F.coalesce("root", "name"))
     low, high = lambda c: F.shiftright(c, 32).cast("int"), lambda c: F.col(c).bitwiseAND(2**32 - 1).cast("int")
     kind = F.when(line, 0).otherwise(1)
