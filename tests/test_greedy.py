@@ -28,6 +28,8 @@ def test_greedy_equals_one_pass(spark):
         got = greedy(df, "begin", "until", ["seq"], 40, asks=F.col("asks"), bucket_ms=size)
         assert sorted(((r["symbol"], r["begin"], r["until"], r["seq"], r["picked"]) for r in got.collect()), key=str) == one_pass(rows)
     assert greedy(df.limit(0), "begin", "until", ["seq"], 40).count() == 0
+    odd = spark.createDataFrame([("A", None, 5, 1, True), ("A", 1, None, 2, True), ("A", 1, 3, 3, None), ("A", 2, 4, 4, True)], df.schema)
+    assert [r["seq"] for r in greedy(odd, "begin", "until", ["seq"], 40, asks=F.col("asks")).filter("picked").collect()] == [4]
 
 
 def test_sparse_buckets(spark):

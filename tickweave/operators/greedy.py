@@ -144,14 +144,15 @@ def _picks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def greedy(rows: DataFrame, begin: str, end: str, order: list[str], longest: int, key: str = "symbol", asks: Column | None = None, name: str = "picked", bucket_ms: int | None = None) -> DataFrame:
     """Adds ``name``: whether the row is picked. Rows of a key are taken by (``begin``, ``order``); of those that ask, one is picked when it begins at or after the end of the last pick.
 
-    ``longest`` bounds end - begin. Null keys are one key.
+    ``longest`` bounds end - begin. Null keys are one key; rows without a begin or an end are not picked.
     """
     size = bucket_ms or SPANS_A_BUCKET * max(1, longest)
     if size < longest:
         raise ValueError("a bucket must not be shorter than the longest span")
+    at, until = (F.coalesce(F.col(c).cast("bigint"), F.lit(0)) for c in (begin, end))
+    asks = F.coalesce(F.lit(True) if asks is None else asks, F.lit(False)) & F.col(begin).isNotNull() & F.col(end).isNotNull()
     x = rows.select(
-        F.col(key).cast("string").alias("key"), F.floor(F.col(begin) / F.lit(size)).cast("bigint").alias("bucket"), F.col(begin).cast("bigint").alias("_begin"), F.col(end).cast("bigint").alias("_end"),
-        F.coalesce(F.lit(True) if asks is None else asks, F.lit(False)).alias("_asks"), F.struct(*order).alias("_order"), F.struct(*rows.columns).alias("row"),
+        F.col(key).cast("string").alias("key"), F.floor(at / F.lit(size)).cast("bigint").alias("bucket"), at.alias("_begin"), until.alias("_end"), asks.alias("_asks"), F.struct(*order).alias("_order"), F.struct(*rows.columns).alias("row"),
     ).repartition("key", "bucket")
     maps = x.sortWithinPartitions("key", "bucket", "_begin", "_order").select("key", "bucket", "_begin", "_end", "_asks").mapInArrow(_maps(size, longest), TABLE)
     maps = maps.withColumn("run", F.floor(F.col("bucket") / BUCKETS_A_RUN).cast("bigint")).repartition("key", "run")
