@@ -1,56 +1,40 @@
-"""Boosted-tree training and scoring over dataset tables (spark.ml), with the metadata that scoring needs."""
+"""Boosted-tree training and scoring over dataset tables, with the metadata that scoring needs."""
 
 from __future__ import annotations
 
 import json
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, OneVsRest
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from . import boosting
+from .boosting import Boosted
 from .datasets import feature_columns
-from .evaluate import column_or_null, filled
 
 
-def matrix(rows: DataFrame, features: list[str]) -> DataFrame:
-    """Rows with every feature present as a filled double; columns that are missing count as null."""
-    have = rows.withColumns({f: column_or_null(rows, f) for f in features if f not in rows.columns})
-    return filled(have, features)
-
-
-def _stages(features: list[str], learner) -> Pipeline:
-    return Pipeline(stages=[VectorAssembler(inputCols=[*features, *[f"{f}_missing" for f in features]], outputCol="_x"), learner])
-
-
-def train_regressor(rows: DataFrame, features: list[str] | None = None, target: str = "target", depth: int = 6, rate: float = 0.05, rounds: int = 50, seed: int = 42) -> tuple[PipelineModel, dict]:
+def train_regressor(rows: DataFrame, features: list[str] | None = None, target: str = "target", depth: int = 6, rate: float = 0.05, rounds: int = 50, **more) -> tuple[Boosted, dict]:
+    """Squared loss. Missing values go to the side that they fit better (see ``boosting``, also for ``more``)."""
     features = features or feature_columns(rows)
-    learner = GBTRegressor(featuresCol="_x", labelCol=target, predictionCol="prediction", maxDepth=depth, stepSize=rate, maxIter=rounds, maxBins=64, seed=seed)
-    return _stages(features, learner).fit(matrix(rows, features).filter(F.col(target).isNotNull())), {"featureColumns": features, "target": target}
+    return boosting.fit(rows, features, target, depth=depth, rate=rate, rounds=rounds, **more), {"featureColumns": features, "target": target}
 
 
-def train_classifier(rows: DataFrame, features: list[str] | None = None, target: str = "target", depth: int = 6, rate: float = 0.05, rounds: int = 30, seed: int = 42) -> tuple[PipelineModel, dict]:
+def train_classifier(rows: DataFrame, features: list[str] | None = None, target: str = "target", depth: int = 6, rate: float = 0.05, rounds: int = 30, **more) -> tuple[Boosted, dict]:
+    """Any number of classes in one model (softmax)."""
     features = features or feature_columns(rows)
-    one = GBTClassifier(maxDepth=depth, stepSize=rate, maxIter=rounds, maxBins=64, seed=seed)
-    learner = OneVsRest(classifier=one, featuresCol="_x", labelCol=target, predictionCol="prediction", parallelism=2)
-    return _stages(features, learner).fit(matrix(rows, features).filter(F.col(target).isNotNull()).withColumn(target, F.col(target).cast("double"))), {"featureColumns": features, "target": target}
+    return boosting.fit(rows, features, target, classes=True, depth=depth, rate=rate, rounds=rounds, **more), {"featureColumns": features, "target": target}
 
 
-def predict(model: PipelineModel, meta: dict, rows: DataFrame) -> DataFrame:
+def predict(model: Boosted, meta: dict, rows: DataFrame) -> DataFrame:
     """Rows with ``prediction``; their own columns are unchanged."""
-    keyed = rows.withColumn("_own", F.struct(*rows.columns))
-    scored = model.transform(matrix(keyed, meta["featureColumns"]))
-    return scored.select("_own.*", "prediction")
+    return boosting.predict(model, rows)
 
 
-def save(model: PipelineModel, meta: dict, path: str) -> None:
-    """Writes the model, and its metadata as a JSON text beside it."""
-    model.write().overwrite().save(f"{path}/model")
+def save(model: Boosted, meta: dict, path: str) -> None:
+    """Writes the model, and its metadata, as JSON texts."""
     spark = SparkSession.getActiveSession()
-    spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/meta")
+    for name, text in (("model", model.to_json()), ("meta", json.dumps(meta))):
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/{name}")
 
 
-def load(spark: SparkSession, path: str) -> tuple[PipelineModel, dict]:
-    return PipelineModel.load(f"{path}/model"), json.loads(spark.read.text(f"{path}/meta").first()[0])
+def load(spark: SparkSession, path: str) -> tuple[Boosted, dict]:
+    model, meta = (spark.read.text(f"{path}/{name}").first()[0] for name in ("model", "meta"))
+    return Boosted.from_json(model), json.loads(meta)
