@@ -91,6 +91,12 @@ class Boosted:
         m = self.add(np.tile(self.base, (len(x), 1)), self.binned(x))
         return m[:, 0] * self.scale if self.classes is None else np.asarray(self.classes, float)[m.argmax(1)]
 
+    def probabilities(self, x: np.ndarray) -> np.ndarray:
+        """Rows x classes, in the order of ``classes``."""
+        m = self.add(np.tile(self.base, (len(x), 1)), self.binned(x))
+        p = np.exp(m - m.max(1, keepdims=True))
+        return p / p.sum(1, keepdims=True)
+
     def to_json(self) -> str:
         trees = [[[t.feature.tolist(), t.cut.tolist(), t.missing_left.tolist(), t.value.tolist()] for t in trees] for trees in self.rounds]
         plain = {"features": self.features, "edges": [e.tolist() for e in self.edges], "bins": self.bins, "depth": self.depth, "base": self.base.tolist(), "scale": self.scale, "classes": self.classes}
@@ -257,6 +263,10 @@ def fit(rows: DataFrame, features: list[str], target: str = "target", classes: b
     return model
 
 
+def _inputs(model: Boosted, rows: DataFrame) -> Column:
+    return F.struct(*[_number(rows, f).alias(f"x{n}") for n, f in enumerate(model.features)])
+
+
 def predict(model: Boosted, rows: DataFrame, name: str = "prediction") -> DataFrame:
     """Rows with the model's value or class in ``name`` (replaced if it is there); their own columns are unchanged."""
 
@@ -264,5 +274,16 @@ def predict(model: Boosted, rows: DataFrame, name: str = "prediction") -> DataFr
     def score(x: pd.DataFrame) -> pd.Series:
         return pd.Series(model.predict(x.to_numpy(float)))
 
-    x = F.struct(*[_number(rows, f).alias(f"x{n}") for n, f in enumerate(model.features)])
-    return rows.withColumn(name, score(x))
+    return rows.withColumn(name, score(_inputs(model, rows)))
+
+
+def probabilities(model: Boosted, rows: DataFrame, name: str = "probabilities") -> DataFrame:
+    """Rows with the classes' probabilities, in the order of ``model.classes``, as an array in ``name``; an error for a regression."""
+    if model.classes is None:
+        raise ValueError("a regression has no classes")
+
+    @F.pandas_udf("array<double>")
+    def score(x: pd.DataFrame) -> pd.Series:
+        return pd.Series(list(model.probabilities(x.to_numpy(float))))
+
+    return rows.withColumn(name, score(_inputs(model, rows)))

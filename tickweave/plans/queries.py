@@ -460,3 +460,4 @@ def k1_partition_keys(spark: SparkSession, sf: str) -> DataFrame:
 
 
 from . import span_queries  # noqa: E402, F401  registers the queries over the whole span, which take the grid and the SQL of those above
+from . import model_queries  # noqa: E402, F401
