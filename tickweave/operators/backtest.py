@@ -8,7 +8,9 @@ from pyspark.sql import window as W
 
 from ..functions.coerce import finite
 from ..functions.market import select_return
+from .evaluate import exact_median
 from .greedy import greedy
+from .tables import Tables
 
 
 def signals(rows: DataFrame, long_threshold: float = 0.0, short_threshold: float = 0.0, short_enabled: bool = True, extra_cost_bps: float = 0.0) -> DataFrame:
@@ -34,7 +36,10 @@ def summary(trades: DataFrame) -> DataFrame:
     """One row: trades, hitRate, meanPct, medianPct, stdPct (population), sharpeLike, cumPct, maxDrawdownPct; zeros without trades.
 
     The equity curve runs over (entryTime, symbol, seq); its peak starts at its first value. Equity is summed in two levels, by day and within the day.
+    The trades are stored once, for the passes that count out the median.
     """
+    trades = Tables(trades.sparkSession, "trades").keep().write(trades.select("entryTime", "symbol", "seq", "realizedPct"), "rows")
+    median = exact_median(trades, "realizedPct")
     r = F.col("realizedPct")
     day = F.floor(F.col("entryTime") / F.lit(86_400_000)).cast("bigint")
     rows = trades.withColumn("_d", day)
@@ -49,7 +54,7 @@ def summary(trades: DataFrame) -> DataFrame:
     # Against an earlier peak the worst point of a day is its lowest; against its own peaks it is its own drawdown.
     worst = days.join(lowest, "_d").agg(F.min(F.least("dd", F.coalesce(F.col("base") + F.col("low") - F.col("peak0"), F.col("dd")))).alias("maxDrawdownPct"))
     stats = trades.agg(
-        F.count(F.lit(1)).alias("trades"), F.avg((r > 0).cast("double")).alias("hitRate"), F.avg(r).alias("meanPct"), F.percentile(r, 0.5).alias("medianPct"), F.stddev_pop(r).alias("stdPct"), F.sum(r).alias("cumPct")
+        F.count(F.lit(1)).alias("trades"), F.avg((r > 0).cast("double")).alias("hitRate"), F.avg(r).alias("meanPct"), F.lit(median).cast("double").alias("medianPct"), F.stddev_pop(r).alias("stdPct"), F.sum(r).alias("cumPct")
     )
     sharpe = F.when(F.col("stdPct") > 0, F.col("meanPct") / F.col("stdPct") * F.sqrt(F.col("trades").cast("double")))
     out = stats.withColumn("sharpeLike", sharpe).join(worst)

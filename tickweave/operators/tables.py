@@ -44,5 +44,11 @@ class Tables:
         rows.write.mode("overwrite").option("compression", "zstd").parquet(f"{self.root}/{name}")
         return self.spark.read.schema(rows.schema).parquet(f"{self.root}/{name}")
 
+    def keep(self) -> "Tables":
+        """For results that read the tables later: they go when the application ends."""
+        where = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.root)
+        where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+        return self
+
     def drop(self, name: str) -> None:
         self._delete(f"{self.root}/{name}")
