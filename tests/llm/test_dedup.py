@@ -8,10 +8,11 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tickweave.llm import common
 from tickweave.llm import similarity_join as sj
 from tickweave.llm import substring_dedup as sd
 from tickweave.llm.common import connected_components, exclusive_prefix
-from tickweave.llm.exact_dedup import directory, drop_copies, exact_dedup
+from tickweave.llm.exact_dedup import busiest, directory, drop_copies, exact_dedup
 
 from .conftest import ODD
 
@@ -60,6 +61,25 @@ def test_chains_compare_bytes(docs_of, how):
     assert {r["doc_id"] for r in drop_copies(docs, **how).collect()} == {max(g) for g in want.values()}
 
 
+@pytest.mark.parametrize("bound", [0, 1, 3])
+def test_hot_lists_past_the_broadcast_bound(docs_of, monkeypatch, bound):
+    """More hot keys than may be broadcast: the hottest alone are, and the groups are the same; rows without an id spread too."""
+    monkeypatch.setattr(common, "BROADCAST_ROWS", bound)
+    texts = [f"text {n % 30}" for n in range(240)] + ["crowd"] * 400
+    ids = [None if n % 7 == 0 else n for n in range(len(texts))]
+    want = exact_brute(zip(ids, texts))
+    docs = docs_of(*texts, ids=ids)
+    got = exact_dedup(docs, hot=4).collect()
+    assert len(got) == len(texts) and sum(r["kept"] for r in got) == len(want)
+    for r in got:
+        mine = next(g for t, g in want.items() if hashlib.sha256(t.encode()).hexdigest() == r["text_sha256"])
+        assert (r["keep_id"], r["group_size"]) == (max(i for i in mine if i is not None), len(mine))
+    assert sorted(r["doc_id"] for r in drop_copies(docs, hot=4).collect()) == sorted(max(i for i in g if i is not None) for g in want.values())
+    counted = docs.groupBy("text").agg(F.count(F.lit(1)).alias("n"))
+    top = {r["text"] for r in busiest(counted, "n", 4).collect()}
+    assert len(top) <= bound and (bound == 0 or top == {"crowd"})
+
+
 def test_exact_odd_rows(docs_of, spark):
     docs = docs_of(*ODD, ids=[None, 1, 2, 3, 4, 5, 6, 7, 8]).unionByName(docs_of("again", "again", ids=[9, 9])).unionByName(docs_of("alone", "alone", ids=[None, None]))
     for name in ("key", "bucket", "row", "_dedup_key", "_dedup_row", "_sha2", "_first"):

@@ -5,8 +5,9 @@
    as deep as the keys ask for. It is a table: (slot, bucket), a bucket being named by its first slot.
 3. Owner tasks get whole buckets, which are ranges of keys. Within a bucket, entries of one key form a chain; the owner compares their texts byte by byte, so that a chain has one link for each
    distinct text: the copies' largest doc_id and their number. Keys of more than ``hot`` rows are first combined in
-   ``SALTS`` parts, text by text, so that a text with a third of all rows reaches its owner as a few rows.
-4. Documents probe the chain of their key; within it, a link is addressed by the SHA-256 of its text. Links of hot keys are broadcast while they are few.
+   ``SALTS`` parts, text by text, so that a text with a third of all rows reaches its owner as a few rows. The list of hot keys is always
+   broadcast: where it would be too long, only the hottest of them are on it, as many as can be.
+4. Documents probe the chain of their key; within it, a link is addressed by the SHA-256 of its text. Links of many rows are broadcast.
    ``drop_copies`` needs no probe: it sends the entries with their rows, and owners pass on one row a link.
 
 Edge cases: null text counts as empty; null doc_id sorts below any other; of repeated rows (same doc_id and text) exactly one
@@ -19,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
+from . import common
 from .common import few, stored
 
 CAPACITY = 4_096
@@ -57,9 +59,17 @@ def key_of(text: Column, key_bits: int) -> Column:
     return F.xxhash64(text).bitwiseAND(F.lit(-1 << (64 - key_bits)))
 
 
-def hot_keys(keys: DataFrame, hot: int) -> DataFrame:
-    """Of keys with their rows ``n``, those of more than ``hot``."""
-    return stored(keys.filter(F.col("n") > hot).select("key"), "hot")
+def busiest(counted: DataFrame, n: str, hot: int) -> DataFrame:
+    """Rows whose ``n`` is over ``hot``, to be broadcast. Where they are more than can be, over twice, four times as much and so on: what is then left out has at most 2 / BROADCAST_ROWS of all rows."""
+    found = stored(counted.filter(F.col(n) > hot), "hot")
+    while (top := found.filter(F.col(n) > hot)).count() > common.BROADCAST_ROWS:
+        hot *= 2
+    return F.broadcast(top)
+
+
+def salt() -> Column:
+    """By the task that read the row: whatever its id is, and no more rows are sent than a task has texts."""
+    return F.pmod(F.spark_partition_id(), F.lit(SALTS))
 
 
 def to_owners(entries: DataFrame, bits: int, slots: DataFrame, size: int) -> DataFrame:
@@ -68,20 +78,20 @@ def to_owners(entries: DataFrame, bits: int, slots: DataFrame, size: int) -> Dat
     return entries.withColumn("slot", slot_of(F.col("key"), bits)).join(few(slots), "slot").drop("slot").repartition(tasks, "bucket")
 
 
-def build_index(docs: DataFrame, digests: DataFrame, id_col: str, text_col: str, capacity: int, hot: int, key_bits: int) -> tuple[DataFrame, DataFrame]:
-    """(index, hot keys). Index: bucket, key, chain, text_sha256, keep_id, group_size; ``digests`` has key and bytes of every row."""
+def build_index(docs: DataFrame, digests: DataFrame, id_col: str, text_col: str, capacity: int, hot: int, key_bits: int) -> DataFrame:
+    """bucket, key, chain, text_sha256, keep_id, group_size; ``digests`` has key and bytes of every row."""
     keys = stored(digests.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes")), "keys")
     bits, slots = directory(keys.select("key"), capacity)
-    busy = hot_keys(keys, hot)
+    busy = busiest(keys.select("key", "n"), "n", hot).select("key")
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(key_of(text, key_bits).alias("key"), text.alias("text"), F.col(id_col).alias("keep_id"))
-    cold = rows.join(few(busy), "key", "left_anti").withColumn("n", F.lit(1).cast("long"))
-    salted = rows.join(few(busy), "key", "left_semi").withColumn("salt", F.pmod(F.xxhash64("keep_id"), F.lit(SALTS)))
+    cold = rows.join(F.broadcast(busy), "key", "left_anti").withColumn("n", F.lit(1).cast("long"))
+    salted = rows.join(F.broadcast(busy), "key", "left_semi").withColumn("salt", salt())
     combined = salted.groupBy("key", "text", "salt").agg(F.max("keep_id").alias("keep_id"), F.count(F.lit(1)).alias("n")).drop("salt")
     owned = to_owners(cold.unionByName(combined), bits, slots, keys.agg(F.sum("bytes")).first()[0] or 0)
     links = owned.groupBy("bucket", "key", "text").agg(F.max("keep_id").alias("keep_id"), F.sum("n").alias("group_size"))
     chain = F.row_number().over(W.Window.partitionBy("bucket", "key").orderBy("text")).alias("chain")
-    return stored(links.select("bucket", "key", chain, F.sha2("text", 256).alias("text_sha256"), "keep_id", "group_size"), "index"), busy
+    return stored(links.select("bucket", "key", chain, F.sha2("text", 256).alias("text_sha256"), "keep_id", "group_size"), "index")
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, hot: int = HOT, key_bits: int = 64) -> DataFrame:
@@ -89,14 +99,14 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     text = F.coalesce(F.col(text_col), F.lit(""))
     cols = F.col(id_col).alias("doc_id"), F.monotonically_increasing_id().alias("row"), key_of(text, key_bits).alias("key"), F.sha2(text, 256).alias("text_sha256"), F.octet_length(text).cast("long").alias("bytes")
     digests = stored(docs.select(*cols), "digests")
-    index, busy = build_index(docs, digests, id_col, text_col, capacity, hot, key_bits)
+    index = build_index(docs, digests, id_col, text_col, capacity, hot, key_bits)
     # Of repeated rows (same id and text) one is kept: of a link's rows with its keep_id, any one.
     at = ["key", "text_sha256"]
     tops = digests.groupBy(*at).agg(F.max_by("row", "doc_id").alias("top"), F.max("row").alias("last")).select(*at, F.coalesce("top", "last").alias("keep_row"))
     link = stored(index.join(tops, at), "links")
     rows = digests.drop("bytes")
-    crowd = rows.join(few(busy), "key", "left_semi").join(few(link.join(few(busy), "key", "left_semi")), at)
-    out = rows.join(few(busy), "key", "left_anti").join(link, at).unionByName(crowd)
+    crowd = busiest(link, "group_size", hot)
+    out = rows.join(crowd, at).unionByName(rows.join(F.broadcast(crowd.select(*at)), at, "left_anti").join(link, at))
     return out.select("doc_id", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), "text_sha256", "bucket", "chain")
 
 
@@ -106,10 +116,10 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     keys = docs.select(key_of(text, key_bits).alias("key"), F.octet_length(text).cast("long").alias("bytes"))
     keys = stored(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes")), "keys")
     bits, slots = directory(keys.select("key"), capacity)
-    busy = hot_keys(keys, hot)
+    busy = busiest(keys.select("key", "n"), "n", hot).select("key")
     rows = docs.select(key_of(text, key_bits).alias("key"), F.struct(*docs.columns).alias("doc"))
     own, id_ = F.coalesce(F.col(f"doc.`{text_col}`"), F.lit("")), F.col(f"doc.`{id_col}`")
     first = lambda df, *by: df.withColumn("_n", F.row_number().over(W.Window.partitionBy(*by).orderBy(id_.desc_nulls_last()))).filter("_n = 1").drop("_n")  # noqa: E731  the group limit works before the exchange too
-    crowd = first(rows.join(few(busy), "key", "left_semi").withColumn("salt", F.pmod(F.xxhash64(id_), F.lit(SALTS))), "key", own, "salt").drop("salt")
-    owned = to_owners(rows.join(few(busy), "key", "left_anti").unionByName(crowd), bits, slots, keys.agg(F.sum("bytes")).first()[0] or 0)
+    crowd = first(rows.join(F.broadcast(busy), "key", "left_semi").withColumn("salt", salt()), "key", own, "salt").drop("salt")
+    owned = to_owners(rows.join(F.broadcast(busy), "key", "left_anti").unionByName(crowd), bits, slots, keys.agg(F.sum("bytes")).first()[0] or 0)
     return first(owned, "bucket", "key", own).select("doc.*")
