@@ -93,9 +93,10 @@ def unmatched(snapshots: DataFrame, labels: DataFrame) -> DataFrame:
     return snapshots.join(labels.select("symbol", F.col("entryTime").alias("t")), ["symbol", "t"], "left_anti")
 
 
-def build_barrier_dataset(snapshots: DataFrame, labels: DataFrame, features: list[str], side: str = "long", min_micro: float = 0.25) -> DataFrame:
-    """Snapshots with a barrier label as a class code; a row fails the completeness test only if it has one."""
-    s = snapshots.select("symbol", F.col("t").alias("entryTime"), *features)
+def build_barrier_dataset(snapshots: DataFrame, labels: DataFrame, features: list[str], side: str = "long", min_micro: float = 0.25, by_seq: bool = False) -> DataFrame:
+    """Snapshots with a barrier label as a class code; a row fails the completeness test only if it has one. ``by_seq``: a symbol may have several snapshots at one time, and each gets the label of its own ``seq``."""
+    own = [F.col("seq").alias("entrySeq")] if by_seq else []
+    s = snapshots.select("symbol", F.col("t").alias("entryTime"), *own, *features)
     if "microCompleteness" in features:
         mc = finite(F.col("microCompleteness"))
         s = s.filter(mc.isNull() | (mc >= F.lit(min_micro)))
@@ -103,7 +104,8 @@ def build_barrier_dataset(snapshots: DataFrame, labels: DataFrame, features: lis
     code = F.lit(None).cast("int")
     for k, v in LABEL_CODES.items():
         code = F.when(F.col(name) == k, F.lit(v)).otherwise(code)
-    return s.join(labels.select("symbol", "entryTime", "horizonMs", name), ["symbol", "entryTime"]).withColumn("target", code).filter("target IS NOT NULL").withColumnRenamed(name, "label")
+    keys = ["symbol", "entryTime", "entrySeq"] if by_seq else ["symbol", "entryTime"]
+    return s.join(labels.select(*keys, "horizonMs", name), keys).withColumn("target", code).filter("target IS NOT NULL").withColumnRenamed(name, "label")
 
 
 def feature_columns(df: DataFrame) -> list[str]:
