@@ -90,11 +90,12 @@ def _near_zero(change: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray
     return out
 
 
-def _deviation(c: dict[str, np.ndarray], lo: np.ndarray, point: np.ndarray, least_prices: int) -> np.ndarray:
-    """Sample deviation of percent changes between neighbouring points, for each row over the points from place ``lo`` up to the row itself."""
+def _deviation(c: dict[str, np.ndarray], lo: np.ndarray, point: np.ndarray, least_prices: int, hi: np.ndarray | None = None) -> np.ndarray:
+    """Sample deviation of percent changes between neighbouring points, for each row over the points from place ``lo`` up to the row itself, or to the place before ``hi``."""
     price = c["price"][point].astype(float)
     upto = np.cumsum(point)  # points up to each row
     first = np.concatenate([[0], upto])[lo]
+    upto = upto if hi is None else upto[hi - 1]
     with np.errstate(divide="ignore", invalid="ignore"):
         change = np.where((price[1:] > 0) & (price[:-1] > 0), (price[1:] - price[:-1]) / price[:-1] * 100, np.nan)
     change = np.concatenate([[np.nan], change]) if len(price) else np.zeros(0)
@@ -111,11 +112,12 @@ def _deviation(c: dict[str, np.ndarray], lo: np.ndarray, point: np.ndarray, leas
     return np.where((n >= 3) & (upto - first >= least_prices), np.sqrt(np.maximum(var, 0)), np.nan)
 
 
-def trend_vol(prices: DataFrame, windows_ms: dict[str, int], least_prices: int = 3, retention_ms: int = RETENTION_MS) -> DataFrame:
+def trend_vol(prices: DataFrame, windows_ms: dict[str, int], least_prices: int = 3, retention_ms: int = RETENTION_MS, peers: bool = False) -> DataFrame:
     """Adds ``trend{name}`` and ``vol{name}`` to each price (symbol, t, seq, price).
 
     Trend: percent change from the first price of the window (start not positive: null). Volatility: sample deviation of percent changes between neighbouring prices inside the window, pairs with
     a price that is not positive left out; null below three changes or ``least_prices`` prices.
+    A row's window ends with the row itself in (t, seq) order; with ``peers`` all prices of its time are inside.
     """
     width = max([retention_ms, *windows_ms.values()])
 
@@ -126,7 +128,7 @@ def trend_vol(prices: DataFrame, windows_ms: dict[str, int], least_prices: int =
             start = price[lo]
             with np.errstate(divide="ignore", invalid="ignore"):
                 trend = np.where(start > 0, (price - start) / start * 100, np.nan)
-            out |= {f"vol{name}": _deviation(c, lo, np.ones(len(t), bool), least_prices), f"trend{name}": trend}
+            out |= {f"vol{name}": _deviation(c, lo, np.ones(len(t), bool), least_prices, frame_ends(t) if peers else None), f"trend{name}": trend}
         return out
 
     return framed(bucketed(prices, width), width, compute, ["t", "price"], ", ".join(f"vol{n} double, trend{n} double" for n in windows_ms), ["t", "seq", "price"])
