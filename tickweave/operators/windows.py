@@ -167,7 +167,7 @@ def trend_at(ticks: DataFrame, prices: DataFrame, name: str, window_ms: int, ret
 
 
 def day_stats(bars: DataFrame, t: str = "t", day_ms: int = DAY_MS) -> DataFrame:
-    """Adds changePct24h, high24h, low24h, volume24h, quoteVolume24h to bars (symbol, t, high, low, close, volume, quoteVolume); a sum of zero is null."""
+    """Adds changePct24h, high24h, low24h, volume24h, quoteVolume24h to bars (symbol, t, high, low, close, volume, quoteVolume); a sum of zero is null. Bars of one time stand in the order of their ``seq``, where they have one."""
 
     def compute(c: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
         at, close, volume = c[t], c["close"].astype(float), c["volume"].astype(float)
@@ -180,7 +180,7 @@ def day_stats(bars: DataFrame, t: str = "t", day_ms: int = DAY_MS) -> DataFrame:
         return {"changePct24h": change, "high24h": extremes(c["high"].astype(float), lo, hi, np.fmax), "low24h": extremes(c["low"].astype(float), lo, hi, np.fmin), "volume24h": totals[0], "quoteVolume24h": totals[1]}
 
     adds = ", ".join(f"{n} double" for n in ("changePct24h", "high24h", "low24h", "volume24h", "quoteVolume24h"))
-    return framed(bucketed(bars, day_ms, t), day_ms, compute, [t, "high", "low", "close", "volume", "quoteVolume"], adds, [t, "close"], t=t)
+    return framed(bucketed(bars, day_ms, t), day_ms, compute, [t, "high", "low", "close", "volume", "quoteVolume"], adds, [t, *(["seq"] if "seq" in bars.columns else []), "close"], t=t)
 
 
 def deltas(snapshots: DataFrame, names: list[str], by: list[str] = ["symbol"], t: str = "t", seq: str = "seq", exclude_age: bool = True, bucket_ms: int = DAY_MS) -> DataFrame:  # noqa: B006
