@@ -22,23 +22,25 @@ class Side:
     seq: str = "seq"
     tolerance_ms: int | None = None
     age: str | None = None
+    #: With ``left_seq``: rows of a left row's own time count up to its ``seq`` only, not all.
+    upto_seq: bool = False
 
 
-def asof_many(left: DataFrame, sides: list[Side], by: list[str] = ["symbol"], t: str = "t", bucket_ms: int = DAY_MS) -> DataFrame:  # noqa: B006
+def asof_many(left: DataFrame, sides: list[Side], by: list[str] = ["symbol"], t: str = "t", bucket_ms: int = DAY_MS, left_seq: str | None = None) -> DataFrame:  # noqa: B006
     """Every left row with the columns of the latest row of each side whose time is at most its own (inclusive); nulls before the first.
 
     All sides share one exchange and one sort. With a tolerance, values older than it are null, while the age (if named) is given anyway.
     """
     names = [f"_r{n}" for n in range(len(sides))]
     key = [F.col(c) for c in by]
-    both = left.select(*key, F.col(t).alias("_t"), F.lit(1).alias("_side"), F.lit(0).cast("bigint").alias("_seq"), F.struct(*left.columns).alias("_l"))
+    both = left.select(*key, F.col(t).alias("_t"), F.lit(1).alias("_rank"), (F.col(left_seq) if left_seq else F.lit(0)).cast("bigint").alias("_seq"), F.lit(1).alias("_side"), F.struct(*left.columns).alias("_l"))
     for name, side in zip(names, sides):
         seq = F.col(side.seq).cast("bigint") if side.seq in side.rows.columns else F.lit(0).cast("bigint")
         value = F.struct(F.col(side.t).alias("_at"), *[F.col(a).alias(b) for a, b in side.columns.items()]).alias(name)
-        rows = side.rows.filter(F.col(side.t).isNotNull()).select(*key, F.col(side.t).alias("_t"), F.lit(0).alias("_side"), seq.alias("_seq"), value)
+        rows = side.rows.filter(F.col(side.t).isNotNull()).select(*key, F.col(side.t).alias("_t"), F.lit(int(side.upto_seq)).alias("_rank"), seq.alias("_seq"), F.lit(0).alias("_side"), value)
         both = both.unionByName(rows, allowMissingColumns=True)
     both = both.withColumn("_bucket", F.floor(F.col("_t") / F.lit(bucket_ms)).cast("bigint"))
-    got = carried(both, names, by, ["_t", "_side", "_seq"]).filter("_side = 1")
+    got = carried(both, names, by, ["_t", "_rank", "_seq", "_side"]).filter("_side = 1")
     out = []
     for name, side in zip(names, sides):
         lag = F.col("_t") - F.col(f"{name}._at")
