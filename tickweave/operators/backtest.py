@@ -24,9 +24,12 @@ def signals(rows: DataFrame, long_threshold: float = 0.0, short_threshold: float
 
 
 def non_overlapping(candidates: DataFrame, longest_ms: int | None = None, bucket_ms: int | None = None) -> DataFrame:
-    """Greedy selection in time order: a position blocks its symbol until its exit (an entry at the exit is allowed). ``longest_ms`` bounds the horizons; where it is not given it is looked up."""
+    """Greedy selection in time order: a position blocks its symbol until its exit (an entry at the exit is allowed). ``longest_ms`` bounds the horizons; where it is not given it is looked up.
+
+    The candidates are stored once, as they are read for the longest horizon, for the maps and for the picks: their labels would be worked out anew each time.
+    """
     names = ["symbol", "action", "entryTime", "exitTime", "prediction", "realizedPct", "seq"]
-    rows = candidates.select(*names)
+    rows = Tables(candidates.sparkSession, "candidates").keep().write(candidates.select(*names), "rows")
     if longest_ms is None:
         longest_ms = rows.agg(F.max(F.col("exitTime") - F.col("entryTime"))).first()[0] or 1
     return greedy(rows, "entryTime", "exitTime", ["seq"], longest_ms, bucket_ms=bucket_ms).filter("picked").drop("picked")
